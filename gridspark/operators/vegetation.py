@@ -83,10 +83,10 @@ def reference_days(manifest: DataFrame, reference: DataFrame, day: str = "day")
     """Manifest problems: repeated days, gaps, and days without exactly one reference record."""
     d = manifest.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
     nxt = d.select(F.date_sub(day, 1).alias(day), F.lit(True).alias("has_next"))
-    last = d.agg(F.max(day).alias("last"))
+    last = d.agg(F.max(day).alias("last")).first()["last"]
     refs = reference.groupBy(day).agg(F.count(F.lit(1)).alias("n_ref"))
-    out = d.join(nxt, day, "left").join(refs, day, "left").join(F.broadcast(last))  # last: one row
-    rule = (F.when(F.col("n") > 1, "repeated_day").when(F.col("has_next").isNull() & (F.col(day) != F.col("last")), "gap")
+    out = d.join(nxt, day, "left").join(refs, day, "left")
+    rule = (F.when(F.col("n") > 1, "repeated_day").when(F.col("has_next").isNull() & (F.col(day) != F.lit(last)), "gap")
             .when(F.coalesce("n_ref", F.lit(0)) != 1, "reference_records"))
     return out.withColumn("rule", rule).filter(F.col("rule").isNotNull()).select(day, "rule")
 

@@ -1,0 +1,27 @@
+"""Column layouts of the long tables the operators exchange."""
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+D, L, I, S, TS, DT = T.DoubleType(), T.LongType(), T.IntegerType(), T.StringType(), T.TimestampType(), T.DateType()
+
+
+def _struct(**fields) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
+
+
+MESH_CELLS = _struct(cell_id=L, lat=D, lon=D, area_m2=D, n_edges=I, neighbors=T.ArrayType(L), bdy_mask=I,
+                     corner_lat=T.ArrayType(D), corner_lon=T.ArrayType(D))
+GRID_AXIS = _struct(grid_id=S, axis=S, idx=I, centre=D, lo=D, hi=D)
+GRID_VALUES = _struct(inventory=S, product=S, variable=S, record_id=S, valid_time=TS, src_id=L, value=D)
+WEIGHTS = _struct(weight_id=S, link_no=L, row=L, col=L, s=D)
+MESH_VALUES = _struct(product=S, field=S, valid_time=TS, cell_id=L, value=T.FloatType())
+RECORDS = _struct(series_id=S, record_id=S, valid_time=TS)
+BRACKETS = _struct(series_id=S, target=TS, before_id=S, after_id=S, alpha=D, kind=S, gap_seconds=D)
+FIRES = _struct(file_date=DT, src_name=S, lat=D, lon=D, genveg=I, area=D, frp=D)
+VEGETATION = _struct(day=DT, cell_id=L, category=I, share=D, known_frac=D, n_records=L)
+OBS = _struct(cycle=TS, observer=S, member=I, loc_id=L, channel=I, variable=S, obs=D, hofx=D, qc0=I, qc1=I, err0=D,
+              bias=D, ombg=D, oman=D, lat=D, lon=D, obs_time=TS)
+BIAS_COEF = _struct(instrument=S, channel=I, predictor=S, beta=D, err=D, n_obs=L)
+STATE = _struct(member=I, valid_time=TS, variable=S, cell_id=L, level=I, value=D)
+CHEM = _struct(file_date=DT, time_idx=I, variable=S, lev=I, src_id=L, value=D)
