@@ -49,7 +49,7 @@ def target_schedule(records: DataFrame, start, end, frequency: str, step: float
 def duplicate_times(records: DataFrame, series: str = "series_id", per_day: bool = False) -> DataFrame:
     """Series and times (or days) claimed by more than one record."""
     at = F.to_date("valid_time") if per_day else F.col("valid_time")
-    return records.groupBy(series, at.alias("at")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return records.groupBy(series, at.alias("claimed")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def neighbours(records: DataFrame, targets: DataFrame, series: str) -> DataFrame:
