@@ -59,7 +59,7 @@ FROM (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS to_cycle FROM events
 
 define("records", """
 SELECT concat('s', CAST(user_id % 4 AS STRING)) AS series_id, CAST(CAST(ts AS DATE) AS STRING) AS record_id,
-       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS valid_time, avg(value) AS value
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS valid_time, CAST(sum(CAST(value*100 AS INT)) AS DOUBLE) AS value
 FROM events
 WHERE (CAST(extract(day FROM ts) AS INT) + user_id % 4) % 7 <> 3
 GROUP BY user_id % 4, CAST(ts AS DATE)""")
@@ -70,7 +70,7 @@ FROM events""")
 
 define("state", """
 SELECT 1 + l_linenumber % 4 AS member, CASE l_partkey % 3 WHEN 0 THEN 'theta' WHEN 1 THEN 'qv' ELSE 'u' END AS variable,
-       l_partkey AS cell_id, avg(l_extendedprice) AS value
+       l_partkey AS cell_id, sum(l_quantity) AS value
 FROM lineitem GROUP BY 1 + l_linenumber % 4, l_partkey""")
 
 define("prior_state", "SELECT member, variable, cell_id, value + member*3.0E0 + CAST(cell_id % 7 AS DOUBLE) AS value FROM state", ("state",))

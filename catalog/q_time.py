@@ -56,7 +56,7 @@ VALUES = """SELECT concat('s', CAST(user_id % 4 AS STRING)) AS series_id, CAST(C
  user_id AS cell_id, event_type AS field, sum(value) AS value FROM events GROUP BY 1, 2, 3, 4"""
 
 
-@query("time_interpolate", ["series_id", "CAST(target AS STRING) AS target", "field", "ROUND(value, 4) AS value", "CAST(n AS BIGINT) AS n"], f"""
+@query("time_interpolate", ["series_id", "CAST(target AS STRING) AS target", "field", "ROUND(value, 6) AS value", "CAST(n AS BIGINT) AS n"], f"""
 WITH b AS (SELECT * FROM ({_bracket_sql('linear', 200000)}) WHERE before_id IS NOT NULL),
 v AS ({VALUES}),
 p AS (SELECT series_id, target, before_id AS record_id, 1 - alpha AS w FROM b UNION ALL SELECT series_id, target, after_id, alpha FROM b WHERE alpha > 0),
@@ -211,7 +211,7 @@ DAY_VALUES = """SELECT concat('n', CAST(c_nationkey AS STRING)) AS series_id, CA
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4"""
 
 
-@query("day_fill", ["series_id", "CAST(day AS STRING) AS day", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 2) AS value"], f"""
+@query("day_fill", ["series_id", "CAST(day AS STRING) AS day", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 4) AS value"], f"""
 WITH r AS ({RESOLVE}), v AS ({DAY_VALUES}),
 p AS (SELECT series_id, day, CASE WHEN status LIKE 'fallback%' THEN 'fallback' ELSE 'primary' END AS source, day AS sd, 1.0 AS w FROM r WHERE status IN ('primary', 'fallback', 'fallback-forced')
  UNION ALL SELECT series_id, day, 'primary', before_day, 1 - alpha FROM r WHERE alpha IS NOT NULL UNION ALL SELECT series_id, day, 'primary', after_day, alpha FROM r WHERE alpha IS NOT NULL)

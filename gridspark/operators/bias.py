@@ -40,7 +40,7 @@ def normal_aggregates(predictors: list[str], used: Column | None = None) -> list
     """Sums of ``p_i p_j / err`` and ``p_i y / err``, and the count, over rows with flag 0."""
     used = F.col("qc0") == 0 if used is None else used
     h, r = sum_names(predictors)
-    inv = F.when(used, 1.0 / F.col("err0"))
+    inv = F.when(used, F.try_divide(F.lit(1.0), F.col("err0")))
     p = [F.col(c) for c in predictors]
     out = [F.sum(p[i] * p[j] * inv).alias(name) for (i, j), name in h.items()]
     out += [F.sum(p[i] * departure() * inv).alias(name) for i, name in enumerate(r)]

@@ -19,6 +19,11 @@ def _rms(x: Column, mask: Column) -> Column:
     return F.sqrt(F.avg(F.when(mask, x * x)))
 
 
+def normalised_departure(d: Column, error: Column) -> Column:
+    """Squared departure in units of its error; infinite for a zero error."""
+    return F.when(error != 0, F.pow(F.try_divide(d, error), 2)).when(error == 0, F.lit(float("inf")))
+
+
 def departure_stats(obs: DataFrame, by: list[str], mode: str = "da", scale: float = 1.0) -> DataFrame:
     """n_file, n, RMS, mean and mean squared normalised departure per group, in one shuffle.
 
@@ -30,7 +35,7 @@ def departure_stats(obs: DataFrame, by: list[str], mode: str = "da", scale: floa
         d = F.col("obs") - F.col("hofx")
         m = is_valid(d) & is_valid(F.col("obs")) & is_valid(F.col("hofx")) & (F.col("qc0") == 0)
         e_ok = is_finite(F.col("err0")) & (F.col("err0") > 0)
-        norm = F.avg(F.when(m, F.pow(d / F.col("err0"), 2)))
+        norm = F.avg(F.when(m, normalised_departure(d, F.col("err0"))))
         return obs.groupBy(*by).agg(
             F.sum(is_valid(F.col("obs")).cast("bigint")).alias("n_file"), F.sum(m.cast("bigint")).alias("n"),
             (_rms(d, m) * scale).alias("omb_rms"), (F.avg(F.when(m, d)) * scale).alias("omb_mean"),
@@ -44,9 +49,9 @@ def departure_stats(obs: DataFrame, by: list[str], mode: str = "da", scale: floa
     return obs.groupBy(*by).agg(
         F.sum(is_valid(b).cast("bigint")).alias("n_file"), F.sum(m0.cast("bigint")).alias("n"),
         (_rms(b, m0) * scale).alias("omb_rms"), (F.avg(F.when(m0, b)) * scale).alias("omb_mean"),
-        F.avg(F.when(m0, F.pow(b / e, 2))).alias("jo_b"),
+        F.avg(F.when(m0, normalised_departure(b, e))).alias("jo_b"),
         (_rms(a, m1) * scale).alias("oma_rms"), (F.avg(F.when(m1, a)) * scale).alias("oma_mean"),
-        F.avg(F.when(m1, F.pow(a / e, 2))).alias("jo_a"),
+        F.avg(F.when(m1, normalised_departure(a, e))).alias("jo_a"),
         F.coalesce(F.bool_and(F.when(m0 & m1, same)), F.lit(False)).alias("passive"))
 
 
@@ -99,7 +104,7 @@ def cost_summary(lines: DataFrame, by: str = "cycle") -> DataFrame:
         F.max_by("gb", F.when(F.col("gb").isNotNull(), at)).alias("gb"),
         F.min_by("j", F.when(F.col("j").isNotNull(), at)).alias("j0"),
         F.max_by("j", F.when(F.col("j").isNotNull(), at)).alias("j1"))
-    return out.withColumn("j_ratio", F.col("j1") / F.col("j0"))
+    return out.withColumn("j_ratio", F.try_divide("j1", "j0"))
 
 
 def common_cycles(stats: DataFrame, runs: list[str], every: bool = False) -> DataFrame:
@@ -133,7 +138,7 @@ def band_error_profile(obs: DataFrame, band: Column, bin_col: Column, bands: lis
     The diagnostic is the product of analysis and background departure over the squared value, so its mean
     under the root is a relative error; bins without data get 999.0. The frame of bins is a literal.
     """
-    x = F.col("oman") * F.col("ombg") / (F.col("obs") * F.col("obs"))
+    x = F.try_divide(F.col("oman") * F.col("ombg"), F.col("obs") * F.col("obs"))
     per = obs.withColumn("band", band).withColumn("bin", bin_col).groupBy("band", "bin").agg(
         F.sqrt(F.abs(F.avg(x))).alias("e"), F.count(F.lit(1)).alias("n"))
     spark = obs.sparkSession

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions.numbers import is_valid
 from gridspark.operators.bias import check_predictors, normal_aggregates, solve_bias
+from gridspark.operators.departures import normalised_departure
 
 CYCLE, HALF_CYCLE = "6 hours", "3 hours"
 
@@ -33,7 +34,7 @@ def stream_departures(obs: DataFrame, by: list[str], watermark: str = "3 hours",
     stats = obs.withWatermark(time, watermark).groupBy(cycle_window(time), *by).agg(
         F.sum(is_valid(b).cast("bigint")).alias("n_file"), F.sum(m.cast("bigint")).alias("n"),
         F.sqrt(F.avg(F.when(m, b * b))).alias("omb_rms"), F.avg(F.when(m, b)).alias("omb_mean"),
-        F.avg(F.when(m, F.pow(b / e, 2))).alias("jo_b"))
+        F.avg(F.when(m, normalised_departure(b, e))).alias("jo_b"))
     return _labelled(stats)
 
 
