@@ -24,8 +24,8 @@ FROM events""")
 
 # a located form that does not depend on the nearest-cell search
 define("located", """
-SELECT f.*, CASE WHEN f.fire_id % 17 = 3 THEN CAST(-1 AS BIGINT) ELSE CAST(f.fire_id % n.n AS BIGINT) END AS cell_id
-FROM fires f CROSS JOIN (SELECT count(*) AS n FROM supplier) n""", ("fires",))
+SELECT f.*, CASE WHEN f.fire_id % 17 = 3 THEN CAST(-1 AS BIGINT) ELSE CAST(f.fire_id % (SELECT count(*) FROM supplier) AS BIGINT) END AS cell_id
+FROM fires f""", ("fires",))
 
 define("links", """
 SELECT l_suppkey AS dst_id, l_partkey AS src_id, sum(l_quantity) AS q
@@ -35,9 +35,8 @@ define("weights", """
 SELECT l.dst_id, l.src_id, l.q / t.total AS s
 FROM links l JOIN (SELECT dst_id, sum(q) AS total FROM links GROUP BY dst_id) t ON l.dst_id = t.dst_id""", ("links",))
 
-define("grid_values", """
-SELECT p_partkey AS src_id, concat('f', CAST(r.r_regionkey AS VARCHAR(9))) AS field, p_retailprice * (1 + r.r_regionkey) AS value
-FROM part CROSS JOIN region r""".replace("VARCHAR(9)", "STRING"))
+define("grid_values", " UNION ALL ".join(
+    f"SELECT p_partkey AS src_id, 'f{k}' AS field, p_retailprice * {k + 1} AS value FROM part" for k in range(5)))
 
 define("src_area", "SELECT p_partkey AS src_id, CAST(1 + p_size AS DOUBLE) AS area FROM part")
 define("dst_area", "SELECT s_suppkey AS dst_id, 1.0E0 + abs(s_acctbal)/1000 AS area FROM supplier")
@@ -59,7 +58,7 @@ FROM (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS to_cycle FROM events
 
 define("records", """
 SELECT concat('s', CAST(user_id % 4 AS STRING)) AS series_id, CAST(CAST(ts AS DATE) AS STRING) AS record_id,
-       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS valid_time, CAST(sum(CAST(value*100 AS INT)) AS DOUBLE) AS value
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS valid_time, CAST(sum(CAST(round(value*100) AS BIGINT)) AS DOUBLE) AS value
 FROM events
 WHERE (CAST(extract(day FROM ts) AS INT) + user_id % 4) % 7 <> 3
 GROUP BY user_id % 4, CAST(ts AS DATE)""")
@@ -77,7 +76,7 @@ define("prior_state", "SELECT member, variable, cell_id, value + member*3.0E0 +
 
 define("edges", """
 SELECT DISTINCT cell_id, nbr_id FROM (
-  SELECT s_suppkey AS cell_id, (s_suppkey*7 + 1) % n AS nbr_id FROM supplier CROSS JOIN (SELECT count(*) AS n FROM supplier) c
+  SELECT s_suppkey AS cell_id, (s_suppkey*7 + 1) % (SELECT count(*) FROM supplier) AS nbr_id FROM supplier
   UNION ALL
-  SELECT s_suppkey AS cell_id, (s_suppkey*11 + 5) % n AS nbr_id FROM supplier CROSS JOIN (SELECT count(*) AS n FROM supplier) c
+  SELECT s_suppkey AS cell_id, (s_suppkey*11 + 5) % (SELECT count(*) FROM supplier) AS nbr_id FROM supplier
 ) e WHERE cell_id <> nbr_id""")

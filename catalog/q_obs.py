@@ -188,7 +188,7 @@ def bias_new_means(i):
     return B.recentre(i("obs"), None, CH, "p1", "p2")[1]
 
 
-COEF = "SELECT DISTINCT observer, channel, p.predictor, 0.1E0*channel - 0.3E0*p.k AS beta FROM obs CROSS JOIN (SELECT 'p0' AS predictor, 0 AS k UNION ALL SELECT 'p1', 1) p"
+COEF = "SELECT DISTINCT observer, channel, 'p0' AS predictor, 0.1E0*channel AS beta FROM obs UNION ALL SELECT DISTINCT observer, channel, 'p1' AS predictor, 0.1E0*channel - 0.3E0 AS beta FROM obs"
 
 
 @query("bias_apply", ["loc_id", "ROUND(obsbias, 8) AS obsbias", "ROUND(omb_corrected, 8) AS omb_corrected"], """

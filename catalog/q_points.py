@@ -115,8 +115,8 @@ def fire_validation_kept(i):
     return kept.groupBy("file_date").agg(F.count(F.lit(1)).alias("n"), F.sum("area").alias("area"))
 
 
-AXIS = """SELECT CAST(s_suppkey AS INT) AS idx, {a} + CAST(s_suppkey*{w} AS DOUBLE)/n AS lo, {a} + CAST((s_suppkey + 1)*{w} AS DOUBLE)/n AS hi
-FROM supplier CROSS JOIN (SELECT count(*) AS n FROM supplier) c"""
+AXIS = """SELECT CAST(s_suppkey AS INT) AS idx, {a} + CAST(s_suppkey*{w} AS DOUBLE)/(SELECT count(*) FROM supplier) AS lo,
+ {a} + CAST((s_suppkey + 1)*{w} AS DOUBLE)/(SELECT count(*) FROM supplier) AS hi FROM supplier"""
 LAT_AXIS, LON_AXIS = AXIS.format(a=-90, w=180), AXIS.format(a=-180, w=360)
 TURNED = "SELECT f.*, CASE WHEN fire_id % 2 = 0 THEN lon ELSE lon + 360 END AS turned FROM fires f"
 PIXEL_SQL = f"""SELECT f.*, y.idx AS iy, x.idx AS ix FROM (SELECT *, (turned + 180) % 360 - 180 AS x FROM ({TURNED})) f
@@ -142,18 +142,18 @@ def duplicate_records(i):
     return V.duplicate_records(i.sql("SELECT file_date, 0E0 AS lat, 0E0 AS lon, genveg, round(area/1000) AS area FROM fires", "fires"))
 
 
-FIRE_SIZE = "SELECT d.day, m.cell_id, CASE WHEN m.cell_id % 3 = 0 THEN 0E0 ELSE 50E0 + m.cell_id END AS value FROM (SELECT DISTINCT day FROM fires) d CROSS JOIN mesh m"
+FIRE_SIZE = "SELECT DISTINCT day, cell_id, CASE WHEN cell_id % 3 = 0 THEN 0E0 ELSE 50E0 + cell_id END AS value FROM located WHERE cell_id >= 0"
 TARGET = "SELECT day, cell_id, co AS value FROM located WHERE cell_id >= 0 AND fire_id % 4 = 1"
 
 
 @query("eligible_cells", ["CAST(day AS STRING) AS day", "cell_id"], f"""SELECT s.day, s.cell_id FROM ({FIRE_SIZE}) s
-WHERE value = 0 AND EXISTS (SELECT 1 FROM ({TARGET}) t WHERE t.day = s.day AND t.cell_id = s.cell_id AND t.value > 0)""", ("fires", "mesh", "located"))
+WHERE value = 0 AND EXISTS (SELECT 1 FROM ({TARGET}) t WHERE t.day = s.day AND t.cell_id = s.cell_id AND t.value > 0)""", ("located",))
 def eligible_cells(i):
-    return V.eligible_cells(i.sql(FIRE_SIZE, "fires", "mesh"), i.sql(TARGET, "located"))
+    return V.eligible_cells(i.sql(FIRE_SIZE, "located"), i.sql(TARGET, "located"))
 
 
 # overlap geometry replaced by an arithmetic match, so that the assignment itself has a SQL form
-MATCHES = "SELECT DISTINCT m.cell_id, CAST(m.cell_id % 10 AS INT) AS iy, CAST(k.k AS INT) AS ix FROM mesh m CROSS JOIN (SELECT DISTINCT CAST(n_nationkey % 5 AS INT) AS k FROM nation) k"
+MATCHES = " UNION ALL ".join(f"SELECT cell_id, CAST(cell_id % 10 AS INT) AS iy, {k} AS ix FROM mesh" for k in range(5))
 RECORDS = "SELECT day, fire_id AS record_id, CAST(fire_id % 10 AS INT) AS iy, CAST(fire_id % 7 AS INT) AS ix, genveg, area FROM fires"
 VEG = "SELECT day, cell_id, 0 AS category, 0E0 AS share, 0E0 AS known_frac, CAST(0 AS BIGINT) AS n_records FROM ({})".format(FIRE_SIZE) + " v"
 SUPPORT = f"""h AS (SELECT DISTINCT r.day, e.cell_id, r.record_id, r.genveg, r.area FROM ({RECORDS}) r JOIN ({MATCHES}) m ON m.iy = r.iy AND m.ix = r.ix
@@ -164,9 +164,9 @@ n AS (SELECT * FROM ({_veg_sql('h')}) WHERE category > 0)"""
 @query("footprint_support", ["CAST(day AS STRING) AS day", "cell_id", "ROUND(value, 3) AS value", "CAST(category AS INT) AS category", "ROUND(share, 8) AS share",
                              "CAST(n_records AS BIGINT) AS n_records"], f"""WITH {SUPPORT}
 SELECT s.day, s.cell_id, coalesce(mean_area, value) AS value, coalesce(category, 0) AS category, coalesce(share, 0) AS share, coalesce(n_records, 0) AS n_records
-FROM ({FIRE_SIZE}) s LEFT JOIN n ON n.day = s.day AND n.cell_id = s.cell_id""", ("fires", "mesh"))
+FROM ({FIRE_SIZE}) s LEFT JOIN n ON n.day = s.day AND n.cell_id = s.cell_id""", ("located", "mesh"))
 def footprint_support(i):
-    size, veg = i.sql(FIRE_SIZE, "fires", "mesh"), i.sql(VEG, "fires", "mesh")
+    size, veg = i.sql(FIRE_SIZE, "located"), i.sql(VEG, "located")
     eligible = size.filter("value = 0").select("day", "cell_id")
     new_size, new_veg = V.footprint_support(eligible, i.sql(MATCHES, "mesh"), i.sql(RECORDS, "fires"), size, veg)
     return new_size.join(new_veg, ["day", "cell_id"])

@@ -14,13 +14,13 @@ KEYS = ["variable", "cell_id"]
 MV = ["member", "variable", "cell_id", "ROUND(value, 5) AS value"]
 
 
-@query("ensemble_moments", ["variable", "cell_id", "ROUND(mean, 6) AS mean", "ROUND(variance, 3) AS variance", "CAST(n_members AS BIGINT) AS n_members"], """
+@query("ensemble_moments", ["variable", "cell_id", "ROUND(mean, 6) AS mean", "ROUND(variance, 7) AS variance", "CAST(n_members AS BIGINT) AS n_members"], """
 SELECT variable, cell_id, avg(value) AS mean, coalesce(var_samp(value), 0) AS variance, count(*) AS n_members FROM state GROUP BY 1, 2""", ("state",))
 def ensemble_moments(i):
     return E.ensemble_moments(i("state"), KEYS)
 
 
-@query("ensemble_variance_pop", ["variable", "cell_id", "ROUND(variance, 3) AS variance"], "SELECT variable, cell_id, var_pop(value) AS variance FROM state GROUP BY 1, 2", ("state",))
+@query("ensemble_variance_pop", ["variable", "cell_id", "ROUND(variance, 7) AS variance"], "SELECT variable, cell_id, var_pop(value) AS variance FROM state GROUP BY 1, 2", ("state",))
 def ensemble_variance_pop(i):
     return E.ensemble_moments(i("state"), KEYS, ddof=0)
 
@@ -113,8 +113,8 @@ def pressure_column(i):
     return C.column_pressure(i.sql(LAYERS), ["src_id"])
 
 
-CHEM = """SELECT CAST(l_shipdate AS DATE) AS file_date, CAST(l_suppkey % 4 AS INT) AS time_idx, v.variable, CAST(l_linenumber - 1 AS INT) AS lev, l_partkey % 20 AS src_id, sum(l_quantity)*v.f AS value
-FROM lineitem CROSS JOIN (SELECT 'DELP' AS variable, 1E0 AS f UNION ALL SELECT 'SO2', 2E0 UNION ALL SELECT 'NH3', 3E0) v GROUP BY 1, 2, 3, 4, 5, v.f"""
+CHEM = " UNION ALL ".join(f"""SELECT CAST(l_shipdate AS DATE) AS file_date, CAST(l_suppkey % 4 AS INT) AS time_idx, '{v}' AS variable, CAST(l_linenumber - 1 AS INT) AS lev,
+ l_partkey % 20 AS src_id, sum(l_quantity)*{f}E0 AS value FROM lineitem GROUP BY 1, 2, 4, 5""" for v, f in (("DELP", 1), ("SO2", 2), ("NH3", 3)))
 VALID = "SELECT DISTINCT CAST(l_shipdate AS TIMESTAMP) + INTERVAL '6' HOUR AS valid_time FROM lineitem"
 SPECIES_MAP = [{"source": "DELP", "target": "DPRES", "weight": 1.0}, {"source": "SO2", "target": "qso2", "weight": 0.5}, {"source": "NH3", "target": "qnh3"}]
 

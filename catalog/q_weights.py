@@ -172,8 +172,8 @@ def product_names(i):
 
 
 AXES = """SELECT 'g' AS grid_id, axis, CAST(idx AS INT) AS idx, centre FROM (
- SELECT 'lat' AS axis, s_suppkey AS idx, -90 + (s_suppkey + 0.5E0)*180/n AS centre FROM supplier, (SELECT count(*) AS n FROM supplier) c
- UNION ALL SELECT 'lon' AS axis, s_suppkey AS idx, -180 + (s_suppkey + 0.5E0)*360/n AS centre FROM supplier, (SELECT count(*) AS n FROM supplier) c) x"""
+ SELECT 'lat' AS axis, s_suppkey AS idx, -90 + (s_suppkey + 0.5E0)*180/(SELECT count(*) FROM supplier) AS centre FROM supplier
+ UNION ALL SELECT 'lon' AS axis, s_suppkey AS idx, -180 + (s_suppkey + 0.5E0)*360/(SELECT count(*) FROM supplier) AS centre FROM supplier) x"""
 
 
 @query("axis_bounds", ["axis", "idx", "ROUND(lo, 8) AS lo", "ROUND(hi, 8) AS hi"], """
@@ -192,9 +192,10 @@ def grid_cell_area(i):
     return M.grid_cells(M.axis_bounds(i.sql(AXES)))
 
 
-GRIDS = """SELECT concat('file', CAST(n.n_nationkey AS STRING)) AS grid_id, a.axis, a.idx, a.centre + (n.n_nationkey % 3)*0.000002E0 + CASE WHEN n.n_nationkey = 7 THEN 0.05E0 ELSE 0E0 END AS centre,
- concat('product', CAST(n.n_regionkey AS STRING)) AS product
-FROM ({}) a CROSS JOIN nation n""".format(AXES.replace("(s_suppkey + 0.5E0)*180/n", "s_suppkey*1.25E0").replace("(s_suppkey + 0.5E0)*360/n", "s_suppkey*2.5E0"))
+GRIDS = """SELECT concat('file', CAST(k AS STRING)) AS grid_id, concat('product', CAST(k % 5 AS STRING)) AS product, axis, idx,
+ idx*1.25E0 - 30 + (k % 3)*0.000002E0 + CASE WHEN k = 7 THEN 0.05E0 ELSE 0E0 END AS centre
+FROM (SELECT c_custkey % 25 AS k, CAST(floor(c_custkey/25) AS INT) AS idx, 'lat' AS axis FROM customer
+ UNION ALL SELECT c_custkey % 25 AS k, CAST(floor(c_custkey/25) AS INT) AS idx, 'lon' AS axis FROM customer) x"""
 
 IDENT_SQL = f"""SELECT grid_id, product, substr(sha256('lat:' || max(lat) || ';lon:' || max(lon)), 1, 16) AS fingerprint FROM (
  SELECT grid_id, product, CASE WHEN axis = 'lat' THEN t END AS lat, CASE WHEN axis = 'lon' THEN t END AS lon FROM (
@@ -247,7 +248,7 @@ def great_circle(i):
     return i("edges").join(a, "cell_id").join(b, "nbr_id").withColumn("km", G.chord_to_angle(F.sqrt(d)) * 6371.229)
 
 
-POLY = """SELECT m.*, n.n AS nv FROM mesh m CROSS JOIN (SELECT count(*) AS n FROM part) n"""
+POLY = "SELECT m.*, (SELECT count(*) FROM part) AS nv FROM mesh m"
 VERT = "SELECT p_partkey AS vertex_id, radians(CAST(p_partkey*37 % 1800 - 900 AS DOUBLE)/10) AS lat, radians(CAST(p_partkey*91 % 3600 - 1800 AS DOUBLE)/10) AS lon FROM part"
 
 
@@ -303,18 +304,20 @@ k AS (SELECT cell_id FROM mesh WHERE bdy_mask = 0),
 a AS (SELECT e.* FROM e WHERE cell_id IN (FROM k) AND nbr_id IN (FROM k))
 SELECT cell_id, count(*) AS n_neighbors FROM a WHERE nbr_id IN (SELECT cell_id FROM a) GROUP BY cell_id""", ("mesh",))
 def neighbor_table(i):
-    m = i.sql("SELECT m.*, n.n FROM mesh m CROSS JOIN (SELECT count(*) AS n FROM supplier) n", "mesh")
+    m = i.sql("SELECT m.*, (SELECT count(*) FROM supplier) AS n FROM mesh m", "mesh")
     m = m.withColumn("neighbors", F.expr("array((cell_id*7 + 1) % n + 1, (cell_id*11 + 5) % n + 1, 0)")).withColumn("n_edges", F.lit(3))
     return M.neighbor_counts(M.neighbor_edges(m))
 
 
+FIELD = """SELECT 'g' AS grid_id, CAST(-s_suppkey AS DOUBLE) AS lat, CAST(s_nationkey AS DOUBLE) AS lon, s_acctbal AS value FROM supplier"""
+
+
 @query("flat_index", ["src_id", "ROUND(value, 4) AS value"], """
-SELECT (99 - s_suppkey % 100)*50 + n_nationkey AS src_id, sum(s_acctbal*(n_nationkey + 1)) AS value FROM supplier, nation GROUP BY 1""")
+SELECT ((SELECT max(s_suppkey) FROM supplier) - s_suppkey)*n + r AS src_id, s_acctbal AS value
+FROM supplier, (SELECT count(DISTINCT s_nationkey) AS n FROM supplier), (SELECT s_nationkey AS k, row_number() OVER (ORDER BY s_nationkey) - 1 AS r FROM (SELECT DISTINCT s_nationkey FROM supplier)) WHERE k = s_nationkey""")
 def flat_index(i):
-    lat = i.sql("SELECT 'g' AS grid_id, CAST(50 - id AS DOUBLE) AS centre FROM range(100)")
-    lon = i.sql("SELECT 'g' AS grid_id, CAST(id AS DOUBLE) AS centre FROM range(50)")
-    v = i.sql("""SELECT 'g' AS grid_id, CAST(50 - s_suppkey % 100 AS DOUBLE) AS lat, CAST(n_nationkey AS DOUBLE) AS lon, sum(s_acctbal*(n_nationkey + 1)) AS value
-                 FROM supplier CROSS JOIN nation GROUP BY s_suppkey % 100, n_nationkey""")
+    v = i.sql(FIELD)
+    lat, lon = (v.select("grid_id", F.col(c).alias("centre")).distinct() for c in ("lat", "lon"))
     return M.flat_index(v, lat, lon)
 
 

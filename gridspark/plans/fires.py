@@ -65,11 +65,10 @@ def fire_emissions(fires: DataFrame, mesh: DataFrame, plan: FirePlan, index: Dat
     size_resolved = settle(days.resolve_fire_size_days(calendar, available, "series_id", plan.size_max_missing, plan.forced))
     size_long = points.to_long(moments, keys, size_fields).withColumn("series_id", F.lit("fires"))
     # a linear day brackets the best source of each neighbour: dedicated before primary
-    best = size_long.filter("source <> 'dedicated'").unionByName(
-        size_long.filter("source = 'dedicated'").withColumn("source", F.lit("primary")))
-    ranked = size_long.filter("source = 'dedicated'").select("day").distinct()
-    bracket_values = best.filter("source = 'primary'").join(ranked, "day", "left_anti").unionByName(
-        size_long.filter("source = 'dedicated'").withColumn("source", F.lit("primary")))
+    dedicated = size_long.filter("source = 'dedicated'")
+    stand_in = dedicated.withColumn("source", F.lit("primary"))
+    rest = size_long.filter("source = 'primary'").join(dedicated.select("day").distinct(), "day", "left_anti")
+    bracket_values = rest.unionByName(stand_in)
     supply = bracket_values.unionByName(size_long.filter("source <> 'primary'"))
     size = days.fill_days(supply, size_resolved, ["field", "cell_id"]).drop("series_id")
 

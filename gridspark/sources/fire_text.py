@@ -104,7 +104,7 @@ def missing_columns(lines: DataFrame, columns: dict[str, list[str]], mandatory:
 
 
 def parse_guard(df: DataFrame, mandatory: list[str], tolerance: float = UNPARSED_TOLERANCE, by: str = "file") -> DataFrame:
-    """(file, column, rule): a mandatory column without any usable value or with too many unparsed tokens.
+    """(file, field, rule): a mandatory column without any usable value or with too many unparsed tokens.
 
     All files and columns share one aggregation.
     """
@@ -112,7 +112,7 @@ def parse_guard(df: DataFrame, mandatory: list[str], tolerance: float = UNPARSED
     for m in mandatory:
         aggs += [F.sum(is_finite(F.col(m)).cast("bigint")).alias(f"ok_{m}"), F.sum(F.col(f"bad_{m}").cast("bigint")).alias(f"no_{m}")]
     per = df.groupBy(by).agg(*aggs)
-    rules = [F.struct(F.lit(m).alias("column"), F.when(F.col(f"ok_{m}") == 0, "no_usable_value").when(
+    rules = [F.struct(F.lit(m).alias("field"), F.when(F.col(f"ok_{m}") == 0, "no_usable_value").when(
         F.col(f"no_{m}") > tolerance * F.col("n"), "too_many_unparsed").alias("rule")) for m in mandatory]
     return per.select(by, F.explode(F.array(*rules)).alias("v")).select(by, "v.*").filter(F.col("rule").isNotNull())
 
