@@ -153,7 +153,7 @@ def job_time_repair(i):
 SELECT count(*) AS n_links, (SELECT count(*) FROM part) - count(DISTINCT src_id) AS missing, sum(s*area) AS implied FROM weights w JOIN dst_area a ON a.dst_id = w.dst_id""", ("weights", "dst_area"))
 def job_weight_audit(i):
     links = i.sql("SELECT dst_id*1000000 + src_id AS link_no, dst_id + 1 AS row, src_id + 1 AS col, s FROM weights", "weights")
-    a = MP.audit_weights(links, i.spark.table("supplier").count(), i.spark.table("part").count(), i("dst_area"), require_full_src=True)
+    a = MP.audit_weights(links, i.table("supplier").count(), i.table("part").count(), i("dst_area"), require_full_src=True)
     n = a["weights"].select("n_links", F.lit(1).alias("k"))
     gaps = a["violations"].agg(F.coalesce(F.sum(F.when(F.col("rule") == "missing_source", F.col("n"))), F.lit(0)).alias("missing")).withColumn("k", F.lit(1))
     area = a["area"].select(F.col("implied_source_area").alias("implied"), F.lit(1).alias("k"))

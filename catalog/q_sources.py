@@ -106,7 +106,7 @@ def source_conflicts(i):
 
 @query("alias_columns", ["p_partkey", "size", "ROUND(price, 2) AS price"], "SELECT p_partkey, p_size AS size, p_retailprice AS price FROM part")
 def alias_columns(i):
-    return GR.select_aliases(i.spark.table("part"), {"size": ["SIZE", "P_SIZE"], "price": ["cost", "p_retailprice"]}, ["p_partkey"], True)
+    return GR.select_aliases(i.table("part"), {"size": ["SIZE", "P_SIZE"], "price": ["cost", "p_retailprice"]}, ["p_partkey"], True)
 
 
 GAPPY = "SELECT p_partkey, p_brand, CASE WHEN p_partkey % 10 = 1 THEN double('NaN') WHEN p_partkey % 10 = 2 THEN NULL WHEN p_partkey % 10 = 3 THEN double('Infinity') ELSE p_retailprice END AS value FROM part"

@@ -143,7 +143,7 @@ WITH j AS (SELECT a.o_orderkey AS ka, b.o_orderkey AS kb, a.o_totalprice AS pa,
 SELECT 'o_totalprice' AS variable, count(*) FILTER (kb IS NULL) AS only_a, count(*) FILTER (ka IS NULL) AS only_b, count(*) FILTER (pa <> pb) AS n_diff, max(abs(pa - pb)) AS max_abs, sqrt(avg(power(pa - pb, 2))) AS rms FROM j
 UNION ALL SELECT 'o_custkey', count(*) FILTER (kb IS NULL), count(*) FILTER (ka IS NULL), count(*) FILTER (ca <> cb), max(abs(ca - cb)), sqrt(avg(power(ca - cb, 2))) FROM j""")
 def table_diff(i):
-    return A.diff_tables(i.spark.table("orders"), i.sql(ORDERS_B), ["o_orderkey"], ["o_totalprice", "o_custkey"])
+    return A.diff_tables(i.table("orders"), i.sql(ORDERS_B), ["o_orderkey"], ["o_totalprice", "o_custkey"])
 
 
 CONFIG_A = "SELECT concat('set:', CAST(c_custkey AS STRING)) AS key, c_mktsegment AS value FROM customer WHERE c_custkey % 17 <> 3"
@@ -217,11 +217,11 @@ SELECT member, 'factor:dust' AS rule FROM m WHERE isnan(dust_relative) OR dust_r
 UNION ALL SELECT member, 'member:range' FROM m, n WHERE member < 1 OR member > n UNION ALL SELECT member, 'member:repeated' FROM m GROUP BY member HAVING count(*) > 1
 UNION ALL SELECT CAST(k AS INT), 'member:missing' FROM (SELECT unnest(range(1, n + 1)) AS k FROM n) WHERE k NOT IN (SELECT member FROM m)""")
 def member_violations(i):
-    return S.member_factors(i.sql(MEMBERS), {"dust": 0.5, "seasalt": 2.0}, i.spark.table("supplier").count() - 1)[1]
+    return S.member_factors(i.sql(MEMBERS), {"dust": 0.5, "seasalt": 2.0}, i.table("supplier").count() - 1)[1]
 
 
 @query("member_factors", ["member", "ROUND(dust_factor, 8) AS dust_factor", "ROUND(seasalt_factor, 8) AS seasalt_factor"], f"""
 SELECT member, 0.5*dust_relative AS dust_factor, 2e0*seasalt_relative AS seasalt_factor FROM ({MEMBERS}) WHERE NOT isnan(dust_relative)""")
 def member_factors(i):
-    out, _ = S.member_factors(i.sql(MEMBERS), {"dust": 0.5, "seasalt": 2.0}, i.spark.table("supplier").count() - 1)
+    out, _ = S.member_factors(i.sql(MEMBERS), {"dust": 0.5, "seasalt": 2.0}, i.table("supplier").count() - 1)
     return out.filter(~F.isnan("dust_relative"))

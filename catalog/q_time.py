@@ -157,7 +157,7 @@ def date_helpers(i):
 @query("source_date", ["o_orderkey", "CAST(d AS STRING) AS d"], """
 SELECT o_orderkey, CASE WHEN month(o_orderdate) = 2 AND day(o_orderdate) = 29 THEN DATE '2019-02-28' ELSE make_date(2019, month(o_orderdate), day(o_orderdate)) END AS d FROM orders""")
 def source_date_query(i):
-    return i.spark.table("orders").withColumn("d", DT.source_date(F.col("o_orderdate"), 2019))
+    return i.table("orders").withColumn("d", DT.source_date(F.col("o_orderdate"), 2019))
 
 
 @query("restamp_state", ["member", "CAST(valid_time AS STRING) AS valid_time", "CAST(n AS BIGINT) AS n"], """

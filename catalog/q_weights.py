@@ -41,7 +41,7 @@ SELECT * FROM (
 ) WHERE n > 0""".replace("bad_weights", "(SELECT dst_id, src_id, CASE WHEN src_id % 5 = 0 THEN s*1.01 ELSE s END AS s FROM weights WHERE dst_id % 9 <> 4)"), ("weights",))
 def weight_validate(i):
     w = i("weights").filter("dst_id % 9 <> 4").withColumn("s", F.expr("CASE WHEN src_id % 5 = 0 THEN s*1.01D ELSE s END"))
-    return W.validate_weights(w, i.spark.table("supplier").count(), i.spark.table("part").count(), True, True)
+    return W.validate_weights(w, i.table("supplier").count(), i.table("part").count(), True, True)
 
 
 def _link_sql(side, table):
@@ -55,8 +55,8 @@ FROM (SELECT t.k, count(w.{side}) AS n FROM {table} t LEFT JOIN weights w ON t.k
        _link_sql("dst_id", "(SELECT s_suppkey AS k FROM supplier)") + " UNION ALL " + _link_sql("src_id", "(SELECT p_partkey AS k FROM part)"), ("weights",))
 def weight_link_audit(i):
     w = i("weights")
-    a = W.link_statistics(w, "dst_id", i.spark.table("supplier").count()).withColumn("side", F.lit("dst_id"))
-    return a.unionByName(W.link_statistics(w, "src_id", i.spark.table("part").count()).withColumn("side", F.lit("src_id")))
+    a = W.link_statistics(w, "dst_id", i.table("supplier").count()).withColumn("side", F.lit("dst_id"))
+    return a.unionByName(W.link_statistics(w, "src_id", i.table("part").count()).withColumn("side", F.lit("src_id")))
 
 
 @query("weight_value_audit", ["CAST(n_links AS BIGINT) AS n_links", "ROUND(min, 9) AS min", "ROUND(mean, 9) AS mean", "ROUND(max, 9) AS max",
@@ -160,7 +160,7 @@ def sector_sum(i):
 @query("source_field_terms", ["l_orderkey", "l_linenumber", "l_partkey", "ROUND(value, 4) AS value"], """
 SELECT l_orderkey, l_linenumber, l_partkey, 2.0*l_quantity + -0.5*l_extendedprice AS value FROM lineitem""")
 def source_field_terms(i):
-    return S.source_field(i.spark.table("lineitem"), [("l_quantity", 2.0), ("l_extendedprice", -0.5)])
+    return S.source_field(i.table("lineitem"), [("l_quantity", 2.0), ("l_extendedprice", -0.5)])
 
 
 @query("product_names", ["p_partkey", "name"], """

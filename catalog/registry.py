@@ -5,6 +5,7 @@ by one IEEE division of integers to keep them bit-identical.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,20 +38,34 @@ def ctes(*names: str) -> str:
     return "WITH " + ",\n".join(parts)
 
 
+_views: dict[tuple[str, str], str] = {}
+
+
 class Inputs:
-    """DataFrames of the inputs over one folder of tables."""
+    """DataFrames of the inputs over one folder of tables; a table is opened when a text names it."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        for t in TABLES:
-            spark.read.parquet(f"{self.folder}/{t}.parquet").createOrReplaceTempView(t)
+
+    def table(self, name: str) -> DataFrame:
+        self._open(name)
+        return self.spark.table(name)
+
+    def _open(self, text: str) -> None:
+        app = self.spark.sparkContext.applicationId
+        for t in set(re.findall(r"[a-z]+", text)) & set(TABLES):
+            if _views.get((app, t)) != self.folder:
+                self.spark.read.parquet(f"{self.folder}/{t}.parquet").createOrReplaceTempView(t)
+                _views[app, t] = self.folder
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.sql(f"{ctes(name)} SELECT * FROM {name}")
+        return self.sql(f"SELECT * FROM {name}", name)
 
     def sql(self, text: str, *names: str) -> DataFrame:
-        return self.spark.sql(f"{ctes(*names)} {text}" if names else text)
+        whole = f"{ctes(*names)} {text}" if names else text
+        self._open(whole)
+        return self.spark.sql(whole)
 
 
 def query(name: str, cols: list[str], sql: str | None = None, needs: tuple[str, ...] = ()):

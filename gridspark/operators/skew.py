@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridspark.session import settle
@@ -29,13 +29,15 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list:
     """Keys holding more than ``share`` of the rows.
 
     There can be at most ``1 / share`` of them, so the result fits the driver at any
-    data size. Only the key columns are read, and counts combine before the shuffle.
+    data size. One job reads only the key columns, counts combine before the shuffle, and
+    the total is observed on the way.
     """
-    total = df.count()
-    if total == 0:
+    seen = Observation()
+    counts = df.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.col("_n").desc()).limit(int(1 / share)).collect()
+    if not top:
         return []
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return [tuple(r[k] for k in keys) for r in counts.filter(F.col("_n") > total * share).collect()]
+    return [tuple(r[k] for k in keys) for r in top if r["_n"] > seen.get["rows"] * share]
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",

@@ -147,18 +147,24 @@ def interpolate(values: DataFrame, brackets: DataFrame, keys: list[str], value:
                 series: str = "series_id") -> DataFrame:
     """Blend record values to targets: values(series, record_id, keys, value) -> (series, target, keys, value).
 
-    Each bracket contributes two weights to the record side and one sum per target, so the values
-    pass through a single equi-join on the record id and an aggregation that combines early.
+    Targets between the same two records share them, so values are shuffled once per record pair and
+    the targets are exploded afterwards, in place: what moves grows with the source, not with the
+    schedule. ``record_id`` and keys identify a value; a key absent from one record counts as 0 there.
     """
     b = brackets.filter(F.col("before_id").isNotNull())
-    alpha = F.col("alpha")
-    parts = F.array(F.struct(F.col("before_id").alias("record_id"), (1.0 - alpha).alias("w")),
-                    F.struct(F.col("after_id").alias("record_id"), alpha.alias("w")))
-    used = F.when((F.col("before_id") == F.col("after_id")) | (alpha == 0.0),
-                  F.slice(parts, 1, 1)).otherwise(parts)
-    weights = b.select(series, "target", F.explode(used).alias("p")).select(series, "target", "p.*")
-    joined = values.join(weights, [series, "record_id"])
-    return joined.groupBy(series, "target", *keys).agg(F.sum(F.col("w") * F.col(value)).alias(value))
+    pair = [series, "before_id", "after_id"]
+    steps = b.groupBy(*pair).agg(F.collect_list(F.struct("target", "alpha")).alias("steps"))
+    ends = F.when(F.col("before_id") == F.col("after_id"), F.array(F.struct(F.col("before_id").alias("record_id"), F.lit(True).alias("first"))))
+    ends = ends.otherwise(F.array(F.struct(F.col("before_id").alias("record_id"), F.lit(True).alias("first")),
+                                  F.struct(F.col("after_id").alias("record_id"), F.lit(False).alias("first"))))
+    sides = b.select(*pair).distinct().withColumn("e", F.explode(ends)).select(*pair, "e.*")
+    both = values.join(sides, [series, "record_id"]).groupBy(*pair, *keys).agg(
+        F.sum(F.when(F.col("first"), F.col(value))).alias("_b"), F.sum(F.when(~F.col("first"), F.col(value))).alias("_a"))
+    wide = both.join(steps, pair).withColumn("s", F.explode("steps"))
+    x, y, alpha = F.coalesce("_b", F.lit(0.0)), F.coalesce("_a", F.lit(0.0)), F.col("s.alpha")
+    same = F.col("before_id") == F.col("after_id")
+    return wide.select(series, F.col("s.target").alias("target"), *keys,
+                       F.when(same, x).otherwise((1.0 - alpha) * x + alpha * y).alias(value))
 
 
 def fill_times(values: DataFrame, records: DataFrame, start, end, step_seconds: int, keys: list[str],

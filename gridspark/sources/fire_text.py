@@ -45,14 +45,13 @@ def file_layouts(lines: DataFrame) -> DataFrame:
     """One row per file: header names and delimiter, from its first two content lines.
 
     Comma applies when the header has at least two and the first record at least max(2, header - 1);
-    otherwise blanks and commas both separate. Both lines are minima that combine before the shuffle.
+    otherwise blanks and commas both separate. The header is the first line, the record the first that
+    does not begin with a letter; both are minima of one pass that combine before the shuffle.
     """
-    head = lines.groupBy("file").agg(F.min(F.struct("pos", "line")).alias("h"))
-    rest = lookup_join(lines, head.select("file", F.col("h.pos").alias("head_pos")), ["file"], "inner")
-    second = rest.filter(F.col("pos") > F.col("head_pos")).groupBy("file").agg(
-        F.min(F.struct("pos", "line")).alias("d"))
-    both = head.join(second, "file", "left").select(
-        "file", F.col("h.pos").alias("head_pos"), F.col("h.line").alias("header"), F.col("d.line").alias("first"))
+    at = F.struct("pos", "line")
+    both = lines.groupBy("file").agg(
+        F.min(at).alias("h"), F.min(F.when(~F.col("line").rlike("^[A-Za-z_]"), at)).alias("d"))
+    both = both.select("file", F.col("h.pos").alias("head_pos"), F.col("h.line").alias("header"), F.col("d.line").alias("first"))
     n = _comma_count(F.col("header"))
     comma = (n >= 2) & (F.col("first").isNull() | (_comma_count(F.col("first")) >= F.greatest(F.lit(2), n - 1)))
     both = both.withColumn("comma", comma)
