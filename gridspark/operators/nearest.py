@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions import geometry as G
-from gridspark.operators.skew import salted_join
+from gridspark.operators.skew import lookup_join, salted_join
 from gridspark.session import settle
 
 MAX_CANDIDATES = 32
@@ -100,37 +100,34 @@ def nearest_cell(points: DataFrame, mesh: DataFrame, interior_only: bool = False
         raise ValueError("factor must be positive")
     used = mesh.filter(F.col("bdy_mask") == 0) if interior_only else mesh
     boxes = cell_index(used) if index is None else index
-    levels = sorted(r["level"] for r in boxes.select("level").distinct().collect())
+    facts = boxes.agg(F.collect_set("level").alias("levels"), F.count(F.lit(1)).alias("n")).first()
     inf = float("inf")
     fine = (F.abs(F.col(lat)) <= 90.0) & ~F.isnan(lon) & (F.abs(F.col(lon)) < inf)
-    # points without a usable position stay in the output under a level no box has
+    # a point without a usable position is looked up at (1, 0, 0) and given -1 afterwards
+    nowhere = F.struct(F.lit(1.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
     p = points.withColumn("_ok", F.coalesce(fine, F.lit(False))).withColumn(
-        "_p", F.when(F.col("_ok"), G.unit_xyz(F.radians(lat), F.radians(lon))))
-    tried = F.when(F.col("_ok"), F.array(*[F.lit(v) for v in levels])).otherwise(F.array(F.lit(-1)))
-    keyed = p.withColumn("level", F.explode(tried))
+        "_p", F.when(F.col("_ok"), G.unit_xyz(F.radians(lat), F.radians(lon))).otherwise(nowhere))
+    keyed = p.withColumn("level", F.explode(F.array(*[F.lit(v) for v in sorted(facts["levels"])])))
     for a in "xyz":
-        keyed = keyed.withColumn(f"b{a}", F.when(F.col("_ok"), _box_of(F.col(f"_p.{a}"), F.col("level"))).otherwise(0))
+        keyed = keyed.withColumn(f"b{a}", _box_of(F.col(f"_p.{a}"), F.col("level")))
     box = ["level", "bx", "by", "bz"]
     # every position lies in exactly one box over all levels, so the inner join restores one row per point
-    sentinel = boxes.limit(1).select(F.lit(-1).alias("level"), F.lit(0).alias("bx"), F.lit(0).alias("by"),
-                                     F.lit(0).alias("bz"), F.slice("cands", 1, 0).alias("cands"))
-    table = boxes.unionByName(sentinel)
-    if boxes.count() <= broadcast_boxes:
-        joined = keyed.join(F.broadcast(table), box)
+    if facts["n"] <= broadcast_boxes:
+        joined = keyed.join(F.broadcast(boxes), box)
     else:
-        joined = salted_join(keyed, table, box)
+        joined = salted_join(keyed, boxes, box)
     px, py, pz = (F.col(f"_p.{a}") for a in "xyz")
     scored = F.transform("cands", lambda c: F.struct(
         G.chord2(px, py, pz, c["x"], c["y"], c["z"]).alias("d"), c["cell_id"].alias("cell_id")))
     hit = joined.withColumn("_n", F.array_min(scored))
     angle = G.chord_to_angle(F.sqrt("_n.d"))
-    hit = hit.withColumn("cell_id", F.coalesce("_n.cell_id", F.lit(-1)).cast("bigint")).withColumn(
-        "distance_km", angle * (radius_m / 1000.0))
+    hit = hit.withColumn("cell_id", F.when(F.col("_ok"), F.col("_n.cell_id")).otherwise(F.lit(-1)).cast("bigint"))
+    hit = hit.withColumn("distance_km", F.when(F.col("_ok"), angle * (radius_m / 1000.0)))
     if reject_outside:
         shape = [c for c in ("corner_lat", "corner_lon") if c in mesh.columns]
         cell = mesh.select("cell_id", F.col("area_m2").alias("_area"), F.col("lat").alias("_clat"),
                            F.col("lon").alias("_clon"), *shape)
-        hit = salted_join(hit, cell, ["cell_id"], "left")
+        hit = lookup_join(hit, cell, ["cell_id"])
         near = F.col("distance_km") * 1000.0 <= factor * F.sqrt(F.col("_area") / F.lit(3.141592653589793))
         if len(shape) == 2:
             near = near & G.inside_polygon(F.radians(lat), F.radians(lon), F.col("corner_lat"), F.col("corner_lon"),
