@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.dates import source_date
+from gridspark.operators.skew import lookup_join
 
 TOP_PRESSURE_PA = 1.0
 
@@ -61,7 +62,7 @@ def flip_levels(df: DataFrame, column: list[str], level: str = "lev") -> DataFra
     The number of levels is an aggregate over the fields, not a window over the rows.
     """
     n = df.groupBy(*column).agg((F.max(level) + 1).alias("_n"))
-    return df.join(n, column).withColumn("out_lev", (F.col("_n") - F.col(level)).cast("int")).drop("_n")
+    return lookup_join(df, n, column, "inner").withColumn("out_lev", (F.col("_n") - F.col(level)).cast("int")).drop("_n")
 
 
 def time_index(valid: Column, n_times: Column, interval_hours: int) -> Column:
@@ -79,7 +80,7 @@ def chem_columns(chem: DataFrame, valid_times: DataFrame, species_map: list[dict
     n_times = chem.groupBy("file_date").agg((F.max("time_idx") + 1).alias("n_times"))
     want = valid_times.withColumn("file_date", source_date(F.col("valid_time"), source_year)).join(n_times, "file_date")
     want = want.withColumn("time_idx", time_index(F.col("valid_time"), F.col("n_times"), interval_hours))
-    picked = chem.join(want.select("valid_time", "file_date", "time_idx"), ["file_date", "time_idx"])
+    picked = lookup_join(chem, want.select("valid_time", "file_date", "time_idx"), ["file_date", "time_idx"], "inner")
     mapped = map_species(picked.drop("file_date", "time_idx"), species_map, scaling)
     dp = mapped.filter(F.col("variable") == thickness)
     pres = column_pressure(dp, ["valid_time", "src_id"], "lev", "value").withColumn(

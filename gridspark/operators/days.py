@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.skew import lookup_join
+
 
 def day_calendar(start, end, series: DataFrame) -> DataFrame:
     """One row per series and day from start to end inclusive."""
@@ -118,7 +120,8 @@ def fill_days(values: DataFrame, resolved: DataFrame, keys: list[str], series: s
     """
     parts = day_parts(resolved, series)
     src = values.withColumnRenamed("day", "source_day")
-    joined = src.join(parts, [series, "source", "source_day"])
+    # a day may hold most of the rows; the choice is one row per day and source
+    joined = lookup_join(src, parts, [series, "source", "source_day"], "inner")
     return joined.groupBy(series, "day", *keys).agg(F.sum(F.col("weight") * F.col(value)).alias(value))
 
 

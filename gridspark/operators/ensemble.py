@@ -1,7 +1,7 @@
 """Ensemble and model-state arithmetic on long state(member, variable, cell_id, level, value)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Variables of an analysis increment, and its default window.
@@ -39,39 +39,42 @@ def increment_summary(a: DataFrame, b: DataFrame, keys: list[str], value: str =
         f(c).alias(f"{c}_{n}") for c in "abd" for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg))])
 
 
-def _with_stats(state: DataFrame, keys: list[str], tag: str, value: str, spread: bool = False) -> DataFrame:
-    aggs = [F.avg(value).alias(f"{tag}_mean")]
-    if spread:
-        aggs.append(F.stddev_samp(value).alias(f"{tag}_std"))
-    return state.groupBy(*keys).agg(*aggs)
+def _tagged(prior: DataFrame, post: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Both ensembles in one table, so that statistics and perturbations need a single shuffle on ``keys``."""
+    a = post.select("member", *keys, F.col(value).alias("_v"), F.lit(True).alias("_post"))
+    return a.unionByName(prior.select("member", *keys, F.col(value).alias("_v"), F.lit(False).alias("_post")))
 
 
 def rtpp(prior: DataFrame, post: DataFrame, keys: list[str], factor: float, value: str = "value") -> DataFrame:
     """Relaxation to prior perturbations: ``mean_a + (1 - f) x_a' + f x_b'``; f in [0, 1].
 
-    prior and post are (member, keys, value). One join on (member, keys) and one mean per point.
+    prior and post are (member, keys, value). Windows cover the members of one point, a group as large as
+    the ensemble; both partition by ``keys``, so the rows move once.
     """
     if not 0.0 <= factor <= 1.0:
         raise ValueError("relaxation factor must lie in [0, 1]")
-    both = post.select("member", *keys, F.col(value).alias("_a")).join(
-        prior.select("member", *keys, F.col(value).alias("_b")), ["member", *keys])
-    means = both.groupBy(*keys).agg(F.avg("_a").alias("_ma"), F.avg("_b").alias("_mb"))
-    pert = (1.0 - factor) * (F.col("_a") - F.col("_ma")) + factor * (F.col("_b") - F.col("_mb"))
-    return both.join(means, keys).select("member", *keys, (F.col("_ma") + pert).alias(value))
+    point, own = Window.partitionBy(*keys), Window.partitionBy(*keys, "member")
+    a, b = F.when(F.col("_post"), F.col("_v")), F.when(~F.col("_post"), F.col("_v"))
+    x = _tagged(prior, post, keys, value).withColumn("_ma", F.avg(a).over(point)).withColumn("_mb", F.avg(b).over(point))
+    x = x.withColumn("_b", F.max(b).over(own)).filter(F.col("_post") & F.col("_b").isNotNull())
+    pert = (1.0 - factor) * (F.col("_v") - F.col("_ma")) + factor * (F.col("_b") - F.col("_mb"))
+    return x.select("member", *keys, (F.col("_ma") + pert).alias(value))
 
 
 def rtps(prior: DataFrame, post: DataFrame, keys: list[str], factor: float, value: str = "value") -> DataFrame:
     """Relaxation to prior spread: perturbations times ``1 + f (s_b - s_a) / s_a``; zero spread is left alone."""
-    stats = _with_stats(post, keys, "_a", value, True).join(_with_stats(prior, keys, "_b", value, True), keys)
-    grow = F.when(F.col("_a_std") > 0, 1.0 + factor * (F.col("_b_std") - F.col("_a_std")) / F.col("_a_std")).otherwise(1.0)
-    return post.join(stats, keys).select(
-        "member", *keys, (F.col("_a_mean") + (F.col(value) - F.col("_a_mean")) * grow).alias(value))
+    point = Window.partitionBy(*keys)
+    a, b = F.when(F.col("_post"), F.col("_v")), F.when(~F.col("_post"), F.col("_v"))
+    x = _tagged(prior, post, keys, value).withColumn("_m", F.avg(a).over(point)).withColumn(
+        "_sa", F.stddev_samp(a).over(point)).withColumn("_sb", F.stddev_samp(b).over(point)).filter("_post")
+    grow = F.when(F.col("_sa") > 0, 1.0 + factor * F.try_divide(F.col("_sb") - F.col("_sa"), F.col("_sa"))).otherwise(1.0)
+    return x.select("member", *keys, (F.col("_m") + (F.col("_v") - F.col("_m")) * grow).alias(value))
 
 
 def inflate(state: DataFrame, keys: list[str], factor: float, value: str = "value") -> DataFrame:
     """Multiplicative inflation of the perturbations about the mean."""
-    return state.join(_with_stats(state, keys, "_m", value), keys).select(
-        "member", *keys, (F.col("_m_mean") + (F.col(value) - F.col("_m_mean")) * factor).alias(value))
+    x = state.withColumn("_m", F.avg(value).over(Window.partitionBy(*keys)))
+    return x.select("member", *keys, (F.col("_m") + (F.col(value) - F.col("_m")) * factor).alias(value))
 
 
 def recenter(ensemble: DataFrame, centre: DataFrame, variables: list[str], keys: list[str],
@@ -80,7 +83,8 @@ def recenter(ensemble: DataFrame, centre: DataFrame, variables: list[str], keys:
 
     Every other variable is the centre's own value for each member. ``keys`` include ``variable``.
     """
-    means = _with_stats(ensemble, keys, "_e", value)
-    moved = ensemble.join(means, keys).join(centre.select(*keys, F.col(value).alias("_c")), keys)
-    new = F.when(F.col("variable").isin(variables), F.col(value) - F.col("_e_mean") + F.col("_c")).otherwise(F.col("_c"))
-    return moved.select("member", *keys, new.alias(value)), means.withColumnRenamed("_e_mean", value)
+    x = ensemble.withColumn("_m", F.avg(value).over(Window.partitionBy(*keys)))
+    moved = x.join(centre.select(*keys, F.col(value).alias("_c")), keys)
+    new = F.when(F.col("variable").isin(variables), F.col(value) - F.col("_m") + F.col("_c")).otherwise(F.col("_c"))
+    means = ensemble.groupBy(*keys).agg(F.avg(value).alias(value))
+    return moved.select("member", *keys, new.alias(value)), means

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions import geometry as G
+from gridspark.operators.skew import lookup_join
 
 
 def axis_bounds(axis: DataFrame) -> DataFrame:
@@ -46,15 +47,15 @@ def grid_cells(bounds: DataFrame) -> DataFrame:
     lat = bounds.filter(F.col("axis") == "lat").select(
         "grid_id", F.dense_rank().over(Window.partitionBy("grid_id").orderBy("centre")).alias("i"),
         F.col("centre").alias("lat"), F.col("lo").alias("lat_lo"), F.col("hi").alias("lat_hi"))
-    lon = bounds.filter(F.col("axis") == "lon").select(
-        "grid_id", F.dense_rank().over(Window.partitionBy("grid_id").orderBy("centre")).alias("j"),
-        F.count(F.lit(1)).over(Window.partitionBy("grid_id")).alias("nlon"),
-        F.col("centre").alias("lon"), F.col("lo").alias("lon_lo"), F.col("hi").alias("lon_hi"))
-    cells = lat.join(F.broadcast(lon), "grid_id")  # one axis: at most a few thousand rows
-    src = (F.col("i") - 1) * F.col("nlon") + (F.col("j") - 1)
-    area = G.band_area_sr(F.col("lat_lo"), F.col("lat_hi"), F.col("lon_hi") - F.col("lon_lo"))
-    return cells.select("grid_id", src.cast("bigint").alias("src_id"), "lat", "lon", "lat_lo", "lat_hi",
-                        "lon_lo", "lon_hi", area.alias("area_sr"))
+    # the longitudes of a grid travel as one array, so a latitude row explodes into its own cells
+    entry = F.struct(F.col("centre").alias("lon"), F.col("lo").alias("lon_lo"), F.col("hi").alias("lon_hi"))
+    lon = bounds.filter(F.col("axis") == "lon").groupBy("grid_id").agg(F.array_sort(F.collect_list(entry)).alias("lons"))
+    cells = lookup_join(lat, lon, ["grid_id"], "inner").withColumn("nlon", F.size("lons"))
+    cells = cells.select("*", F.posexplode("lons").alias("j", "x"))
+    src = (F.col("i") - 1) * F.col("nlon") + F.col("j")
+    area = G.band_area_sr(F.col("lat_lo"), F.col("lat_hi"), F.col("x.lon_hi") - F.col("x.lon_lo"))
+    return cells.select("grid_id", src.cast("bigint").alias("src_id"), "lat", "x.lon", "lat_lo", "lat_hi",
+                        "x.lon_lo", "x.lon_hi", area.alias("area_sr"))
 
 
 def flat_index(values: DataFrame, lat_axis: DataFrame, lon_axis: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def flat_index(values: DataFrame, lat_axis: DataFrame, lon_axis: DataFrame) -> D
     lat = lat_axis.select("grid_id", F.col("centre").alias("lat"), (F.dense_rank().over(wl) - 1).alias("i"))
     lon = lon_axis.select("grid_id", F.col("centre").alias("lon"), (F.dense_rank().over(wl) - 1).alias("j"),
                           F.count(F.lit(1)).over(Window.partitionBy("grid_id")).alias("nlon"))
-    out = values.join(F.broadcast(lat), ["grid_id", "lat"]).join(F.broadcast(lon), ["grid_id", "lon"])
+    out = lookup_join(lookup_join(values, lat, ["grid_id", "lat"], "inner"), lon, ["grid_id", "lon"], "inner")
     return out.withColumn("src_id", (F.col("i") * F.col("nlon") + F.col("j")).cast("bigint")).drop("i", "j", "nlon")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.skew import lookup_join
+
 BUCKET_SECONDS = 86400
 _METHODS = ("linear", "nearest", "hold")
 
@@ -158,9 +160,10 @@ def interpolate(values: DataFrame, brackets: DataFrame, keys: list[str], value:
     ends = ends.otherwise(F.array(F.struct(F.col("before_id").alias("record_id"), F.lit(True).alias("first")),
                                   F.struct(F.col("after_id").alias("record_id"), F.lit(False).alias("first"))))
     sides = b.select(*pair).distinct().withColumn("e", F.explode(ends)).select(*pair, "e.*")
-    both = values.join(sides, [series, "record_id"]).groupBy(*pair, *keys).agg(
+    # a record may hold most of the rows; what is joined to it is one row per record or pair
+    both = lookup_join(values, sides, [series, "record_id"], "inner").groupBy(*pair, *keys).agg(
         F.sum(F.when(F.col("first"), F.col(value))).alias("_b"), F.sum(F.when(~F.col("first"), F.col(value))).alias("_a"))
-    wide = both.join(steps, pair).withColumn("s", F.explode("steps"))
+    wide = lookup_join(both, steps, pair, "inner").withColumn("s", F.explode("steps"))
     x, y, alpha = F.coalesce("_b", F.lit(0.0)), F.coalesce("_a", F.lit(0.0)), F.col("s.alpha")
     same = F.col("before_id") == F.col("after_id")
     return wide.select(series, F.col("s.target").alias("target"), *keys,

@@ -36,13 +36,14 @@ def densify(values: DataFrame, cells: DataFrame, axes: dict[str, Column], value:
             cell: str = "cell_id") -> DataFrame:
     """Every cell x every entry of ``axes``, zero where there is no value; for use right before the sink.
 
-    ``axes`` maps a key column to an array expression (a date sequence, a field list), so the
-    dense frame is exploded from the cells in place and no cross join is planned.
+    ``axes`` maps a key column to an array expression (a date sequence, a field list). Cells and the
+    sparse values are partitioned by cell; the dense frame is exploded from the cells in place and meets
+    the values where it is, so the dense rows themselves are not shuffled.
     """
-    frame = cells.select(cell)
+    frame = cells.select(cell).repartition(cell)
     for name, entries in axes.items():
         frame = frame.withColumn(name, F.explode(entries))
-    dense = frame.join(values, [*axes, cell], "left")
+    dense = frame.join(values.repartition(cell), [*axes, cell], "left")
     return dense.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
 
 

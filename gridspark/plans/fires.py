@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators import days, points, vegetation, weights
 from gridspark.operators.nearest import nearest_cell
+from gridspark.operators.skew import lookup_join
 from gridspark.plans.inventories import Result
 from gridspark.session import settle
 from gridspark.sources.products import finite_violations, violation_table
@@ -40,7 +41,8 @@ def fire_emissions(fires: DataFrame, mesh: DataFrame, plan: FirePlan, index: Dat
     aggregation per product; day resolution joins a calendar of a few rows; hours are exploded at the end.
     """
     located = nearest_cell(fires, mesh, plan.interior_only, plan.reject_outside, index=index)
-    located = settle(located)
+    wanted = [c for c in ("area", "frp", *plan.species) if c in located.columns]
+    located = settle(located.select("source", "day", "cell_id", *dict.fromkeys(wanted)))
     keys = ["source", "day", "cell_id"]
     fields = [plan.species[s] for s in plan.species if plan.kinds[plan.species[s]] != "scalar"]
     sums = points.aggregate_points(located.filter(F.col("source") != "dedicated"), keys, plan.species,
@@ -51,7 +53,7 @@ def fire_emissions(fires: DataFrame, mesh: DataFrame, plan: FirePlan, index: Dat
     long_p = points.to_long(prim, keys, fields)
     long_f = points.to_long(fall, keys, fields)
     ratio = days.fallback_factors(long_p.drop("source"), long_f.drop("source"), mesh, fields, plan.scale_method)
-    long_f = long_f.join(ratio, "field").withColumn("value", F.col("value") * F.col("factor")).drop("factor")
+    long_f = lookup_join(long_f, ratio, ["field"], "inner").withColumn("value", F.col("value") * F.col("factor")).drop("factor")
     series = fires.sparkSession.createDataFrame([("fires",)], "series_id string")
     calendar = days.day_calendar(plan.start, plan.end, series)
     available = located.select(F.lit("fires").alias("series_id"), "day", "source").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridspark.functions.numbers import missing_policy
 from gridspark.functions.units import convert_units
 from gridspark.operators import scaling, timeaxis, weights
+from gridspark.operators.skew import lookup_join
 from gridspark.session import settle
 from gridspark.sources.products import finite_violations, violation_table
 
@@ -86,7 +87,7 @@ def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src
     brackets = settle(brackets)
     used = timeaxis.needed_records(brackets, series)
     keys = [series, "record_id"]
-    src = source_fields(wide.join(used, keys, "left_semi"), [*keys, "src_id"], specs, list(blocks))
+    src = source_fields(lookup_join(wide, used, keys, "left_semi"), [*keys, "src_id"], specs, list(blocks))
     on_mesh = settle(weights.apply_weights(src, links, [*keys, "field"]))
     out = timeaxis.interpolate(on_mesh, brackets, ["field", "dst_id"], series=series).withColumnRenamed("dst_id", "cell_id")
     checks = {

@@ -18,6 +18,8 @@ def get_session(app: str = "gridspark", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # sides already partitioned by part of the join key are joined as they are
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
