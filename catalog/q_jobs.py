@@ -18,13 +18,13 @@ from gridspark.plans import observations as OP
 from gridspark.session import work_dir
 from gridspark.streaming import departures as SD
 
-SLABS = """SELECT 's' AS series_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS record_id, l_partkey AS src_id, sum(l_quantity) AS a, sum(l_discount*100) AS b FROM lineitem
+SLABS = """SELECT 's' AS series_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS record_id, l_partkey AS src_id, sum(l_quantity) AS a, CAST(sum(CAST(round(l_discount*100) AS BIGINT)) AS DOUBLE) AS b FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1998-03-01 00:00:00' AND l_shipdate < TIMESTAMP '1998-03-21 00:00:00' AND extract(day FROM l_shipdate) % 4 <> 2 GROUP BY 1, 2, 3"""
 SLAB_RECORDS = """SELECT DISTINCT 's' AS series_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS record_id, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS valid_time FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1998-03-01 00:00:00' AND l_shipdate < TIMESTAMP '1998-03-21 00:00:00' AND extract(day FROM l_shipdate) % 4 <> 2"""
 
 
-@query("job_regular_inventory", ["CAST(valid_time AS STRING) AS valid_time", "field", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 7) AS value"], f"""
+@query("job_regular_inventory", ["CAST(valid_time AS STRING) AS valid_time", "field", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 9) AS value"], f"""
 WITH v AS (SELECT record_id, src_id, a + 2e0*b AS x, b AS y FROM ({SLABS})), r AS (SELECT * FROM ({SLAB_RECORDS})),
 t AS (SELECT unnest(range(TIMESTAMP '1998-03-03', TIMESTAMP '1998-03-16 00:00:01', INTERVAL 6 HOUR)) AS target),
 p AS (SELECT t.target, r.record_id, r.valid_time AS b FROM t ASOF JOIN r ON r.valid_time <= t.target), n AS (SELECT t.target, r.record_id, r.valid_time AS a FROM t ASOF JOIN r ON r.valid_time >= t.target),
