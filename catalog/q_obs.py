@@ -302,3 +302,10 @@ def superob(i):
 def time_window(i):
     w = Q.in_window(i("obs"), F.lit("2024-01-10 12:00:00").cast("timestamp"), 6.0, 6.0)
     return w.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bias_guards", [*CH, "predictor", "enough", "ROUND(err, 7) AS err"], f"""
+WITH s AS ({SUMS_SQL}), c AS ({_solve_sql()}) SELECT observer, channel, predictor, n_obs >= 55 AS enough, least(greatest(err, 0.02), 0.05) AS err FROM c""", ("obs",))
+def bias_guards(i):
+    sums = B.normal_sums(i("obs"), PRED, CH)
+    return B.training_guards(sums, B.solve_bias(sums, PRED, CH), CH, min_obs=55, variance=(0.02, 0.05))

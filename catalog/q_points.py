@@ -200,3 +200,19 @@ def overlap_pairs(i):
     pixels = placed.join(lat.select(F.col("idx").alias("iy"), F.col("lo").alias("lat_lo"), F.col("hi").alias("lat_hi")), "iy").join(
         lon.select(F.col("idx").alias("ix"), F.col("lo").alias("lon_lo"), F.col("hi").alias("lon_hi")), "ix")
     return V.overlap_pairs(cells, pixels)[0]
+
+
+PARTIAL = "SELECT genveg, fire_id, area, CASE WHEN genveg % 2 = 0 THEN frp END AS frp FROM fires"
+
+
+@query("optional_defaults", ["genveg", "ROUND(frp, 3) AS frp", "spread", "CAST(n AS BIGINT) AS n"], f"""
+SELECT genveg, sum(coalesce(frp, 0)) AS frp, 0e0 AS spread, count(*) AS n FROM ({PARTIAL}) GROUP BY genveg""", ("fires",))
+def optional_defaults(i):
+    out, _ = P.default_optional(i.sql(PARTIAL, "fires"), ["frp", "spread"], ["genveg"])
+    return out.groupBy("genveg").agg(F.sum("frp").alias("frp"), F.sum("spread").alias("spread"), F.count(F.lit(1)).alias("n"))
+
+
+@query("optional_warnings", ["genveg", "field"], """
+SELECT DISTINCT genveg, 'spread' AS field FROM fires UNION ALL SELECT DISTINCT genveg, 'frp' FROM fires WHERE genveg % 2 = 1""", ("fires",))
+def optional_warnings(i):
+    return P.default_optional(i.sql(PARTIAL, "fires"), ["frp", "spread"], ["genveg"])[1]

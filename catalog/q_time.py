@@ -241,3 +241,11 @@ SELECT a.field, least(greatest(quantile_cont(num/den, 0.5), 0.25), 4.0) AS facto
 def fallback_ratio(i):
     p, f = i.sql(FB.format("co", "< 3"), "located"), i.sql(FB.format("frp/4", ">= 3"), "located")
     return DY.fallback_factors(p, f, i("mesh"), ["f0", "f1", "f2"])
+
+
+@query("provenance", ["series_id", "CAST(target_count AS BIGINT) AS target_count", "CAST(exact AS BIGINT) AS exact", "inventory", "scaling", "offset_hours"], f"""
+WITH {ASOF} SELECT series_id, count(*) AS target_count, count(*) FILTER (a = b) AS exact, 'blend' AS inventory, '{{"default": 0.5}}' AS scaling, -24e0 AS offset_hours FROM n GROUP BY series_id""", ("records", "targets"))
+def provenance(i):
+    from gridspark.sources.products import inventory_provenance
+    summary = TA.bracket_summary(TA.time_brackets(i("records"), i("targets"), extrapolate=True))
+    return inventory_provenance(summary, {"inventory": "blend", "scaling": {"default": 0.5}, "offset_hours": -24.0})

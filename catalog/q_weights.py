@@ -340,3 +340,24 @@ FROM d JOIN mesh m ON m.cell_id = d.cell_id CROSS JOIN h""", ("located", "mesh")
 def diurnal_expand(i):
     daily = P.aggregate_points(i("located"), ["cell_id", "day"], {"co": "value"})
     return P.expand_diurnal(daily, i("mesh"), PROFILE, ["value"])
+
+
+CENTRES = """SELECT concat('g', CAST(c_custkey % 25 AS STRING)) AS grid_id, CASE WHEN c_custkey % 2 = 0 THEN 'lat' ELSE 'lon' END AS axis, CAST(floor(c_custkey/50) AS INT) AS idx,
+ CASE WHEN c_custkey % 25 = 3 AND floor(c_custkey/50) = 5 THEN 0E0 ELSE CAST(floor(c_custkey/50) AS DOUBLE)*360/(SELECT count(*)/50 FROM customer) END AS centre FROM customer"""
+
+
+@query("axis_rules", ["grid_id", "axis", "rule"], f"""
+WITH c AS ({CENTRES}), d AS (SELECT *, centre - lag(centre) OVER (PARTITION BY grid_id, axis ORDER BY idx) AS step FROM c),
+s AS (SELECT grid_id, axis, count(*) AS n, min(step) AS least_step, max(centre) - min(centre) + (arg_min(step, idx) FILTER (step IS NOT NULL) + arg_max(step, idx))/2 AS span FROM d GROUP BY 1, 2)
+SELECT grid_id, axis, CASE WHEN n < 2 THEN 'too_short' WHEN least_step <= 0 THEN 'not_increasing' WHEN axis = 'lon' AND abs(span - 360) > 1e-6 THEN 'span_not_360' END AS rule
+FROM s WHERE rule IS NOT NULL""".replace("WHERE rule IS NOT NULL", "WHERE n < 2 OR least_step <= 0 OR (axis = 'lon' AND abs(span - 360) > 1e-6)"))
+def axis_rules(i):
+    return M.axis_violations(i.sql(CENTRES))
+
+
+@query("identity_verdict", ["grid_id", "verdict"], f"""SELECT grid_id, CASE WHEN CAST(substr(grid_id, 5) AS INT) % 4 = 1 THEN 'warn' WHEN CAST(substr(grid_id, 5) AS INT) % 4 = 2 THEN 'rebuild' ELSE 'use' END AS verdict
+FROM ({IDENT_SQL})""")
+def identity_verdict(i):
+    now = M.grid_identity(i.sql(GRIDS)).withColumn("k", F.expr("CAST(substr(grid_id, 5) AS INT) % 4"))
+    kept = now.filter("k <> 1").withColumn("fingerprint", F.expr("CASE WHEN k = 2 THEN 'old' ELSE fingerprint END")).drop("k")
+    return M.check_identity(kept, now.drop("k"), ["grid_id"], supplied=False)

@@ -102,3 +102,17 @@ def silent_zero(points: DataFrame, keys: list[str]) -> DataFrame:
     n = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_read"),
                                   F.sum((F.col("cell_id") >= 0).cast("bigint")).alias("n_accepted"))
     return n.filter("n_read > 0 AND n_accepted = 0")
+
+
+def default_optional(daily: DataFrame, optional: list[str], by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(values with absent optional fields as 0, one warning per group and field that was filled).
+
+    A column the table lacks altogether is added; the warnings are a small aggregate, not one per row.
+    """
+    out = daily
+    for name in optional:
+        if name not in out.columns:
+            out = out.withColumn(name, F.lit(None).cast("double"))
+    lost = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in optional]))
+    warnings = out.select(*by, F.explode(lost).alias("field")).distinct()
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0.0)) for n in optional}), warnings
