@@ -5,6 +5,7 @@ by one IEEE division of integers to keep them bit-identical.
 """
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 
@@ -32,40 +33,49 @@ def _closure(names, seen=None) -> list[str]:
     return seen
 
 
+def _parts(names) -> list[str]:
+    return [f"{n} AS ({INPUTS[n][1]})" for n in _closure(names)]
+
+
 def ctes(*names: str) -> str:
     """WITH clause that defines the named inputs and what they need."""
-    parts = [f"{n} AS ({INPUTS[n][1]})" for n in _closure(names)]
-    return "WITH " + ",\n".join(parts)
+    return "WITH " + ",\n".join(_parts(names))
 
 
-_views: dict[tuple[str, str], str] = {}
+_opened: set[tuple[str, str]] = set()
 
 
 class Inputs:
-    """DataFrames of the inputs over one folder of tables; a table is opened when a text names it."""
+    """DataFrames of the inputs over one folder of tables; a table is opened when a text names it.
+
+    Tables get view names of their own per folder and are aliased inside each text, so views that others
+    register under the plain names are neither used nor replaced.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.tag = hashlib.md5(self.folder.encode()).hexdigest()[:10]
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    def table(self, name: str) -> DataFrame:
-        self._open(name)
-        return self.spark.table(name)
+    def _view(self, table: str) -> str:
+        name = f"catalog_{self.tag}_{table}"
+        key = (self.spark.sparkContext.applicationId, name)
+        if key not in _opened:
+            self.spark.read.parquet(f"{self.folder}/{table}.parquet").createOrReplaceTempView(name)
+            _opened.add(key)
+        return name
 
-    def _open(self, text: str) -> None:
-        app = self.spark.sparkContext.applicationId
-        for t in set(re.findall(r"[a-z]+", text)) & set(TABLES):
-            if _views.get((app, t)) != self.folder:
-                self.spark.read.parquet(f"{self.folder}/{t}.parquet").createOrReplaceTempView(t)
-                _views[app, t] = self.folder
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(self._view(name))
 
     def __call__(self, name: str) -> DataFrame:
         return self.sql(f"SELECT * FROM {name}", name)
 
     def sql(self, text: str, *names: str) -> DataFrame:
-        whole = f"{ctes(*names)} {text}" if names else text
-        self._open(whole)
-        return self.spark.sql(whole)
+        parts = _parts(names)
+        used = [t for t in TABLES if re.search(rf"\b{t}\b", " ".join([text, *parts]))]
+        heads = [f"{t} AS (SELECT * FROM {self._view(t)})" for t in used] + parts
+        return self.spark.sql(f"WITH {', '.join(heads)} {text}" if heads else text)
 
 
 def query(name: str, cols: list[str], sql: str | None = None, needs: tuple[str, ...] = ()):
