@@ -225,3 +225,8 @@ SELECT member, 0.5*dust_relative AS dust_factor, 2e0*seasalt_relative AS seasalt
 def member_factors(i):
     out, _ = S.member_factors(i.sql(MEMBERS), {"dust": 0.5, "seasalt": 2.0}, i.table("supplier").count() - 1)
     return out.filter(~F.isnan("dust_relative"))
+
+
+@query("level_flip", ["src_id", "lev", "out_lev"], f"SELECT src_id, lev, CAST(max(lev) OVER (PARTITION BY src_id) + 1 - lev AS INT) AS out_lev FROM ({LAYERS})")
+def level_flip(i):
+    return C.flip_levels(i.sql(LAYERS), ["src_id"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions.dates import source_date
 from gridspark.operators.skew import lookup_join
+from gridspark.session import settle
 
 TOP_PRESSURE_PA = 1.0
 
@@ -77,13 +78,16 @@ def chem_columns(chem: DataFrame, valid_times: DataFrame, species_map: list[dict
 
     chem(file_date, time_idx, variable, lev, src_id, value), valid_times(valid_time).
     """
-    n_times = chem.groupBy("file_date").agg((F.max("time_idx") + 1).alias("n_times"))
+    # one row per file, record and field: its number of levels; everything else is looked up from it
+    facts = settle(chem.groupBy("file_date", "time_idx", "variable").agg((F.max("lev") + 1).alias("nlev")))
+    n_times = facts.groupBy("file_date").agg((F.max("time_idx") + 1).alias("n_times"))
     want = valid_times.withColumn("file_date", source_date(F.col("valid_time"), source_year)).join(n_times, "file_date")
     want = want.withColumn("time_idx", time_index(F.col("valid_time"), F.col("n_times"), interval_hours))
-    picked = lookup_join(chem, want.select("valid_time", "file_date", "time_idx"), ["file_date", "time_idx"], "inner")
+    want = want.select("valid_time", "file_date", "time_idx").join(facts, ["file_date", "time_idx"])
+    picked = lookup_join(chem, want, ["file_date", "time_idx", "variable"], "inner")
     mapped = map_species(picked.drop("file_date", "time_idx"), species_map, scaling)
     dp = mapped.filter(F.col("variable") == thickness)
     pres = column_pressure(dp, ["valid_time", "src_id"], "lev", "value").withColumn(
         "value", F.col("pressure")).withColumn("variable", F.lit("PRES")).drop("pressure")
     every = mapped.unionByName(pres)
-    return flip_levels(every, ["valid_time", "variable"])
+    return every.withColumn("out_lev", (F.col("nlev") - F.col("lev")).cast("int")).drop("nlev")
