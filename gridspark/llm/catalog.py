@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import simhash
+from gridspark.llm import mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +26,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash classes of all documents: three-word shingles, two bits."""
     got = simhash.near_duplicates(_table(spark, folder, "documents"))
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents mixed to 150 percent of their words, weights 3, 1, 2 by source."""
+    return mixing.mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_mixing"] = mixing.SQL
