@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import mixing, simhash
+from gridspark.llm import mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,9 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op4_mixing"] = mixing.SQL
+
+
+@_query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score and prediction of every document, learned from the labels that are not held out."""
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
