@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import mixing, quality, simhash
+from gridspark.llm import bpe, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,11 @@ ORACLES["op4_mixing"] = mixing.SQL
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score and prediction of every document, learned from the labels that are not held out."""
     return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded with the multilingual 50k ranks and decoded again."""
+    import public_tokenizers as public
+
+    return bpe.round_trip(_table(spark, folder, "documents"), public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
