@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, mixing, quality, simhash
+from gridspark.llm import bpe, lines, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,9 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers as public
 
     return bpe.round_trip(_table(spark, folder, "documents"), public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
+
+
+@_query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of every document with its class of near copies and whether it stays."""
+    return lines.line_dedup(_table(spark, folder, "documents"))
