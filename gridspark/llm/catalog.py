@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, lines, mixing, quality, simhash
+from gridspark.llm import bpe, lines, mixing, quality, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,12 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of every document with its class of near copies and whether it stays."""
     return lines.line_dedup(_table(spark, folder, "documents"))
+
+
+@_query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records and read back from the archives."""
+    return warc.archive_summary(_table(spark, folder, "pages"))
+
+
+ORACLES["op3_warc"] = warc.SQL
