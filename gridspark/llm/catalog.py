@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, lines, mixing, quality, simhash, warc
+from gridspark.llm import bpe, licenses, lines, mixing, quality, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,12 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op3_warc"] = warc.SQL
+
+
+@_query
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.license_scan(_table(spark, folder, "documents"))
+
+
+ORACLES["op2_licenses"] = licenses.sql()
