@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, licenses, lines, mixing, quality, simhash, warc
+from gridspark.llm import bpe, embeddings, licenses, lines, mixing, quality, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,12 @@ def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op2_licenses"] = licenses.sql()
+
+
+@_query
+def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors of equal labels among all embeddings."""
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+ORACLES["op6_embeddings"] = embeddings.SQL
