@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm import vectors
+from gridspark.llm import tiles, vectors
 from gridspark.llm.graph import components
 from gridspark.session import settle
 
@@ -44,7 +44,7 @@ def least_collisions() -> int:
 
 
 def _projected(rows: DataFrame, apart: float) -> DataFrame:
-    """Rows (vec_id, label, dim, cell, unit, at): unit vectors, their projections and cell on the first line."""
+    """Rows (group, cell, vec_id, unit, at): label with length, cell on the first line, unit vector and its projections."""
 
     def each(batches):
         for batch in batches:
@@ -61,19 +61,17 @@ def _projected(rows: DataFrame, apart: float) -> DataFrame:
                 places = pa.ListArray.from_arrays(offsets(PROJECTIONS), pa.array(at.ravel().astype(np.float32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(part.num_rows, dim)), pa.array(cell), unit, places], ["vec_id", "label", "dim", "cell", "unit", "at"])
 
-    return rows.select("vec_id", "label", "vector").mapInArrow(each, "vec_id long, label long, dim long, cell long, unit array<double>, at array<float>")
+    made = rows.select("vec_id", "label", "vector").mapInArrow(each, "vec_id long, label long, dim long, cell long, unit array<double>, at array<float>")
+    return made.select(F.shiftleft(F.col("label"), 24).bitwiseXOR(F.col("dim")).alias("group"), "cell", "vec_id", "unit", "at")
 
 
-def _tile_links(table: pa.Table, least: float, window: float, need: int) -> dict:
-    """Links of one task: rows (vec_id, n_links, root); side 0 is compared with side 1, or with itself if there is none."""
-    side = np.asarray(table.column("side"))
-    ids = np.asarray(table.column("vec_id"))
-    unit = vectors.matrix(table.column("unit").combine_chunks())
-    at = vectors.matrix(table.column("at").combine_chunks(), np.float32)
+def _tile_links(columns: list[list], least: float, window: float, need: int) -> tuple[np.ndarray, ...]:
+    """Links of one task as columns vec_id, n_links, root."""
+    side, ids, unit, at = np.array(columns[0]), np.array(columns[1]), np.array(columns[2]), np.array(columns[3], np.float32)
     a = np.flatnonzero(side == 0)
     alone = not side.any()
     b = a if alone else np.flatnonzero(side == 1)
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in range(0, len(a), 256):
         block = a[k:k + 256]
         met = np.zeros((len(block), len(b)), np.uint8)
@@ -87,41 +85,19 @@ def _tile_links(table: pa.Table, least: float, window: float, need: int) -> dict
             close = np.einsum("ij,ij->i", unit[i], unit[j]) >= least
             left.append(i[close])
             right.append(j[close])
-    i, j = np.concatenate([*left, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*right, np.zeros(0, np.int64)]).astype(np.int64)
+    i, j = np.concatenate(left), np.concatenate(right)
     links = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-    root = np.arange(len(ids))
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        if (root[i] == low).all() and (root[j] == low).all():
-            break
-        np.minimum.at(root, root[i], low)
-        np.minimum.at(root, root[j], low)
-        root = root[root]
-    some = np.flatnonzero(links)
-    return {"vec_id": ids[some], "n_links": links[some], "root": ids[root[some]]}
+    root, some = tiles.roots(len(ids), i, j), np.flatnonzero(links)
+    return ids[some], links[some], ids[root[some]]
 
 
 def near_links(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """(counts, edges): rows (vec_id, n_links) of vectors with links, and edges (a, b) spanning all links."""
     apart = math.sqrt(2 - 2 * least)
-    made = _projected(rows, apart).withColumn("sub", F.lit(0))
-    made = settle(made)
-    cell = ["label", "dim", "cell"]
-    tiles = made.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    placed = settle(made.drop("sub").join(tiles, cell).withColumn("sub", F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int")).drop("tiles"))
-    subs = tiles.select(*cell, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("sub"))
-    subs = settle(subs)
-    one = subs.withColumnRenamed("sub", "i")
-    same = one.join(subs.withColumnRenamed("sub", "j"), cell).where("i <= j").select(*cell, "i", F.col("cell").alias("cell2"), "j")
-    beside = one.withColumn("cell2", F.col("cell") + 1).join(subs.select("label", "dim", F.col("cell").alias("cell2"), F.col("sub").alias("j")), ["label", "dim", "cell2"])
-    tasks = settle(same.unionByName(beside.select(same.columns)))
-    keys = ["label", "dim", "cell", "i", "cell2", "j"]
-    first = placed.withColumnRenamed("sub", "i").join(tasks, [*cell, "i"]).withColumn("side", F.lit(0))
-    second = placed.select("vec_id", "label", "dim", F.col("cell").alias("cell2"), "unit", "at", F.col("sub").alias("j"))
-    second = second.join(tasks.where("cell <> cell2 or i <> j"), ["label", "dim", "cell2", "j"]).withColumn("side", F.lit(1))
-    both = first.select(*keys, "side", "vec_id", "unit", "at").unionAll(second.select(*keys, "side", "vec_id", "unit", "at"))
+    made = settle(_projected(rows, apart))
+    tasks = tiles.paired(made, "vec_id", F.ceil(F.count(F.lit(1)) / TILE))
     window, need = WIDTH * apart, least_collisions()
-    found = settle(vectors.by_run(both, keys, ["side"], lambda t: _tile_links(t, least, window, need), "vec_id long, n_links long, root long"))
+    found = settle(tiles.by_task(tasks, lambda t: _tile_links(t, least, window, need), "vec_id long, n_links long, root long"))
     return found.groupBy("vec_id").agg(F.sum("n_links").alias("n_links")), found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))
 
 

@@ -1,8 +1,6 @@
-"""Cleaning of vector tables and bounded tiles of them, shared by the vector operators."""
+"""Cleaning of vector tables, shared by the vector operators."""
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,34 +23,3 @@ def matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
     """Equal-length lists as rows of a matrix."""
     flat = column.flatten()
     return np.asarray(flat, dtype).reshape(len(column), -1) if len(column) else np.zeros((0, 0), dtype)
-
-
-def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Tables of rows with equal values in the first ``keys`` columns, from sorted batches; one run is held at a time."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [np.asarray(batch.column(i)) for i in range(keys)]
-        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-        firsts = [0, *cuts.tolist()]
-        for a, b in zip(firsts, [*firsts[1:], batch.num_rows], strict=True):
-            piece = batch.slice(a, b - a)
-            if held and any(held[0].column(i)[0] != piece.column(i)[0] for i in range(keys)):
-                yield pa.Table.from_batches(held).combine_chunks()
-                held = []
-            held.append(piece)
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
-def by_run(rows: DataFrame, keys: list[str], order: list[str], work: Callable[[pa.Table], dict], schema: str) -> DataFrame:
-    """Applies ``work`` to each run of equal ``keys``, rows in ``order``. A run must be bounded."""
-    def each(batches):
-        for table in runs(batches, len(keys)):
-            got = work(table)
-            if len(next(iter(got.values()))):
-                yield pa.RecordBatch.from_pydict(got)
-
-    ready = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return ready.select(*keys, *[c for c in rows.columns if c not in keys]).mapInArrow(each, schema)
