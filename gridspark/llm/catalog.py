@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, embeddings, licenses, lines, mixing, quality, simhash, warc
+from gridspark.llm import bpe, embeddings, licenses, lines, mixing, quality, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,12 @@ def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op6_embeddings"] = embeddings.SQL
+
+
+@_query
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector against all others."""
+    return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op8_topk"] = topk.SQL
