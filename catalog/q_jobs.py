@@ -1,6 +1,7 @@
 """End-to-end jobs and streams."""
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import functions as F
@@ -18,15 +19,17 @@ from gridspark.plans import observations as OP
 from gridspark.session import work_dir
 from gridspark.streaming import departures as SD
 
+# one record per ship date; the 11th of a month is left out so that there are gaps to fill
 SLABS = """SELECT 's' AS series_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS record_id, l_partkey AS src_id, sum(l_quantity) AS a, CAST(sum(CAST(round(l_discount*100) AS BIGINT)) AS DOUBLE) AS b FROM lineitem
-WHERE l_shipdate >= TIMESTAMP '1998-03-01 00:00:00' AND l_shipdate < TIMESTAMP '1998-03-21 00:00:00' AND extract(day FROM l_shipdate) % 4 <> 2 GROUP BY 1, 2, 3"""
+WHERE extract(day FROM l_shipdate) <> 11 GROUP BY 1, 2, 3"""
 SLAB_RECORDS = """SELECT DISTINCT 's' AS series_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS record_id, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS valid_time FROM lineitem
-WHERE l_shipdate >= TIMESTAMP '1998-03-01 00:00:00' AND l_shipdate < TIMESTAMP '1998-03-21 00:00:00' AND extract(day FROM l_shipdate) % 4 <> 2"""
+WHERE extract(day FROM l_shipdate) <> 11"""
+SPECS = [IP.FieldSpec("bc_total", (("a", 1.0), ("b", 2.0))), IP.FieldSpec("nh3_total", (("b", 1.0),), "kg m-2 s-1", "kg m^-2 s^-1")]
 
 
 @query("job_regular_inventory", ["CAST(valid_time AS STRING) AS valid_time", "field", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 9) AS value"], f"""
 WITH v AS (SELECT record_id, src_id, a + 2e0*b AS x, b AS y FROM ({SLABS})), r AS (SELECT * FROM ({SLAB_RECORDS})),
-t AS (SELECT unnest(range(TIMESTAMP '1998-03-03', TIMESTAMP '1998-03-16 00:00:01', INTERVAL 6 HOUR)) AS target),
+t AS (SELECT unnest(range((SELECT min(valid_time) FROM r), (SELECT max(valid_time) FROM r) + INTERVAL 1 SECOND, INTERVAL 24 HOUR)) AS target),
 p AS (SELECT t.target, r.record_id, r.valid_time AS b FROM t ASOF JOIN r ON r.valid_time <= t.target), n AS (SELECT t.target, r.record_id, r.valid_time AS a FROM t ASOF JOIN r ON r.valid_time >= t.target),
 k AS (SELECT p.target, p.record_id AS lo, n.record_id AS hi, CASE WHEN a = b THEN 0 ELSE (epoch(p.target) - epoch(b))/(epoch(a) - epoch(b)) END AS al FROM p JOIN n ON p.target = n.target),
 l AS (SELECT target, lo AS record_id, 1 - al AS w FROM k UNION ALL SELECT target, hi, al FROM k WHERE al > 0),
@@ -34,13 +37,32 @@ m AS (SELECT record_id, dst_id, sum(s*x)*0.5 AS fx, sum(s*y)*0.5*3 AS fy FROM v
 o AS (SELECT target, dst_id, sum(w*fx) AS fx, sum(w*fy) AS fy FROM l JOIN m ON m.record_id = l.record_id GROUP BY 1, 2)
 SELECT target AS valid_time, 'bc_total' AS field, dst_id AS cell_id, fx AS value FROM o UNION ALL SELECT target, 'nh3_total', dst_id, fy FROM o""", ("weights",))
 def job_regular_inventory(i):
-    specs = [IP.FieldSpec("bc_total", (("a", 1.0), ("b", 2.0))), IP.FieldSpec("nh3_total", (("b", 1.0),), "kg m-2 s-1", "kg m^-2 s^-1")]
-    time = IP.TimeSpec("1998-03-03 00:00:00", "1998-03-16 00:00:00", "hourly", 6.0, max_gap=72.0)
-    return IP.regular_inventory(i.sql(SLABS), i.sql(SLAB_RECORDS), i("weights"), None, None, specs, time,
+    time = IP.TimeSpec(*i.span(SLAB_RECORDS, "valid_time"), "hourly", 24.0)
+    return IP.regular_inventory(i.sql(SLABS), i.sql(SLAB_RECORDS), i("weights"), None, None, SPECS, time,
                                 [{"default": 0.5}, {"species": {"NH3": 3.0}}]).values
 
 
-@query("job_sectoral_inventory", ["month", "field", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 6) AS value"], f"""
+# a record per month that holds every part, but for NaN at one part in 41 and, in July, without one part in 37
+FULL_SLABS = """SELECT m.series_id, m.record_id, p.p_partkey AS src_id, CASE WHEN (p.p_partkey + m.k) % 41 = 7 THEN CAST('NaN' AS DOUBLE) ELSE p.p_retailprice END AS a, CAST(p.p_size AS DOUBLE) AS b
+FROM (SELECT DISTINCT 's' AS series_id, substring(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7) AS record_id, CAST(extract(month FROM l_shipdate) AS INT) AS k FROM lineitem) m
+JOIN part p ON m.k % 3 = 1 AND (m.k <> 7 OR p.p_partkey % 37 <> 5)"""
+FULL_RECORDS = """SELECT DISTINCT 's' AS series_id, substring(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7) AS record_id, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS valid_time FROM lineitem
+WHERE extract(month FROM l_shipdate) % 3 = 1"""
+
+
+@query("job_regular_inventory_violations", ["rule", "record_id", "field", "CAST(n AS BIGINT) AS n"], f"""
+WITH s AS ({FULL_SLABS}), u AS (SELECT record_id, src_id, 'bc_total' AS field, a + 2e0*b AS v FROM s UNION ALL SELECT record_id, src_id, 'nh3_total', b FROM s)
+SELECT 'missing_value' AS rule, record_id, field, count(*) FILTER (isnan(v)) AS n FROM u GROUP BY 2, 3 HAVING count(*) FILTER (isnan(v)) > 0
+UNION ALL SELECT 'source_length', record_id, field, count(*) FROM u GROUP BY 2, 3 HAVING count(*) <> (SELECT count(*) FROM part)""", ("weights",))
+def job_regular_inventory_violations(i):
+    time = IP.TimeSpec(*i.span(FULL_RECORDS, "valid_time"), "source")
+    found = IP.regular_inventory(i.sql(FULL_SLABS), i.sql(FULL_RECORDS), i("weights"), None, None, SPECS, time, n_src=i.table("part").count()).violations
+    # a destination whose only source is missing is a nonfinite value as well; that rule has a query of its own
+    fields = F.from_json("detail", "record_id string, field string, n_bad bigint, n_values bigint")
+    return found.filter(F.col("rule").isin("missing_value", "source_length")).withColumn("d", fields).select("rule", "d.record_id", "d.field", F.coalesce("d.n_bad", "d.n_values").alias("n"))
+
+
+@query("job_sectoral_inventory", ["month", "field", "CAST(cell_id AS BIGINT) AS cell_id", "ROUND(value, 4) AS value"], f"""
 WITH p AS (SELECT month, src_id, sector, value FROM ({SECTORS})),
 a AS (SELECT month, src_id, 'nh3_anth_' || sector AS field, CASE sector WHEN 'awb' THEN 0 WHEN 'ene' THEN value*0.5*1.5 ELSE value*0.5 END AS value FROM p
  UNION ALL SELECT month, src_id, 'nh3_anth_sum', sum(CASE sector WHEN 'awb' THEN 0 WHEN 'ene' THEN value*1.5 ELSE value END)*0.5 FROM p GROUP BY 1, 2)
@@ -53,6 +75,7 @@ def job_sectoral_inventory(i):
 
 FIRES = """SELECT *, CASE WHEN fire_id % 10 = 0 THEN 'fallback' WHEN fire_id % 10 = 1 THEN 'dedicated' ELSE 'primary' END AS source FROM fires
 WHERE NOT (extract(day FROM day) IN (9, 17, 18, 19) AND fire_id % 10 <> 0)"""
+# days 9 and 17 to 19 of the primary source are left out above so that there are gaps to resolve
 PLAN = FP.FirePlan("2024-01-01", "2024-01-30", {"co": "e_co", "bc": "e_bc"}, {"e_co": "gas", "e_bc": "aerosol"}, tuple(PROFILE),
                    {"e_co": 0.7}, max_missing=1, forced=(("2024-01-05", "2024-01-06"),))
 NEAR = """p AS (SELECT f.*, cos(radians(lat))*cos(radians(lon)) AS x, cos(radians(lat))*sin(radians(lon)) AS y, sin(radians(lat)) AS z FROM ({}) f),
@@ -76,6 +99,22 @@ def job_fire_emissions(i):
     return FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), PLAN, boxes(i))["hourly"].values
 
 
+@query("job_fire_emissions_ratio", ["method", "field", "ROUND(factor, 6) AS factor"], f"""
+WITH {NEAR.format(FIRES)}, g AS (SELECT source, day, l.cell_id, sum(co)*0.7 AS e_co, sum(bc)*1000/12 AS e_bc FROM loc l JOIN mesh m ON m.cell_id = l.cell_id WHERE source <> 'dedicated' GROUP BY 1, 2, 3),
+u AS (SELECT source, day, 'e_co' AS field, sum(e_co) AS value FROM g GROUP BY 1, 2 UNION ALL SELECT source, day, 'e_bc', sum(e_bc) FROM g GROUP BY 1, 2),
+r AS (SELECT p.field, p.value/f.value AS ratio FROM u p JOIN u f ON p.day = f.day AND p.field = f.field WHERE p.source = 'primary' AND f.source = 'fallback' AND f.value > 0)
+SELECT 'robust_median_ratio' AS method, field, least(greatest(quantile_cont(ratio, 0.5), 0.5), 6.0) AS factor FROM r GROUP BY field
+UNION ALL SELECT 'fixed', 'e_co', 1.25e0 UNION ALL SELECT 'fixed', 'e_bc', 0.8e0""", ("fires", "mesh"))
+def job_fire_emissions_ratio(i):
+    out = None
+    for change in ({"scale_method": "robust_median_ratio", "ratio_clip": (0.5, 6.0)}, {"scale_method": "fixed", "fixed_factors": {"e_co": 1.25, "default": 0.8}}):
+        plan = dataclasses.replace(PLAN, **change)
+        factors = FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), plan, boxes(i))["hourly"].extras["factors"]
+        part = factors.select(F.lit(change["scale_method"]).alias("method"), "field", "factor")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("job_fire_size", ["CAST(day AS STRING) AS day", "field", "cell_id", "ROUND(value, 4) AS value"], f"""
 WITH {NEAR.format(FIRES)}, g AS (SELECT source, day, cell_id, avg(area) AS fire_size_avg, stddev_pop(area) AS fire_size_std, avg(frp) AS frp_avg, stddev_pop(frp) AS frp_std FROM loc GROUP BY 1, 2, 3),
 u AS (UNPIVOT g ON fire_size_avg, fire_size_std, frp_avg, frp_std INTO NAME field VALUE value)
@@ -91,7 +130,28 @@ def job_point_vegetation(i):
     from gridspark.operators import points as P
     from gridspark.operators.nearest import nearest_cell
     size = P.aggregate_points(nearest_cell(i("fires"), i("mesh"), index=boxes(i)), ["day", "cell_id"], {"area": "value"}, {"area": "mean"})
-    return FP.point_vegetation(i("fires"), i("mesh"), size, boxes(i)).values
+    fires = i("fires").withColumn("day_number", F.dayofyear("file_date"))
+    return FP.point_vegetation(fires, i("mesh"), size, boxes(i)).values
+
+
+# days 12 and 20 have no file, a record in 97 carries the day number of the next day, and day 5 has no reference
+VEG_FIRES = """SELECT *, CAST(extract(doy FROM file_date) AS INT) + CASE WHEN fire_id % 97 = 3 THEN 1 ELSE 0 END AS day_number FROM fires WHERE extract(day FROM file_date) NOT IN (12, 20)"""
+
+
+@query("job_point_vegetation_violations", ["rule", "day", "reason", "CAST(n AS BIGINT) AS n"], f"""
+WITH f AS ({VEG_FIRES}), d AS (SELECT DISTINCT file_date AS day FROM f)
+SELECT 'fatal_record' AS rule, CAST(file_date AS VARCHAR) AS day, 'day_mismatch' AS reason, count(*) AS n FROM f WHERE fire_id % 97 = 3 GROUP BY 2
+UNION ALL SELECT 'manifest', CAST(day AS VARCHAR), CASE WHEN day + INTERVAL 1 DAY NOT IN (SELECT day FROM d) AND day <> (SELECT max(day) FROM d) THEN 'gap' ELSE 'reference_records' END, NULL FROM d
+WHERE (day + INTERVAL 1 DAY NOT IN (SELECT day FROM d) AND day <> (SELECT max(day) FROM d)) OR day(day) = 5""", ("fires",))
+def job_point_vegetation_violations(i):
+    from gridspark.operators import points as P
+    from gridspark.operators.nearest import nearest_cell
+    fires = i.sql(VEG_FIRES, "fires")
+    reference = nearest_cell(fires, i("mesh"), index=boxes(i)).filter("day_number = dayofyear(file_date) AND day(file_date) <> 5")
+    size = P.aggregate_points(reference, ["day", "cell_id"], {"area": "value"}, {"area": "mean"})
+    found = FP.point_vegetation(fires, i("mesh"), size, boxes(i)).violations.filter("rule <> 'mean_mismatch'")
+    d = F.from_json("detail", "file_date string, day string, reason string, rule string, n bigint")
+    return found.withColumn("d", d).select("rule", F.coalesce("d.file_date", "d.day").alias("day"), F.coalesce("d.reason", "d.rule").alias("reason"), "d.n")
 
 
 @query("job_fire_support", ["CAST(day AS STRING) AS day", "cell_id", "ROUND(value, 3) AS value"])

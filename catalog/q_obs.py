@@ -112,7 +112,7 @@ BINS = list(range(0, 10))
 @query("band_error_profile", ["band", "bin", "ROUND(error, 8) AS error", "CAST(n AS BIGINT) AS n"], """
 WITH b AS (SELECT *, CASE WHEN lat < -60 THEN 'SPol' WHEN lat < -30 THEN 'SMid' WHEN lat < -5 THEN 'STro' WHEN lat < 5 THEN 'ITCZ' WHEN lat < 30 THEN 'NTro' WHEN lat < 60 THEN 'NMid' ELSE 'NPol' END AS band, CAST(station_height AS INT)//100 AS bin FROM obs),
 f AS (SELECT band, unnest(range(10)) AS bin FROM (SELECT unnest(['SPol','SMid','STro','ITCZ','NTro','NMid','NPol']) AS band)),
-s AS (SELECT band, bin, sqrt(abs(avg(oman*ombg/(obs*obs)))) AS e, count(*) AS n FROM b GROUP BY 1, 2)
+s AS (SELECT band, bin, CASE WHEN avg(oman*ombg/obs) > 0 THEN avg(oman*ombg/obs) END AS e, count(*) AS n FROM b GROUP BY 1, 2)
 SELECT f.band, CAST(f.bin AS INT) AS bin, coalesce(e, 999.0) AS error, coalesce(n, 0) AS n FROM f LEFT JOIN s ON s.band = f.band AND s.bin = f.bin""", ("obs",))
 def band_error_profile(i):
     return D.band_error_profile(i("obs"), latitude_band(F.col("lat")), F.floor(F.col("station_height") / 100), [b[0] for b in BANDS_7], BINS)

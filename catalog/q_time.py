@@ -84,22 +84,34 @@ def needed_records(i):
 
 
 @query("fill_times", ["series_id", "CAST(target AS STRING) AS target", "ROUND(value, 6) AS value"], """
-WITH t AS (SELECT DISTINCT series_id, unnest(range(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-25 00:00:01', INTERVAL 6 HOUR)) AS target FROM records),
+WITH t AS (SELECT DISTINCT series_id, unnest(range((SELECT CAST(min(valid_time) AS TIMESTAMP) FROM records), (SELECT CAST(max(valid_time) AS TIMESTAMP) FROM records) + INTERVAL 1 SECOND, INTERVAL 6 HOUR)) AS target FROM records),
 a AS (SELECT t.*, r.value AS bv, r.valid_time AS b FROM t ASOF JOIN records r ON t.series_id = r.series_id AND r.valid_time <= t.target),
 z AS (SELECT t.*, r.value AS av, r.valid_time AS a FROM t ASOF JOIN records r ON t.series_id = r.series_id AND r.valid_time >= t.target)
 SELECT a.series_id, a.target, CASE WHEN a = b THEN bv ELSE bv + (av - bv)*(epoch(a.target) - epoch(b))/(epoch(a) - epoch(b)) END AS value
 FROM a JOIN z ON a.series_id = z.series_id AND a.target = z.target""", ("records",))
 def fill_times(i):
     r = i("records")
+    start, end = i.span("SELECT valid_time FROM records", "valid_time", "records")
     filled, _ = TA.fill_times(r.select("series_id", "record_id", F.lit(0).alias("cell_id"), "value"), r.drop("value"),
-                              "2024-01-05 00:00:00", "2024-01-25 00:00:00", 21600, ["cell_id"])
+                              start, end, 21600, ["cell_id"])
     return filled
 
 
 @query("target_schedule_hourly", ["series_id", "CAST(target AS STRING) AS target"], """
-SELECT DISTINCT series_id, unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 00:00:01', INTERVAL 3 HOUR)) AS target FROM records""", ("records",))
+SELECT DISTINCT series_id, unnest(range((SELECT CAST(min(valid_time) AS TIMESTAMP) FROM records), (SELECT CAST(max(valid_time) AS TIMESTAMP) FROM records) + INTERVAL 1 SECOND, INTERVAL 3 HOUR)) AS target FROM records""", ("records",))
 def target_schedule_hourly(i):
-    return TA.target_schedule(i("records"), "2024-01-01 00:00:00", "2024-01-31 00:00:00", "hourly", 3)
+    return TA.target_schedule(i("records"), *i.span("SELECT valid_time FROM records", "valid_time", "records"), "hourly", 3)
+
+
+@query("target_schedule_daily", ["series_id", "CAST(target AS STRING) AS target"], """
+SELECT DISTINCT series_id, unnest(range((SELECT CAST(min(valid_time) AS TIMESTAMP) FROM records), (SELECT CAST(max(valid_time) AS TIMESTAMP) FROM records) + INTERVAL 1 SECOND, INTERVAL 2 DAY)) AS target FROM records""", ("records",))
+def target_schedule_daily(i):
+    return TA.target_schedule(i("records"), *i.span("SELECT valid_time FROM records", "valid_time", "records"), "daily", 2)
+
+
+@query("target_schedule_source", ["series_id", "CAST(target AS STRING) AS target"], "SELECT series_id, valid_time AS target FROM records", ("records",))
+def target_schedule_source(i):
+    return TA.target_schedule(i("records"), *i.span("SELECT valid_time FROM records", "valid_time", "records"), "source")
 
 
 MONTHLY = """SELECT concat('c', CAST(o_custkey % 8 AS STRING)) AS series_id, CAST(o_orderdate AS TIMESTAMP) AS valid_time
@@ -109,26 +121,29 @@ FROM orders WHERE (o_custkey % 8 >= 4)"""
 
 
 @query("target_schedule_monthly", ["series_id", "CAST(target AS STRING) AS target"], f"""
-WITH r AS ({MONTHLY}), m AS (SELECT DISTINCT series_id, unnest(range(TIMESTAMP '1996-01-01', TIMESTAMP '1997-12-02', INTERVAL 1 MONTH)) AS m FROM r),
+WITH r AS ({MONTHLY}), e AS (SELECT min(valid_time) AS a, max(valid_time) AS b FROM r),
+m AS (SELECT DISTINCT series_id, unnest(range(date_trunc('month', (SELECT CAST(a AS TIMESTAMP) FROM e)), (SELECT CAST(b AS TIMESTAMP) FROM e) + INTERVAL 1 SECOND, INTERVAL 1 MONTH)) AS m FROM r),
 p AS (SELECT m.series_id, m.m, count(r.valid_time) AS n, min(valid_time) AS at_ FROM m LEFT JOIN r ON r.series_id = m.series_id AND date_trunc('month', r.valid_time) = m.m GROUP BY 1, 2),
 k AS (SELECT series_id, bool_and(n = 1) AS anchored FROM p GROUP BY 1)
 SELECT p.series_id, CASE WHEN anchored THEN at_ ELSE m END AS target FROM p JOIN k ON p.series_id = k.series_id
-WHERE CASE WHEN anchored THEN at_ BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31' ELSE m >= TIMESTAMP '1996-01-01' END""")
+WHERE CASE WHEN anchored THEN true ELSE m >= (SELECT a FROM e) END""")
 def target_schedule_monthly(i):
-    return TA.target_schedule(i.sql(MONTHLY), "1996-01-01 00:00:00", "1997-12-31 00:00:00", "monthly")
+    return TA.target_schedule(i.sql(MONTHLY), *i.span(MONTHLY, "valid_time"), "monthly")
 
 
-TOKENS = """SELECT concat('c', CAST(c_nationkey AS STRING)) AS series_id, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS target
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND (c_nationkey % 3 <> 1 OR extract(month FROM o_orderdate) <> 5) AND o_orderdate < CASE WHEN c_nationkey % 3 = 2 THEN TIMESTAMP '1997-02-01 00:00:00' ELSE TIMESTAMP '1997-01-01 00:00:00' END
-GROUP BY 1, 2"""
+# one series per nation and year; a third of the nations have no May, and another third's January also closes the year before
+TOKENS = """SELECT concat('c', CAST(c_nationkey AS STRING)) AS series_id, y AS year, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS target
+FROM (SELECT *, CAST(extract(year FROM o_orderdate) AS INT) AS y FROM orders
+      UNION ALL SELECT *, CAST(extract(year FROM o_orderdate) AS INT) - 1 AS y FROM orders WHERE extract(month FROM o_orderdate) = 1) o
+JOIN customer ON o_custkey = c_custkey WHERE (c_nationkey % 3 <> 1 OR extract(month FROM o_orderdate) <> 5) AND (c_nationkey % 3 = 2 OR extract(year FROM o_orderdate) = y)
+GROUP BY 1, 2, 3"""
 
 
-@query("period_token", ["series_id", "period"], f"""
-SELECT series_id, CASE WHEN count(DISTINCT CASE WHEN year(target) = 1996 THEN month(target) END) = 12
- AND (year(max(target)) = 1996 OR max(target) = TIMESTAMP '1997-01-01') THEN '1996'
- ELSE strftime(min(target), '%Y%m%d') || '-' || strftime(max(target), '%Y%m%d') END AS period FROM ({TOKENS}) GROUP BY series_id""")
+@query("period_token", ["series_id", "year", "period"], f"""
+SELECT series_id, year, CASE WHEN count(DISTINCT CASE WHEN year(target) = year THEN month(target) END) = 12 THEN CAST(year AS VARCHAR)
+ ELSE strftime(min(target), '%Y%m%d') || '-' || strftime(max(target), '%Y%m%d') END AS period FROM ({TOKENS}) GROUP BY series_id, year""")
 def period_token(i):
-    return TA.period_token(i.sql(TOKENS), 1996)
+    return TA.period_token(i.sql(TOKENS), "year")
 
 
 @query("duplicate_times", ["series_id", "CAST(claimed AS STRING) AS claimed", "CAST(n AS BIGINT) AS n"], """
@@ -168,9 +183,8 @@ def restamp_state(i):
 
 
 AVAILABLE = """SELECT DISTINCT concat('n', CAST(c_nationkey AS STRING)) AS series_id, CAST(o_orderdate AS DATE) AS day,
- CASE WHEN o_orderkey % 3 = 0 THEN 'fallback' ELSE 'primary' END AS source FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00'"""
-CALENDAR = """c AS (SELECT DISTINCT series_id, CAST(unnest(range(TIMESTAMP '1996-02-01', TIMESTAMP '1996-05-31 01:00:00', INTERVAL 1 DAY)) AS DATE) AS day FROM a),
+ CASE WHEN o_orderkey % 3 = 0 THEN 'fallback' ELSE 'primary' END AS source FROM orders JOIN customer ON o_custkey = c_custkey"""
+CALENDAR = """c AS (SELECT DISTINCT series_id, CAST(unnest(range((SELECT CAST(min(day) AS TIMESTAMP) FROM a), (SELECT CAST(max(day) AS TIMESTAMP) FROM a) + INTERVAL 1 SECOND, INTERVAL 1 DAY)) AS DATE) AS day FROM a),
 p AS (SELECT * FROM a WHERE source = 'primary'), f AS (SELECT * FROM a WHERE source = 'fallback'),
 x AS (SELECT c.*, p.day IS NOT NULL AS p, f.day IS NOT NULL AS f FROM c LEFT JOIN p ON p.series_id = c.series_id AND p.day = c.day LEFT JOIN f ON f.series_id = c.series_id AND f.day = c.day),
 y AS (SELECT x.*, q.day AS b FROM x ASOF LEFT JOIN p q ON q.series_id = x.series_id AND q.day < x.day),
@@ -184,7 +198,7 @@ SELECT series_id, day, status, CASE WHEN status LIKE 'linear%' THEN b END AS bef
 
 
 def _calendar(i, available):
-    return DY.day_calendar("1996-02-01", "1996-05-31", available.select("series_id").distinct())
+    return DY.day_calendar(*i.span(AVAILABLE, "day"), available.select("series_id").distinct())
 
 
 @query("day_resolution", DAY_COLS, RESOLVE)
@@ -207,7 +221,7 @@ def fire_size_day_resolution(i):
 
 
 DAY_VALUES = """SELECT concat('n', CAST(c_nationkey AS STRING)) AS series_id, CAST(o_orderdate AS DATE) AS day,
- CASE WHEN o_orderkey % 3 = 0 THEN 'fallback' ELSE 'primary' END AS source, o_custkey % 10 AS cell_id, sum(o_totalprice) AS value
+ CASE WHEN o_orderkey % 3 = 0 THEN 'fallback' ELSE 'primary' END AS source, o_custkey AS cell_id, sum(o_totalprice) AS value
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4"""
 
 
@@ -233,6 +247,20 @@ def even_days(i):
 FB = """SELECT day, concat('f', CAST(fire_id % 3 AS STRING)) AS field, cell_id, sum({}) AS value FROM located WHERE cell_id >= 0 AND fire_id % 5 {} GROUP BY 1, 2, 3"""
 
 
+# orders span far more days than any limit on overlap days
+FB_LONG = """SELECT CAST(o_orderdate AS DATE) AS day, concat('f', CAST(o_custkey % 3 AS STRING)) AS field, o_custkey % (SELECT count(*) FROM supplier) AS cell_id,
+ sum(o_totalprice) AS value FROM orders WHERE o_orderkey % 2 = {} GROUP BY 1, 2, 3"""
+
+
+@query("fallback_ratio_all_days", ["field", "ROUND(factor, 8) AS factor"], f"""
+WITH p AS ({FB_LONG.format(0)}), f AS ({FB_LONG.format(1)}),
+a AS (SELECT p.day, field, sum(value*area_m2) AS num FROM p JOIN mesh m ON m.cell_id = p.cell_id GROUP BY 1, 2),
+b AS (SELECT f.day, field, sum(value*area_m2) AS den FROM f JOIN mesh m ON m.cell_id = f.cell_id GROUP BY 1, 2)
+SELECT a.field, least(greatest(quantile_cont(num/den, 0.5), 0.25), 4.0) AS factor FROM a JOIN b ON a.day = b.day AND a.field = b.field WHERE den > 0 GROUP BY a.field""", ("mesh",))
+def fallback_ratio_all_days(i):
+    return DY.fallback_factors(i.sql(FB_LONG.format(0)), i.sql(FB_LONG.format(1)), i("mesh"), ["f0", "f1", "f2"])
+
+
 @query("fallback_ratio", ["field", "ROUND(factor, 8) AS factor"], f"""
 WITH p AS ({FB.format('co', '< 3')}), f AS ({FB.format('frp/4', '>= 3')}),
 a AS (SELECT p.day, field, sum(value*area_m2) AS num FROM p JOIN mesh m ON m.cell_id = p.cell_id GROUP BY 1, 2),

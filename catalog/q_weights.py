@@ -141,7 +141,7 @@ def scaling_factors(i):
     return S.apply_scaling(df, [BLOCK, 1.5], [F.col("sp"), F.col("alias")], F.col("fld"), F.col("sec"))
 
 
-SECTORS = """SELECT CAST(extract(month FROM l_shipdate) AS INT) AS month, l_partkey % 500 AS src_id,
+SECTORS = """SELECT CAST(extract(month FROM l_shipdate) AS INT) AS month, l_partkey AS src_id,
  CASE l_returnflag WHEN 'A' THEN 'awb' WHEN 'N' THEN 'ene' ELSE 'tro' END AS sector, sum(l_quantity) AS value
 FROM lineitem GROUP BY 1, 2, 3"""
 

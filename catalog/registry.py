@@ -71,6 +71,11 @@ class Inputs:
     def __call__(self, name: str) -> DataFrame:
         return self.sql(f"SELECT * FROM {name}", name)
 
+    def span(self, text: str, column: str, *names: str) -> tuple[str, str]:
+        """Smallest and largest value of a column as text: a period taken from the data."""
+        row = self.sql(f"SELECT CAST(min({column}) AS STRING) AS a, CAST(max({column}) AS STRING) AS b FROM ({text}) t", *names).first()
+        return row["a"], row["b"]
+
     def sql(self, text: str, *names: str) -> DataFrame:
         parts = _parts(names)
         used = [t for t in TABLES if re.search(rf"\b{t}\b", " ".join([text, *parts]))]

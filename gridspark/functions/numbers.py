@@ -62,8 +62,3 @@ def missing_policy(value: Column, policy: str = "error") -> Column:
         raise ValueError(f"unknown missing value policy {policy!r}")
     kept = F.when(is_finite(value), value)
     return F.coalesce(kept, F.lit(0.0)) if policy == "zero" else kept
-
-
-def floor_at(value: Column, bound: float, dtype: str = "double") -> Column:
-    """Raise to ``bound``, with the bound in the precision of the column."""
-    return F.greatest(value, F.lit(bound).cast(dtype))

@@ -1,9 +1,7 @@
 """Chemistry columns from a global analysis: mapping, levels, pressure, dates."""
 from __future__ import annotations
 
-from itertools import chain
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.dates import source_date
@@ -24,29 +22,23 @@ def column_pressure(df: DataFrame, column: list[str], level: str = "lev", thickn
     return df.withColumn("pressure", p)
 
 
-def scaled_map(species_map: list[dict], scaling: dict[str, float] | None = None) -> list[dict]:
-    """Species map with weights multiplied by the factors of the source and the target alias."""
-    table = {str(k).upper(): float(v) for k, v in (scaling or {}).items()}
-    out = []
-    for item in species_map:
-        factor = 1.0
-        for alias in {item["source"].upper(), item["target"].upper()}:
-            factor *= table.get(alias, 1.0)
-        out.append({**item, "weight": float(item.get("weight", 1.0)) * factor})
-    return out
+def species_weights(spark: SparkSession, species_map: list[dict], scaling: dict[str, float] | None = None) -> DataFrame:
+    """Table (source, target, weight): the weight of each mapping times the factors listed for its source and its
+    target name, letter case aside; a factor listed for both names counts once if they are one name."""
+    mapping = spark.createDataFrame([(m["source"], m["target"], float(m.get("weight", 1.0))) for m in species_map], "source string, target string, w double")
+    listed = spark.createDataFrame([(k, float(v)) for k, v in (scaling or {}).items()], "alias string, factor double").select(F.upper("alias").alias("alias"), "factor")
+    names = mapping.withColumn("alias", F.explode(F.array_distinct(F.array(F.upper("source"), F.upper("target")))))
+    factors = names.join(listed, "alias", "left").groupBy("source", "target", "w").agg(F.product(F.coalesce("factor", F.lit(1.0))).alias("f"))
+    return factors.select("source", "target", (F.col("w") * F.col("f")).alias("weight"))
 
 
 def map_species(chem: DataFrame, species_map: list[dict], scaling: dict[str, float] | None = None) -> DataFrame:
-    """Mapped fields: (variable, value) becomes (target, weight x value); a source may feed several targets."""
-    items = scaled_map(species_map, scaling)
-    targets: dict[str, list] = {}
-    for it in items:
-        targets.setdefault(it["source"], []).append(
-            F.struct(F.lit(it["target"]).alias("target"), F.lit(it["weight"]).alias("weight")))
-    m = F.create_map(*chain.from_iterable((F.lit(k), F.array(*v)) for k, v in targets.items()))
-    hit = chem.filter(F.col("variable").isin(list(targets))).withColumn("m", F.explode(m[F.col("variable")]))
-    return hit.withColumn("value", F.col("value") * F.col("m.weight")).withColumn(
-        "variable", F.col("m.target")).drop("m")
+    """Mapped fields: (variable, value) becomes (target, weight x value); a source may feed several targets.
+
+    The table of weights has a row per mapping, so it is broadcast."""
+    table = F.broadcast(species_weights(chem.sparkSession, species_map, scaling))
+    hit = chem.join(table, chem["variable"] == table["source"]).withColumn("value", F.col("value") * F.col("weight")).withColumn("variable", F.col("target"))
+    return hit.select(*chem.columns)
 
 
 def missing_fields(chem: DataFrame, species_map: list[dict], by: list[str]) -> DataFrame:

@@ -141,13 +141,13 @@ def even_days(days: DataFrame, limit: int, series: str = "series_id") -> DataFra
 
 def fallback_factors(primary: DataFrame, fallback: DataFrame, mesh: DataFrame, fields: list[str],
                      method: str = "robust_median_ratio", fixed: dict[str, float] | None = None,
-                     clip: tuple[float, float] = (0.25, 4.0), min_days: int = 3, max_days: int = 60,
+                     clip: tuple[float, float] = (0.25, 4.0), min_days: int = 3, max_days: int = 0,
                      skip: tuple[str, ...] = ()) -> DataFrame:
     """(field, factor) that brings the fallback to the level of the primary source.
 
     primary/fallback are (day, field, cell_id, value). ``robust_median_ratio`` takes the clipped median
-    of daily ratios of area-weighted totals over days both sources have; with fewer than ``min_days``
-    of them the factor is 1. The percentile sees at most ``max_days`` ratios per field.
+    of daily ratios of area-weighted totals over all days both sources have; with fewer than ``min_days``
+    of them the factor is 1. ``max_days`` above 0 asks for that many evenly spaced days instead.
     """
     spark = primary.sparkSession
     names = spark.createDataFrame([(f,) for f in fields], "field string")

@@ -1,7 +1,6 @@
 """Observation departure statistics, cycle summaries and run comparison."""
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,15 +131,17 @@ def cycle_document(stats: DataFrame, by: str = "cycle", key: str = "key") -> Dat
     return nested.select(by, F.to_json(F.struct("obs")).alias("document"))
 
 
-def band_error_profile(obs: DataFrame, band: Column, bin_col: Column, bands: list[str], bins: list[int]) -> DataFrame:
-    """RMS of the relative diagnostic per (band, height bin) as an error profile.
+def band_error_profile(obs: DataFrame, band: Column, bin_col: Column, bands: list[str], bins: list[int],
+                       percent: bool = False) -> DataFrame:
+    """Error profile per (band, height bin): the mean of analysis departure times background departure over the value.
 
-    The diagnostic is the product of analysis and background departure over the squared value, so its mean
-    under the root is a relative error; bins without data get 999.0. The frame of bins is a literal.
+    With ``percent`` departures are percentages of the value and the mean is divided by 100. Bins without data and
+    bins whose mean is not above zero, where the diagnosis fails, get 999.0. The frame of bins is a literal.
     """
-    x = F.try_divide(F.col("oman") * F.col("ombg"), F.col("obs") * F.col("obs"))
+    x = F.try_divide(F.col("oman") * F.col("ombg"), F.col("obs")) / F.lit(100.0 if percent else 1.0)
     per = obs.withColumn("band", band).withColumn("bin", bin_col).groupBy("band", "bin").agg(
-        F.sqrt(F.abs(F.avg(x))).alias("e"), F.count(F.lit(1)).alias("n"))
+        F.avg(x).alias("e"), F.count(F.lit(1)).alias("n"))
+    per = per.withColumn("e", F.when(F.col("e") > 0, F.col("e")))
     spark = obs.sparkSession
     frame = spark.createDataFrame([(b, int(k)) for b in bands for k in bins], "band string, bin int")
     per = per.withColumn("bin", F.col("bin").cast("int"))
@@ -157,7 +158,3 @@ def verify_state(state: DataFrame, analysis: DataFrame, keys: list[str], by: lis
         F.count(F.lit(1)).alias("n"), F.avg(d).alias("mean"), F.sqrt(F.avg(d * d)).alias("rms"),
         F.stddev_pop(d).alias("std"))
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """Union by name of parts that must share their columns."""
-    return reduce(lambda x, y: x.unionByName(y), frames)

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.session import settle
+
 # Variables of an analysis increment, and its default window.
 INCREMENT_VARIABLES = ["u", "rho", "theta", "qv", "qc", "qr", "qi", "qs", "qg"]
 WINDOW_SECONDS = 21600
@@ -81,10 +83,21 @@ def recenter(ensemble: DataFrame, centre: DataFrame, variables: list[str], keys:
              value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(recentred members, raw mean): member minus mean plus centre for the listed variables.
 
-    Every other variable is the centre's own value for each member. ``keys`` include ``variable``.
+    Every other variable of the centre is given to each member as it is, whether or not the ensemble has it.
+    ``keys`` include ``variable``. Listed points without a centre are left to :func:`centre_gaps`. The members of an
+    ensemble are a short list, so the unlisted points are repeated by exploding it.
     """
-    x = ensemble.withColumn("_m", F.avg(value).over(Window.partitionBy(*keys)))
-    moved = x.join(centre.select(*keys, F.col(value).alias("_c")), keys)
-    new = F.when(F.col("variable").isin(variables), F.col(value) - F.col("_m") + F.col("_c")).otherwise(F.col("_c"))
-    means = ensemble.groupBy(*keys).agg(F.avg(value).alias(value))
-    return moved.select("member", *keys, new.alias(value)), means
+    means = settle(ensemble.groupBy(*keys).agg(F.avg(value).alias(value)))
+    shift = means.join(centre.select(*keys, F.col(value).alias("_c")), keys).select(*keys, (F.col("_c") - F.col(value)).alias("_s"))
+    listed = F.col("variable").isin(variables)
+    moved = ensemble.filter(listed).join(shift, keys).select("member", *keys, (F.col(value) + F.col("_s")).alias(value))
+    members = [r["member"] for r in ensemble.select("member").distinct().collect()]
+    each = F.explode(F.array(*[F.lit(m) for m in members])) if members else F.lit(None)
+    rest = centre.filter(~listed).withColumn("member", each).select("member", *keys, value)
+    return moved.unionByName(rest if members else rest.limit(0)), means
+
+
+def centre_gaps(ensemble: DataFrame, centre: DataFrame, variables: list[str], keys: list[str]) -> DataFrame:
+    """Points of listed variables that the ensemble has and the centre lacks; must be empty before recentring."""
+    points = ensemble.filter(F.col("variable").isin(variables)).select(*keys).distinct()
+    return points.join(centre.select(*keys), keys, "left_anti")

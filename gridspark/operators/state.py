@@ -1,7 +1,6 @@
 """Cycling state carry-over and non-negative floors."""
 from __future__ import annotations
 
-from functools import reduce
 from itertools import chain
 
 from pyspark.sql import DataFrame
@@ -82,8 +81,3 @@ def carry_state(cold: DataFrame, source: DataFrame, keys: list[str], aux: DataFr
     # extents agree for copied variables, so rows only the origin has belong to added ones
     out = cold.join(taken, keys, "full_outer").withColumn(value, F.coalesce(F.col("_in"), F.col(value))).drop("_in")
     return out, report
-
-
-def difference_report(reports: list[DataFrame]) -> DataFrame:
-    """All reports in one table."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)

@@ -13,7 +13,7 @@ _METHODS = ("linear", "nearest", "hold")
 def schedule(start, end, step_seconds: int) -> Column:
     """Array of timestamps from start to end inclusive."""
     if step_seconds <= 0:
-        raise ValueError("time step must be positive")
+        raise ValueError("step_seconds has to be above zero")
     a = start if isinstance(start, Column) else F.lit(start).cast("timestamp")
     b = end if isinstance(end, Column) else F.lit(end).cast("timestamp")
     step = F.make_dt_interval(secs=F.lit(step_seconds))
@@ -35,7 +35,7 @@ def target_schedule(records: DataFrame, start, end, frequency: str, step: float
         seconds = int(step * (86400 if frequency == "daily" else 3600))
         return all_series.withColumn("target", F.explode(schedule(a, b, seconds)))
     if frequency != "monthly":
-        raise ValueError(f"unsupported target frequency {frequency!r}")
+        raise ValueError(f"frequency is source, monthly, daily or hourly, not {frequency!r}")
     firsts = F.sequence(F.trunc(a, "month"), F.trunc(b, "month"), F.expr("interval 1 month"))
     months = all_series.withColumn("month", F.explode(firsts))
     per = records.groupBy(series, F.trunc("valid_time", "month").alias("month")).agg(
@@ -85,7 +85,7 @@ def neighbours(records: DataFrame, targets: DataFrame, series: str) -> DataFrame
 def _brackets(found: DataFrame, series: str, method: str, max_gap: float | None, extrapolate: bool) -> DataFrame:
     """before_id, after_id, alpha, kind from neighbours; kind names the violation when there is one."""
     if method not in _METHODS:
-        raise ValueError(f"unsupported interpolation method {method!r}")
+        raise ValueError(f"method is one of {sorted(_METHODS)}, not {method!r}")
     b, a, t = F.col("before"), F.col("after"), F.col("t")
     gap = a["t"] - b["t"]
     exact, one_sided = b["t"] == a["t"], b.isNull() | a.isNull()
@@ -190,15 +190,19 @@ def bracket_summary(brackets: DataFrame, series: str = "series_id") -> DataFrame
         F.coalesce(F.max(F.when(k == "interpolated", F.col("gap_seconds") / 3600.0)), F.lit(0.0)).alias("largest_gap_hours"))
 
 
-def period_token(targets: DataFrame, year: int, series: str = "series_id") -> DataFrame:
+def period_token(targets: DataFrame, year: int | str, series: str = "series_id") -> DataFrame:
     """Period part of a product name per series: the year when it is covered, else first-last day.
 
+    ``year`` is one year for all, or the name of a column that holds it; then there is a row per series and year.
+
     Twelve covered months make a year; with more than twelve records they must also reach the first
     and the last day. A closing record on 1 January of the next year is not extra coverage.
     """
     t = F.col("target")
+    by = [series, year] if isinstance(year, str) else [series]
+    year = F.col(year) if isinstance(year, str) else F.lit(year)
     own = F.year(t) == year
-    per = targets.groupBy(series).agg(
+    per = targets.groupBy(*by).agg(
         F.min(t).alias("t0"), F.max(t).alias("t1"),
         F.countDistinct(F.when(own, F.month(t))).alias("months"), F.sum(own.cast("int")).alias("n"))
 
@@ -209,4 +213,4 @@ def period_token(targets: DataFrame, year: int, series: str = "series_id") -> Da
     ends = on(F.col("t0"), 1, 1) & (closing | on(F.col("t1"), 12, 31))
     whole = (F.col("months") == 12) & ((F.year("t1") == year) | closing) & ((F.col("n") <= 12) | ends)
     span = F.concat(F.date_format("t0", "yyyyMMdd"), F.lit("-"), F.date_format("t1", "yyyyMMdd"))
-    return per.select(series, F.when(whole, F.lit(str(year))).otherwise(span).alias("period"))
+    return per.select(*by, F.when(whole, year.cast("string")).otherwise(span).alias("period"))

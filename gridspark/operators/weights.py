@@ -51,13 +51,19 @@ def check_conservation(src: DataFrame, dst: DataFrame, src_area: DataFrame, dst_
                        tol: float = CONSERVATION_TOLERANCE, value: str = "value") -> DataFrame:
     """Area integrals before and after remapping per ``keys``, their relative difference, and pass or fail.
 
-    ``src_area``(src_id, area) and ``dst_area``(dst_id, area) use one common area unit.
+    ``src_area``(src_id, area) and ``dst_area``(dst_id, area) use one common area unit. Cells without an area are
+    counted as ``n_no_area`` and make the key fail.
     """
-    s = src.join(src_area, "src_id").groupBy(*keys).agg(F.sum(F.col(value) * F.col("area")).alias("src_total"))
-    d = dst.join(dst_area, "dst_id").groupBy(*keys).agg(F.sum(F.col(value) * F.col("area")).alias("dst_total"))
+    def total(side, area, cell, name):
+        both = side.join(area, cell, "left")
+        return both.groupBy(*keys).agg(F.sum(F.col(value) * F.col("area")).alias(f"{name}_total"),
+                                       F.sum(F.col("area").isNull().cast("bigint")).alias(f"{name}_bare"))
+
+    s, d = total(src, src_area, "src_id", "src"), total(dst, dst_area, "dst_id", "dst")
+    bare = F.coalesce("src_bare", F.lit(0)) + F.coalesce("dst_bare", F.lit(0))
     rel = F.abs(F.col("dst_total") - F.col("src_total")) / F.greatest(F.abs(F.col("src_total")), F.lit(1e-300))
-    return s.join(d, keys, "full_outer").withColumn("rel_diff", rel).withColumn(
-        "ok", F.coalesce(F.col("rel_diff") <= tol, F.lit(False)))
+    return s.join(d, keys, "full_outer").withColumn("rel_diff", rel).withColumn("n_no_area", bare).withColumn(
+        "ok", F.coalesce(F.col("rel_diff") <= tol, F.lit(False)) & (F.col("n_no_area") == 0)).drop("src_bare", "dst_bare")
 
 
 def source_length_check(values: DataFrame, keys: list[str], n_src: int) -> DataFrame:

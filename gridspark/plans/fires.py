@@ -26,6 +26,10 @@ class FirePlan:
     factors: dict[str, float] = field(default_factory=dict)
     fallback_factors: dict[str, float] | None = None  # fallback's own scaling; else the product's
     scale_method: str = "none"
+    fixed_factors: dict[str, float] | None = None  # for scale_method "fixed"; "default" covers the rest
+    ratio_clip: tuple[float, float] = (0.25, 4.0)
+    min_overlap_days: int = 3
+    max_overlap_days: int = 0  # 0: all
     max_missing: int = 0
     size_max_missing: int = 1
     forced: tuple[tuple[str, str], ...] = ()
@@ -52,7 +56,8 @@ def fire_emissions(fires: DataFrame, mesh: DataFrame, plan: FirePlan, index: Dat
     fall = points.points_to_flux(sums.filter("source = 'fallback'"), mesh, plan.kinds, own)
     long_p = points.to_long(prim, keys, fields)
     long_f = points.to_long(fall, keys, fields)
-    ratio = days.fallback_factors(long_p.drop("source"), long_f.drop("source"), mesh, fields, plan.scale_method)
+    ratio = days.fallback_factors(long_p.drop("source"), long_f.drop("source"), mesh, fields, plan.scale_method,
+                                  plan.fixed_factors, plan.ratio_clip, plan.min_overlap_days, plan.max_overlap_days)
     long_f = lookup_join(long_f, ratio, ["field"], "inner").withColumn("value", F.col("value") * F.col("factor")).drop("factor")
     series = fires.sparkSession.createDataFrame([("fires",)], "series_id string")
     calendar = days.day_calendar(plan.start, plan.end, series)
@@ -92,14 +97,21 @@ def dense_hourly(hourly: DataFrame, mesh: DataFrame, fields: list[str], start: s
     return weights.densify(hourly, mesh, axes)
 
 
-def point_vegetation(fires: DataFrame, mesh: DataFrame, fire_size: DataFrame, index: DataFrame | None = None) -> Result:
-    """Daily category product of fires(file_date, lat, lon, genveg, area) checked against the staged mean size."""
-    kept, rejected = vegetation.validate_fires(fires)
+def point_vegetation(fires: DataFrame, mesh: DataFrame, fire_size: DataFrame, index: DataFrame | None = None,
+                     manifest: DataFrame | None = None) -> Result:
+    """Daily category product of fires(file_date, day_number, lat, lon, genveg, area) checked against the staged mean size.
+
+    A record's ``day_number`` must be the day of year of its file. ``manifest``(day) lists the files' days, by default
+    those of the records; they must be without repeats and gaps, each with a day of the reference.
+    """
+    kept, rejected = vegetation.validate_fires(fires, F.col("file_date"))
+    days_listed = manifest if manifest is not None else fires.select(F.col("file_date").alias("day")).distinct()
+    calendar = vegetation.reference_days(days_listed, fire_size.select("day").distinct())
     located = nearest_cell(kept, mesh, index=index)
     veg = vegetation.dominant_category(points.accepted(located), ["file_date", "cell_id"])
     veg = veg.withColumnRenamed("file_date", "day")
     odd = vegetation.check_consistency(veg, fire_size.withColumnRenamed("value", "mean_area"), ["day", "cell_id"], "mean_area")
-    return Result(veg, violation_table({"mean_mismatch": odd, "fatal_record": rejected.filter("fatal")}), {"rejected": rejected})
+    return Result(veg, violation_table({"mean_mismatch": odd, "fatal_record": rejected.filter("fatal"), "manifest": calendar}), {"rejected": rejected})
 
 
 def fire_support(cells: DataFrame, lat_axis: DataFrame, lon_axis: DataFrame, flux: DataFrame, fires: DataFrame,

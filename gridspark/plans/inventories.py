@@ -71,12 +71,13 @@ def source_fields(wide: DataFrame, keys: list[str], specs: list[FieldSpec], bloc
 
 def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src_area: DataFrame | None,
                       dst_area: DataFrame | None, specs: list[FieldSpec], time: TimeSpec, blocks: list = (),
-                      series: str = "series_id") -> Result:
+                      series: str = "series_id", n_src: int | None = None) -> Result:
     """Source slabs to mesh fields at the target times.
 
     wide(series, record_id, src_id, columns...), records(series, record_id, valid_time). Only records the
     brackets use are read and remapped, each once; the remapped table is written, then checked for
-    conservation when both areas are given, and blended to every target.
+    conservation when both areas are given, and blended to every target. A missing value under the policy
+    ``error``, a record that does not hold ``n_src`` source cells (if given) and a cell without area are violations.
     """
     targets = timeaxis.target_schedule(records, time.start, time.end, time.frequency, time.step, series)
     if time.daily_mean:
@@ -88,14 +89,18 @@ def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src
     used = timeaxis.needed_records(brackets, series)
     keys = [series, "record_id"]
     src = source_fields(lookup_join(wide, used, keys, "left_semi"), [*keys, "src_id"], specs, list(blocks))
+    src = settle(src)  # read by the remapping and by every check
     on_mesh = settle(weights.apply_weights(src, links, [*keys, "field"]))
     out = timeaxis.interpolate(on_mesh, brackets, ["field", "dst_id"], series=series).withColumnRenamed("dst_id", "cell_id")
     checks = {
         "duplicate_time": timeaxis.duplicate_times(records, series, time.daily_mean),
         "bracket": brackets.filter(F.col("kind").isin("outside", "gap", "no_records")),
         "negative_factor": scaling.negative_factors(src).select("field", "factor").distinct(),
+        "missing_value": finite_violations(src, [*keys, "field"]),
         "nonfinite": finite_violations(on_mesh, ["field", "record_id"]),
     }
+    if n_src is not None:
+        checks["source_length"] = weights.source_length_check(src, [*keys, "field"], n_src)
     extras = {"brackets": brackets, "remapped": on_mesh}
     if src_area is not None and dst_area is not None:
         balance = weights.check_conservation(src, on_mesh, src_area, dst_area, [*keys, "field"])

@@ -3,10 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridspark.functions.dates import date_from_name
 from gridspark.functions.numbers import is_finite, is_unparsed, parse_double
 from gridspark.operators.skew import lookup_join
+from gridspark.session import settle
 
 # Share of unparsed tokens that is still accepted, date formats tried in order,
 # and the creation stamp of a container name.
@@ -45,17 +47,20 @@ def file_layouts(lines: DataFrame) -> DataFrame:
     """One row per file: header names and delimiter, from its first two content lines.
 
     Comma applies when the header has at least two and the first record at least max(2, header - 1);
-    otherwise blanks and commas both separate. The header is the first line, the record the first that
-    does not begin with a letter; both are minima of one pass that combine before the shuffle.
+    otherwise blanks and commas both separate. The header is the first content line and the record the second,
+    whatever they begin with; names lose enclosing quotes. Two minima, each combined before the shuffle; where
+    positions tell the split, only lines of a file's first split are looked at.
     """
     at = F.struct("pos", "line")
-    both = lines.groupBy("file").agg(
-        F.min(at).alias("h"), F.min(F.when(~F.col("line").rlike("^[A-Za-z_]"), at)).alias("d"))
-    both = both.select("file", F.col("h.pos").alias("head_pos"), F.col("h.line").alias("header"), F.col("d.line").alias("first"))
+    if isinstance(lines.schema["pos"].dataType, StructType):
+        lines = lines.filter("pos.block = 0")
+    head = settle(lines.groupBy("file").agg(F.min(at).alias("h")).select("file", F.col("h.pos").alias("head_pos"), F.col("h.line").alias("header")))
+    second = lookup_join(lines, head, ["file"], "inner").filter(F.col("pos") > F.col("head_pos")).groupBy("file").agg(F.min(at).alias("d"))
+    both = head.join(second.select("file", F.col("d.line").alias("first")), "file", "left")
     n = _comma_count(F.col("header"))
     comma = (n >= 2) & (F.col("first").isNull() | (_comma_count(F.col("first")) >= F.greatest(F.lit(2), n - 1)))
     both = both.withColumn("comma", comma)
-    names = F.transform(split_line(F.col("header"), F.col("comma")), lambda x: F.lower(F.trim(x)))
+    names = F.transform(split_line(F.col("header"), F.col("comma")), lambda x: F.lower(F.trim(F.regexp_replace(F.trim(x), "^([\"'])(.*)\\1$", "$2"))))
     return both.select("file", "head_pos", "comma", names.alias("names"))
 
 

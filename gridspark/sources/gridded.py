@@ -56,11 +56,6 @@ def source_records(df: DataFrame, offset_hours: float = 0.0, by: list[str] = ("s
     return df.select(*by, moved.alias("valid_time")).distinct()
 
 
-def time_from_name(name, regex: str, pattern: str):
-    """Valid time held in a file name."""
-    return F.try_to_timestamp(F.regexp_extract(name, regex, 1), F.lit(pattern))
-
-
 def clean_values(df: DataFrame, policy: str = "error", value: str = "value") -> DataFrame:
     """Apply the missing value policy."""
     return df.withColumn(value, missing_policy(F.col(value), policy))
