@@ -11,8 +11,8 @@ def components(edges: DataFrame) -> DataFrame:
     """Union-find over ``edges`` (a, b): rows (node, component) with the smallest node reachable.
 
     Large-star and small-star steps alternate until the edge set is a star per component. Each step is
-    a grouped minimum (combined before the shuffle) and an equi-join that adaptive execution may split, so
-    a hub that touches a third of all edges is no single task. Every round is written to the shared
+    a grouped minimum (combined before the shuffle), written, and an equi-join of written tables, which adaptive
+    execution can split, so a hub that touches a third of all edges is no single task. Every step is written to the shared
     folder, which cuts the lineage. Edges with a null end and self-loops are ignored; nodes that occur in
     no other edge have no row.
     """
@@ -24,10 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
         if not mark[0]:
             break
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        low = settle(both.groupBy("u").agg(F.min("v").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         large = settle(large.distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = settle(large.groupBy("u").agg(F.min("v").alias("m")))
         moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = settle(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -126,7 +126,8 @@ def close_pairs(values: DataFrame, bits: int = 2, blocks: int = 5, keep: int = 3
     if blocks - keep < bits:
         raise ValueError(f"blocks - keep must be at least bits ({bits}), got {blocks} - {keep}")
     keyed = _keyed(values.select("fp"), _masks(blocks, keep))
-    shared = keyed.groupBy("choice", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join of a crowded key can be split
+    shared = settle(keyed.groupBy("choice", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     tagged = settle(keyed.join(shared, ["choice", "part"]))
     calm = _group_edges(tagged.where(F.col("n") <= CROWD).select("choice", "part", "fp"), ["choice", "part"], bits)
     # a finer choice of 8-bit runs, within the key: at most 8 * bits bits stay free
@@ -148,6 +149,6 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, blocks: int
     linked = components(close_pairs(values, bits, blocks, keep)).select(F.col("node").alias("fp"), "component")
     named = values.join(linked, "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     named = settle(named)
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    classes = named.join(smallest, "component").select("fp", "component_id")
+    smallest = settle(named.groupBy("component").agg(F.min("rep").alias("component_id")))
+    classes = settle(named.join(smallest, "component").select("fp", "component_id"))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")

@@ -39,7 +39,7 @@ def with_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", payl
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     large = F.octet_length("payload") >= LEAST_BYTES
     first = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = first.select(F.col("digest").alias("same"), "first")
+    first = settle(first.select(F.col("digest").alias("same"), "first"))  # written: the join of a hot payload can be split
     joined = rows.join(first, (rows["digest"] == first["same"]) & large, "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "payload", "digest", F.when(again, F.col("first")).alias("refers_to"), again.alias("revisit"))
