@@ -171,31 +171,35 @@ def product_names(i):
                                                 {"black-carbon": "bc", "ammonia": "nh3"}))
 
 
-AXES = """SELECT 'g' AS grid_id, axis, CAST(idx AS INT) AS idx, centre FROM (
- SELECT 'lat' AS axis, s_suppkey AS idx, -90 + (s_suppkey + 0.5E0)*180/(SELECT count(*) FROM supplier) AS centre FROM supplier
- UNION ALL SELECT 'lon' AS axis, s_suppkey AS idx, -180 + (s_suppkey + 0.5E0)*360/(SELECT count(*) FROM supplier) AS centre FROM supplier) x"""
+# a grid per 20 suppliers, with 20 latitudes of 9 and 20 longitudes of 18 degrees; the last grid may have fewer
+AXES = """SELECT concat('g', CAST(g AS STRING)) AS grid_id, axis, idx, centre FROM (
+ SELECT 'lat' AS axis, CAST(floor(s_suppkey/20) AS INT) AS g, CAST(s_suppkey % 20 AS INT) AS idx, -90 + (s_suppkey % 20 + 0.5E0)*9 AS centre FROM supplier
+ UNION ALL SELECT 'lon' AS axis, CAST(floor(s_suppkey/20) AS INT) AS g, CAST(s_suppkey % 20 AS INT) AS idx, -180 + (s_suppkey % 20 + 0.5E0)*18 AS centre FROM supplier) x"""
 
 
-@query("axis_bounds", ["axis", "idx", "ROUND(lo, 8) AS lo", "ROUND(hi, 8) AS hi"], """
-SELECT axis, idx, w*idx + a AS lo, w*(idx + 1) + a AS hi FROM (
- SELECT 'lat' AS axis, CAST(s_suppkey AS INT) AS idx, 180.0/n AS w, -90 AS a FROM supplier, (SELECT count(*) AS n FROM supplier)
- UNION ALL SELECT 'lon', CAST(s_suppkey AS INT), 360.0/n, -180 FROM supplier, (SELECT count(*) AS n FROM supplier))""")
+BOUNDS_SQL = """SELECT 'g' || (s_suppkey // 20) AS grid_id, axis, CAST(s_suppkey % 20 AS INT) AS idx, a + w*(s_suppkey % 20) AS lo,
+ CASE WHEN axis = 'lat' AND s_suppkey = max(s_suppkey) OVER (PARTITION BY s_suppkey // 20) THEN 90e0 ELSE a + w*(s_suppkey % 20 + 1) END AS hi, a + w*(s_suppkey % 20 + 0.5e0) AS centre
+FROM supplier, (VALUES ('lat', -90e0, 9e0), ('lon', -180e0, 18e0)) v(axis, a, w)"""
+
+
+@query("axis_bounds", ["grid_id", "axis", "idx", "ROUND(lo, 8) AS lo", "ROUND(hi, 8) AS hi"], BOUNDS_SQL)
 def axis_bounds(i):
     return M.axis_bounds(i.sql(AXES))
 
 
-@query("grid_cell_area", ["src_id", "ROUND(lat, 6) AS lat", "ROUND(lon, 6) AS lon", "ROUND(area_sr, 10) AS area_sr"], """
-SELECT a.k*n + b.k AS src_id, -90 + (a.k + 0.5)*180.0/n AS lat, -180 + (b.k + 0.5)*360.0/n AS lon,
- (sin(radians(-90 + (a.k + 1)*180.0/n)) - sin(radians(-90 + a.k*180.0/n)))*radians(360.0/n) AS area_sr
-FROM (SELECT s_suppkey AS k FROM supplier) a, (SELECT s_suppkey AS k FROM supplier) b, (SELECT count(*) AS n FROM supplier)""")
+@query("grid_cell_area", ["grid_id", "src_id", "ROUND(lat, 6) AS lat", "ROUND(lon, 6) AS lon", "ROUND(area_sr, 10) AS area_sr"], f"""
+WITH b AS ({BOUNDS_SQL}), y AS (SELECT *, count(*) OVER (PARTITION BY grid_id) AS n FROM b WHERE axis = 'lat'), x AS (SELECT * FROM b WHERE axis = 'lon')
+SELECT y.grid_id, CAST(y.idx*n + x.idx AS BIGINT) AS src_id, y.centre AS lat, x.centre AS lon, (sin(radians(y.hi)) - sin(radians(y.lo)))*radians(x.hi - x.lo) AS area_sr
+FROM y JOIN x ON x.grid_id = y.grid_id""")
 def grid_cell_area(i):
     return M.grid_cells(M.axis_bounds(i.sql(AXES)))
 
 
+# a file per 40 customers: more files with more customers, axes of 40 centres
 GRIDS = """SELECT concat('file', CAST(k AS STRING)) AS grid_id, concat('product', CAST(k % 5 AS STRING)) AS product, axis, idx,
  idx*1.25E0 - 30 + (k % 3)*0.000002E0 + CASE WHEN k = 7 THEN 0.05E0 ELSE 0E0 END AS centre
-FROM (SELECT c_custkey % 25 AS k, CAST(floor(c_custkey/25) AS INT) AS idx, 'lat' AS axis FROM customer
- UNION ALL SELECT c_custkey % 25 AS k, CAST(floor(c_custkey/25) AS INT) AS idx, 'lon' AS axis FROM customer) x"""
+FROM (SELECT CAST(floor(c_custkey/40) AS INT) AS k, CAST(c_custkey % 40 AS INT) AS idx, 'lat' AS axis FROM customer
+ UNION ALL SELECT CAST(floor(c_custkey/40) AS INT) AS k, CAST(c_custkey % 40 AS INT) AS idx, 'lon' AS axis FROM customer) x"""
 
 IDENT_SQL = f"""SELECT grid_id, product, substr(sha256('lat:' || max(lat) || ';lon:' || max(lon)), 1, 16) AS fingerprint FROM (
  SELECT grid_id, product, CASE WHEN axis = 'lat' THEN t END AS lat, CASE WHEN axis = 'lon' THEN t END AS lon FROM (
@@ -309,12 +313,13 @@ def neighbor_table(i):
     return M.neighbor_counts(M.neighbor_edges(m))
 
 
-FIELD = """SELECT 'g' AS grid_id, CAST(-s_suppkey AS DOUBLE) AS lat, CAST(s_nationkey AS DOUBLE) AS lon, s_acctbal AS value FROM supplier"""
+FIELD = """SELECT CAST(floor(s_suppkey/20) AS INT) AS grid_id, CAST(-s_suppkey AS DOUBLE) AS lat, CAST(s_nationkey AS DOUBLE) AS lon, s_acctbal AS value FROM supplier"""
 
 
-@query("flat_index", ["src_id", "ROUND(value, 4) AS value"], """
-SELECT ((SELECT max(s_suppkey) FROM supplier) - s_suppkey)*n + r AS src_id, s_acctbal AS value
-FROM supplier, (SELECT count(DISTINCT s_nationkey) AS n FROM supplier), (SELECT s_nationkey AS k, row_number() OVER (ORDER BY s_nationkey) - 1 AS r FROM (SELECT DISTINCT s_nationkey FROM supplier)) WHERE k = s_nationkey""")
+@query("flat_index", ["grid_id", "src_id", "ROUND(value, 4) AS value"], """
+WITH s AS (SELECT CAST(s_suppkey // 20 AS INT) AS g, * FROM supplier), n AS (SELECT g, count(DISTINCT s_nationkey) AS n FROM s GROUP BY g)
+SELECT s.g AS grid_id, CAST((rank() OVER (PARTITION BY s.g ORDER BY s_suppkey DESC) - 1)*n + dense_rank() OVER (PARTITION BY s.g ORDER BY s_nationkey) - 1 AS BIGINT) AS src_id, s_acctbal AS value
+FROM s JOIN n ON n.g = s.g""")
 def flat_index(i):
     v = i.sql(FIELD)
     lat, lon = (v.select("grid_id", F.col(c).alias("centre")).distinct() for c in ("lat", "lon"))
@@ -342,8 +347,9 @@ def diurnal_expand(i):
     return P.expand_diurnal(daily, i("mesh"), PROFILE, ["value"])
 
 
-CENTRES = """SELECT concat('g', CAST(c_custkey % 25 AS STRING)) AS grid_id, CASE WHEN c_custkey % 2 = 0 THEN 'lat' ELSE 'lon' END AS axis, CAST(floor(c_custkey/50) AS INT) AS idx,
- CASE WHEN c_custkey % 25 = 3 AND floor(c_custkey/50) = 5 THEN 0E0 ELSE CAST(floor(c_custkey/50) AS DOUBLE)*360/(SELECT count(*)/50 FROM customer) END AS centre FROM customer"""
+# a grid per 36 customers, 18 centres an axis; every 25th grid repeats a centre
+CENTRES = """SELECT concat('g', CAST(CAST(floor(c_custkey/36) AS INT) AS STRING)) AS grid_id, CASE WHEN c_custkey % 2 = 0 THEN 'lat' ELSE 'lon' END AS axis, CAST(floor(c_custkey % 36/2) AS INT) AS idx,
+ CASE WHEN floor(c_custkey/36) % 25 = 3 AND floor(c_custkey % 36/2) = 5 THEN 0E0 ELSE CAST(floor(c_custkey % 36/2) AS DOUBLE)*20 END AS centre FROM customer"""
 
 
 @query("axis_rules", ["grid_id", "axis", "rule"], f"""

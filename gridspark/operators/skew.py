@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from gridspark.session import settle
 
-BROADCAST_ROWS = 200_000
 HOT_SHARE = 0.01
 SALTS = 64
 
@@ -14,8 +13,6 @@ SALTS = 64
 def _match(keys: list[str], hot: list) -> Column:
     if not hot:
         return F.lit(False)
-    if len(keys) == 1:
-        return F.coalesce(F.col(keys[0]).isin([r[0] for r in hot]), F.lit(False))
     hit = F.lit(False)
     for row in hot:
         same = F.lit(True)
@@ -44,30 +41,27 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
                 share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
     """Equi-join whose hot ``left`` keys are spread over ``salts`` tasks.
 
-    Rows of a hot key get a salt from a hash of the whole row; the matching right rows
-    are repeated once per salt. All other keys take the ordinary path, and without hot
-    keys this is the plain join. ``how`` must keep the left side (inner, left, left_semi).
+    Rows of a hot key, null included, get a salt from a hash of the row and its number within its partition, so
+    repeated rows spread as well; the matching right rows are repeated once per salt, so any salt finds them. All
+    other keys take the ordinary path, and without hot keys this is the plain join. ``how`` must keep the left side (inner, left, left_semi).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salting repeats right rows, so the left side must lead the join")
     hot = hot_keys(left, keys, share)
     if not hot:
         return left.join(right, keys, how)
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    row_hash = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     spread = left.withColumn("_salt", F.when(_match(keys, hot), row_hash).otherwise(F.lit(0)))
     copies = F.when(_match(keys, hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.withColumn("_salt", F.explode(copies))
     return spread.join(repeated, keys + ["_salt"], how).drop("_salt")
 
 
-def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Attach a keyed table to a data-sized one.
 
-    ``small`` is written once and its rows are counted: up to ``max_rows`` it is
-    broadcast, beyond that the join is shuffled with hot keys salted.
+    ``small`` is written once, so its bytes are known without a pass to count it: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, beyond that both sides are shuffled plainly
+    and adaptive execution splits the keys that hold too much, null ones included.
     """
-    small = settle(small)
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), keys, how)
-    return salted_join(big, small, keys, how)
+    return big.join(settle(small), keys, how)

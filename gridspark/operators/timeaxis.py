@@ -131,11 +131,12 @@ def day_brackets(records: DataFrame, targets: DataFrame, series: str = "series_i
 
     The blend factor uses whole days, so it does not change within a day.
     """
-    day = lambda c: F.unix_date(F.to_date(c)).cast("double")
+    day = lambda c: F.unix_date(F.to_date(c)).cast("double") * 86400.0  # noqa: E731  seconds, as the buckets are
     r = records.select(series, day("valid_time").alias("t"), "record_id")
     q = targets.select(series, day("target").alias("t")).distinct()
-    gap = None if not max_gap_days else float(max_gap_days)
-    by_day = _brackets(neighbours(r, q, series), series, method, gap, extrapolate).withColumnRenamed("gap", "gap_days")
+    gap = None if not max_gap_days else float(max_gap_days) * 86400.0
+    by_day = _brackets(neighbours(r, q, series), series, method, gap, extrapolate)
+    by_day = by_day.withColumn("gap_days", F.col("gap") / 86400.0).drop("gap")
     return targets.select(series, "target").withColumn("t", day("target")).join(by_day, [series, "t"]).drop("t")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.operators.quantiles import exact_quantiles
-from gridspark.operators.skew import salted_join
+from gridspark.session import settle
 
 # Contract tolerances.
 ROW_SUM_TOLERANCE = 5.0e-10
@@ -24,11 +24,11 @@ def zero_based(links: DataFrame) -> DataFrame:
 def apply_weights(values: DataFrame, weights: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """``dst = sum(s * src)`` per ``keys``: values(keys, src_id, value) x weights(dst_id, src_id, s).
 
-    One shuffle on the source cell (links of a source cell that carries a large share of
-    them are salted) and one on (keys, destination), which combines before it shuffles.
-    Pass distinct source records only; blending in time happens after this.
+    One shuffle of both sides on the source cell, in which adaptive execution may split a hot cell of
+    either side, and one on (keys, destination), which combines before it shuffles. Weights are written
+    once. Pass distinct source records only; blending in time happens after this.
     """
-    pairs = salted_join(weights, values.select(*keys, "src_id", value), ["src_id"])
+    pairs = values.select(*keys, "src_id", value).join(settle(weights), "src_id")
     return pairs.groupBy(*keys, "dst_id").agg(F.sum(F.col("s") * F.col(value)).alias(value))
 
 

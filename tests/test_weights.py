@@ -82,7 +82,7 @@ def test_hot_key_join_is_whole(spark):
     a = salted_join(left, right, ["k"], salts=8)
     b = left.join(right, "k")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    c = lookup_join(left, right, ["k"], max_rows=10)
+    c = lookup_join(left, right, ["k"])
     assert c.exceptAll(left.join(right, "k", "left")).count() == 0
     assert salted_join(left, right, ["k"], "left_semi").count() == 3000
 
