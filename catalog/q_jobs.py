@@ -76,8 +76,16 @@ def job_sectoral_inventory(i):
 FIRES = """SELECT *, CASE WHEN fire_id % 10 = 0 THEN 'fallback' WHEN fire_id % 10 = 1 THEN 'dedicated' ELSE 'primary' END AS source FROM fires
 WHERE NOT (extract(day FROM day) IN (9, 17, 18, 19) AND fire_id % 10 <> 0)"""
 # days 9 and 17 to 19 of the primary source are left out above so that there are gaps to resolve
-PLAN = FP.FirePlan("2024-01-01", "2024-01-30", {"co": "e_co", "bc": "e_bc"}, {"e_co": "gas", "e_bc": "aerosol"}, tuple(PROFILE),
+PLAN = FP.FirePlan("", "", {"co": "e_co", "bc": "e_bc"}, {"e_co": "gas", "e_bc": "aerosol"}, tuple(PROFILE),
                    {"e_co": 0.7}, max_missing=1, forced=(("2024-01-05", "2024-01-06"),))
+
+
+def _plan(i, **change):
+    """The plan over the days of the fire records."""
+    start, end = i.span("SELECT day FROM fires", "day", "fires")
+    return dataclasses.replace(PLAN, start=start, end=end, **change)
+
+
 NEAR = """p AS (SELECT f.*, cos(radians(lat))*cos(radians(lon)) AS x, cos(radians(lat))*sin(radians(lon)) AS y, sin(radians(lat)) AS z FROM ({}) f),
 c AS (SELECT cell_id, cos(lat)*cos(lon) AS x, cos(lat)*sin(lon) AS y, sin(lat) AS z FROM mesh),
 near AS (SELECT fire_id, arg_min(c.cell_id, power(p.x - c.x, 2) + power(p.y - c.y, 2) + power(p.z - c.z, 2)) AS cell_id FROM p CROSS JOIN c GROUP BY fire_id),
@@ -89,14 +97,14 @@ DAY_OF = "CASE WHEN day(d) IN (5, 6, 17, 18, 19) THEN 'fallback' ELSE 'primary'
 WITH {NEAR.format(FIRES)}, g AS (SELECT source, day, l.cell_id, sum(co)/86400*6.022e23/(area_m2*1e4)*0.7 AS e_co, sum(bc)*1000/12/86400*6.022e23/(area_m2*1e4) AS e_bc FROM loc l JOIN mesh m ON m.cell_id = l.cell_id
  WHERE source <> 'dedicated' GROUP BY source, day, l.cell_id, area_m2),
 u AS (SELECT source, day, cell_id, 'e_co' AS field, e_co AS value FROM g UNION ALL SELECT source, day, cell_id, 'e_bc', e_bc FROM g),
-d AS (SELECT CAST(unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d),
+d AS (SELECT CAST(unnest(range((SELECT CAST(min(day) AS TIMESTAMP) FROM fires), (SELECT CAST(max(day) AS TIMESTAMP) FROM fires) + INTERVAL 1 SECOND, INTERVAL 1 DAY)) AS DATE) AS d),
 w AS (SELECT d, {DAY_OF} AS source, d AS sd, 1.0 AS w FROM d WHERE day(d) <> 9 UNION ALL SELECT d, 'primary', d + (k - 1)::INT, 0.5 FROM d, (SELECT unnest([0, 2]) AS k) WHERE day(d) = 9),
 r AS (SELECT d, field, cell_id, sum(w*value) AS value FROM w JOIN u ON u.source = w.source AND u.day = w.sd GROUP BY 1, 2, 3)
 SELECT CAST(d AS TIMESTAMP) + to_hours(CAST(h AS BIGINT)) AS valid_time, field, r.cell_id,
  value*list_extract({PROFILE}, CAST((h + ((CAST(round_even(degrees(lon)/15, 0) AS INT) % 24) + 24) % 24) % 24 AS INT) + 1)/{sum(PROFILE)!r}*24 AS value
 FROM r JOIN mesh m ON m.cell_id = r.cell_id CROSS JOIN (SELECT unnest(range(24)) AS h)""", ("fires", "mesh"))
 def job_fire_emissions(i):
-    return FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), PLAN, boxes(i))["hourly"].values
+    return FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), _plan(i), boxes(i))["hourly"].values
 
 
 @query("job_fire_emissions_ratio", ["method", "field", "ROUND(factor, 6) AS factor"], f"""
@@ -108,8 +116,7 @@ UNION ALL SELECT 'fixed', 'e_co', 1.25e0 UNION ALL SELECT 'fixed', 'e_bc', 0.8e0
 def job_fire_emissions_ratio(i):
     out = None
     for change in ({"scale_method": "robust_median_ratio", "ratio_clip": (0.5, 6.0)}, {"scale_method": "fixed", "fixed_factors": {"e_co": 1.25, "default": 0.8}}):
-        plan = dataclasses.replace(PLAN, **change)
-        factors = FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), plan, boxes(i))["hourly"].extras["factors"]
+        factors = FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), _plan(i, **change), boxes(i))["hourly"].extras["factors"]
         part = factors.select(F.lit(change["scale_method"]).alias("method"), "field", "factor")
         out = part if out is None else out.unionByName(part)
     return out
@@ -120,7 +127,7 @@ WITH {NEAR.format(FIRES)}, g AS (SELECT source, day, cell_id, avg(area) AS fire_
 u AS (UNPIVOT g ON fire_size_avg, fire_size_std, frp_avg, frp_std INTO NAME field VALUE value)
 SELECT day, field, cell_id, value FROM u WHERE source = CASE WHEN day(day) IN (5, 6, 9, 17, 18, 19) THEN 'fallback' ELSE 'dedicated' END""", ("fires", "mesh"))
 def job_fire_size(i):
-    return FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), PLAN, boxes(i))["daily"].values
+    return FP.fire_emissions(i.sql(FIRES, "fires"), i("mesh"), _plan(i), boxes(i))["daily"].values
 
 
 @query("job_point_vegetation", ["CAST(day AS STRING) AS day", "cell_id", "CAST(category AS INT) AS category", "ROUND(mean_area, 4) AS mean_area"], f"""
@@ -201,12 +208,13 @@ def job_observation_checks(i):
 
 
 @query("job_time_repair", ["series_id", "CAST(target AS STRING) AS target", "ROUND(value, 6) AS value"], """
-WITH t AS (SELECT DISTINCT series_id, unnest(range(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-25 00:00:01', INTERVAL 12 HOUR)) AS target FROM records)
-SELECT t.series_id, t.target, r.value FROM t ASOF JOIN records r ON t.series_id = r.series_id AND r.valid_time <= t.target""", ("records",))
+WITH t AS (SELECT DISTINCT series_id, unnest(range((SELECT min(valid_time) FROM records), (SELECT max(valid_time) FROM records) + INTERVAL 1 SECOND, INTERVAL 12 HOUR)) AS target FROM records)
+SELECT t.series_id, t.target, r.value FROM t ASOF JOIN records r ON t.series_id = r.series_id AND r.valid_time <= t.target
+WHERE t.target <= (SELECT max(x.valid_time) FROM records x WHERE x.series_id = t.series_id)""", ("records",))
 def job_time_repair(i):
     r = i("records")
     return MP.repair_times(r.select("series_id", "record_id", F.lit(0).alias("cell_id"), "value"), r.drop("value"),
-                           "2024-01-05 00:00:00", "2024-01-25 00:00:00", 43200, ["cell_id"], "hold").values
+                           *i.span("SELECT valid_time FROM records", "valid_time", "records"), 43200, ["cell_id"], "hold").values
 
 
 @query("job_weight_audit", ["CAST(n_links AS BIGINT) AS n_links", "CAST(missing AS BIGINT) AS missing", "ROUND(implied, 4) AS implied"], """
@@ -224,12 +232,13 @@ DENSE_FIELDS = ["e_bc", "e_co"]
 
 
 @query("dense_product", ["CAST(day AS STRING) AS day", "field", "cell_id", "ROUND(value, 4) AS value"], """
-WITH d AS (SELECT CAST(unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS day), f AS (SELECT unnest(['e_bc', 'e_co']) AS field),
+WITH d AS (SELECT CAST(unnest(range((SELECT CAST(min(day) AS TIMESTAMP) FROM located), (SELECT CAST(max(day) AS TIMESTAMP) FROM located) + INTERVAL 5 DAY, INTERVAL 1 DAY)) AS DATE) AS day), f AS (SELECT unnest(['e_bc', 'e_co']) AS field),
 v AS (SELECT day, 'e_co' AS field, cell_id, sum(co) AS value FROM located WHERE cell_id >= 0 GROUP BY 1, 3)
 SELECT d.day, f.field, m.cell_id, coalesce(v.value, 0) AS value FROM mesh m CROSS JOIN d CROSS JOIN f LEFT JOIN v ON v.day = d.day AND v.field = f.field AND v.cell_id = m.cell_id""", ("mesh", "located"))
 def dense_product(i):
     v = i.sql("SELECT day, 'e_co' AS field, cell_id, sum(co) AS value FROM located WHERE cell_id >= 0 GROUP BY day, cell_id", "located")
-    axes = {"day": F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-02-04").cast("date")), "field": F.array(*[F.lit(f) for f in DENSE_FIELDS])}
+    start, end = i.span("SELECT day FROM located", "day", "located")  # and four days after it without fires
+    axes = {"day": F.sequence(F.lit(start).cast("date"), F.date_add(F.lit(end).cast("date"), 4)), "field": F.array(*[F.lit(f) for f in DENSE_FIELDS])}
     return W.densify(v, i("mesh"), axes)
 
 

@@ -152,6 +152,11 @@ def container_dates(df: DataFrame, day: str = "day", mode: str = "auto", by: str
     return x.withColumn("file_date", F.coalesce("_p", numbered)).drop("_p", "_n", "_top")
 
 
+def undated(df: DataFrame, by: str = "file") -> DataFrame:
+    """Files with records to which :func:`container_dates` could give no date, and how many; must be empty before staging."""
+    return df.filter(F.col("file_date").isNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n_undated"))
+
+
 def _ordinal(year: Column, day: Column) -> Column:
     date = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), day - 1)
     return F.when((day >= 1) & (F.year(date) == year), date)

@@ -1,7 +1,8 @@
-"""Writing mesh products: checks first, then one dynamic overwrite, then provenance."""
+"""Writing mesh products: staged, checked, then renamed into place with their provenance."""
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,23 +38,64 @@ def incomplete_steps(values: DataFrame, fields: list[str], by: list[str]) -> Dat
 
 def write_product(values: DataFrame, path: str, provenance: DataFrame | None = None, violations: DataFrame | None = None,
                   partition_by: tuple[str, ...] = ("product", "field"), value: str = "value") -> None:
-    """Single-precision Parquet partitioned by product and field; refuses when any violation exists.
+    """Single-precision Parquet partitioned by product and field; all or nothing.
 
-    Only the written partitions are replaced, and the committer publishes them at the end of the job, so
-    a failed run leaves the old product in place. Rows are rebalanced by partition first: small ones share
-    a file and a large one is split over tasks.
+    Refuses when any violation exists or when a value is not finite in single precision. Values and provenance are written
+    to a folder beside the product, checked there, and renamed into place; of an older product only the partitions written
+    now are replaced. A run that fails before the renames leaves product and provenance as they were. Rows are
+    rebalanced by partition first: small ones share a file and a large one is split over tasks.
     """
-    if violations is not None:
-        found = violations.limit(20).collect()
-        if found:
-            raise ProductRejected("; ".join(f"{r['rule']}: {r['detail']}" for r in found))
+    if violations is not None and (found := violations.limit(20).collect()):
+        raise ProductRejected("; ".join(f"{r['rule']}: {r['detail']}" for r in found))
+    spark, path = values.sparkSession, path.rstrip("/")
     parts = [c for c in partition_by if c in values.columns]
     out = values.withColumn(value, F.col(value).cast("float"))
     out = out.hint("rebalance", *parts) if parts else out
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*parts).parquet(path)
-    if provenance is not None:
-        provenance.write.mode("overwrite").json(f"{path.rstrip('/')}_provenance")
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    try:
+        out.write.partitionBy(*parts).parquet(f"{staged}/values")
+        bad = finite_violations(spark.read.parquet(f"{staged}/values"), parts, value).limit(20).collect()
+        if bad:
+            raise ProductRejected("; ".join(f"not finite: {r.asDict()}" for r in bad))
+        if provenance is not None:
+            provenance.write.json(f"{staged}/provenance")
+        moves = [(f"{staged}/provenance", f"{path}_provenance")] if provenance is not None else []
+        moves = [(f"{staged}/values{p}", f"{path}{p}") for p in _partitions(spark, f"{staged}/values", len(parts))] + moves
+        for source, target in moves:
+            _replace(spark, source, target)
+    finally:
+        _delete(spark, staged)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders below ``path``, as ``/a=1/b=2``; a product has a handful of products and fields."""
+    found = [""]
+    for _ in range(depth):
+        below = []
+        for f in found:
+            fs, p = _fs(spark, path + f)
+            below += [f"{f}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()]
+        found = below
+    return found
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    fs, t = _fs(spark, target)
+    if fs.exists(t):
+        fs.delete(t, True)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(_fs(spark, source)[1], t):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def inventory_provenance(summary: DataFrame, facts: dict) -> DataFrame:

@@ -14,6 +14,7 @@ from gridspark.operators.chem import species_weights
 from gridspark.plans import fires as FP
 from gridspark.plans import inventories as IP
 from gridspark.sources import fire_text as FT
+from gridspark.sources import products
 
 
 def rules(result):
@@ -92,6 +93,31 @@ def test_error_profile_by_hand(spark):
     assert rows(D.band_error_profile(obs, F.col("b"), F.lit(0), ["s"], [0], percent=True)) == [("s", 0, 0.0075, 2)]
 
 
+def test_records_without_a_date_are_reported(spark):
+    df = spark.createDataFrame([("/d/X_2021.txt", "40"), ("/d/X_2021.txt", "41"), ("/d/Y_202102.txt", "3")], "file string, day string")
+    assert rows(FT.undated(FT.container_dates(df, mode="dom"))) == [("/d/X_2021.txt", 2)]
+    assert rows(FT.undated(FT.container_dates(df, mode="auto"))) == []
+
+
+def test_products_are_all_or_nothing(spark, tmp_path):
+    path = str(tmp_path / "p")
+    make = lambda x, f="a": spark.createDataFrame([("q", f, 0, x), ("q", f, 1, 2.0)], "product string, field string, cell_id int, value double")
+    facts = spark.createDataFrame([(1.0,)], "source_time_offset_hours double")
+    products.write_product(make(1.0), path, facts)
+    products.write_product(make(5.0, "b"), path, facts)
+    assert [r[-1] for r in rows(spark.read.parquet(path).select("field", "cell_id", "value"))] == [1.0, 2.0, 5.0, 2.0]
+    with pytest.raises(products.ProductRejected, match="not finite"):
+        products.write_product(make(1e39), path, facts.selectExpr("9.0 AS source_time_offset_hours"))
+    with pytest.raises(products.ProductRejected, match="rule"):
+        products.write_product(make(3.0), path, facts, violations=spark.createDataFrame([("rule", "x")], "rule string, detail string"))
+    broken = make(3.0).withColumn("value", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        products.write_product(broken, path, facts)
+    assert rows(spark.read.parquet(path).filter("field = 'a' AND cell_id = 0").select("value")) == [(1.0,)]
+    assert products.reuse_decision(spark, path, 1.0) == "reuse" and products.reuse_decision(spark, path, 2.0) == "rebuild"
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["p", "p_provenance"]
+
+
 def test_factor_table(spark):
     df = spark.createDataFrame([("BC_x", "bc", "awb")], "field string, sp string, sec string")
     block = {"default": 2.0, "species": {"Black_Carbon": 3.0, "BC": 5.0}, "sectors": {"awb": 0.0, "ene": 7.0}}
