@@ -190,7 +190,7 @@ def manifest_days(i):
     return V.reference_days(m, m)
 
 
-@query("overlap_pairs", ["cell_id", "iy", "ix", "ROUND(area_fine/1e6, 2) AS area_km2"])
+@query("overlap_pairs", ["cell_id", "iy", "ix", "ROUND(area_fine/1e6, 2) AS area_km2", "decided"])
 def overlap_pairs(i):
     h = 0.02  # half width of a cell in radians
     cells = i("mesh").select("cell_id", "lat", "lon", F.array(*[F.col("lat") + h * s for s in (-1, -1, 1, 1)]).alias("corner_lat"),
@@ -199,7 +199,8 @@ def overlap_pairs(i):
     placed = V.assign_pixel(i("fires"), lat, lon).select("iy", "ix").distinct()
     pixels = placed.join(lat.select(F.col("idx").alias("iy"), F.col("lo").alias("lat_lo"), F.col("hi").alias("lat_hi")), "iy").join(
         lon.select(F.col("idx").alias("ix"), F.col("lo").alias("lon_lo"), F.col("hi").alias("lon_hi")), "ix")
-    return V.overlap_pairs(cells, pixels)[0]
+    pairs, unsure = V.overlap_pairs(cells, pixels)
+    return pairs.withColumn("decided", F.lit(True)).unionByName(unsure.select("cell_id", "iy", "ix", "area_fine").withColumn("decided", F.lit(False)))
 
 
 PARTIAL = "SELECT genveg, fire_id, area, CASE WHEN genveg % 2 = 0 THEN frp END AS frp FROM fires"

@@ -118,55 +118,79 @@ def duplicate_records(fires: DataFrame) -> DataFrame:
     return fires.groupBy("file_date", "lat", "lon", "genveg", "area").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def _gnomonic(lat, lon, lat0, lon0):
-    dl = lon - lon0
-    cosc = np.sin(lat0) * np.sin(lat) + np.cos(lat0) * np.cos(lat) * np.cos(dl)
-    x = np.cos(lat) * np.sin(dl) / cosc
-    y = (np.cos(lat0) * np.sin(lat) - np.sin(lat0) * np.cos(lat) * np.cos(dl)) / cosc
-    return x * OVERLAP_RADIUS_M, y * OVERLAP_RADIUS_M, cosc
-
-
-def _clip_area(subject: np.ndarray, clip: np.ndarray) -> float:
-    """Area of a polygon inside a convex one (both n x 2)."""
-    cx, cy = clip[:, 0], clip[:, 1]
-    if np.sum(cx * np.roll(cy, -1) - np.roll(cx, -1) * cy) < 0:
-        clip = clip[::-1]
-    poly = subject
-    for a, b in zip(clip, np.roll(clip, -1, axis=0)):
-        if len(poly) == 0:
-            return 0.0
-        side = (b[0] - a[0]) * (poly[:, 1] - a[1]) - (b[1] - a[1]) * (poly[:, 0] - a[0])
-        nxt, side_n = np.roll(poly, -1, axis=0), np.roll(side, -1)
-        keep, keep_n = side >= 0, side_n >= 0
-        cross = keep != keep_n
-        denom = np.where(cross, side - side_n, 1.0)
-        cut = poly + (nxt - poly) * (side / denom)[:, None]
-        # every vertex inside is kept, every crossing edge adds its cut, in ring order
-        both = np.stack([poly, cut], axis=1).reshape(-1, 2)
-        poly = both[np.stack([keep, cross], axis=1).reshape(-1)]
-    if len(poly) < 3:
-        return 0.0
-    x, y = poly[:, 0], poly[:, 1]
-    return float(abs(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)) / 2.0)
-
-
-def _pair_area(row, step: float) -> float:
-    lat0, lon0 = row.lat, row.lon
-    n = max(2, int(math.ceil((row.lon_hi - row.lon_lo) / step)) + 1)
-    xs = np.radians(np.linspace(row.lon_lo, row.lon_hi, n))
-    south, north = np.full(n, math.radians(row.lat_lo)), np.full(n, math.radians(row.lat_hi))
-    px, py, pc = _gnomonic(np.concatenate([south, north]), np.concatenate([xs, xs[::-1]]), lat0, lon0)
-    vx, vy, vc = _gnomonic(np.asarray(row.corner_lat), np.asarray(row.corner_lon), lat0, lon0)
-    if min(pc.min(), vc.min()) <= 0:
-        return float("nan")  # beyond the projection hemisphere
-    return _clip_area(np.column_stack([px, py]), np.column_stack([vx, vy]))
+def _on_plane(lat, lon, centre_lat, centre_lon):
+    """Points (pairs x n, radians) on the plane that touches the sphere at each pair's centre; great circles are
+    straight there. Points on the far half of the sphere become NaN."""
+    turn = lon - centre_lon[:, None]
+    up, out = np.sin(centre_lat)[:, None], np.cos(centre_lat)[:, None]
+    depth = up * np.sin(lat) + out * np.cos(lat) * np.cos(turn)
+    scale = OVERLAP_RADIUS_M / np.where(depth > 0, depth, np.nan)
+    return np.stack([np.cos(lat) * np.sin(turn) * scale, (out * np.sin(lat) - up * np.cos(lat) * np.cos(turn)) * scale], axis=2)
+
+
+def _shoelace(ring, size):
+    """Signed areas of padded rings (pairs x places x 2) of ``size`` points each."""
+    at = np.arange(ring.shape[1])[None, :]
+    after = np.take_along_axis(ring, np.where(at + 1 < size[:, None], at + 1, 0)[:, :, None], axis=1)
+    cross = ring[:, :, 0] * after[:, :, 1] - after[:, :, 0] * ring[:, :, 1]
+    return np.where(at < size[:, None], cross, 0.0).sum(axis=1) / 2.0
+
+
+def clipped_areas(rings, cells):
+    """Areas of rings (pairs x n x 2) inside convex cells (pairs x k x 2), all pairs of a batch at once.
+
+    The half plane of one cell edge after the other cuts every ring. A ring is a padded row with its own
+    number of points; a cut keeps the points inside and adds one where an edge crosses, and rows are closed up.
+    Cells with fewer corners repeat one: an edge without length cuts nothing.
+    """
+    size = np.full(len(rings), rings.shape[1])
+    turn = np.sign(_shoelace(cells, np.full(len(cells), cells.shape[1])))
+    for k in range(cells.shape[1]):
+        start, along = cells[:, k], cells[:, (k + 1) % cells.shape[1]] - cells[:, k]
+        at = np.arange(rings.shape[1])[None, :]
+        real = at < size[:, None]
+        follow = np.where(at + 1 < size[:, None], at + 1, 0)
+        height = (along[:, None, 0] * (rings[:, :, 1] - start[:, None, 1]) - along[:, None, 1] * (rings[:, :, 0] - start[:, None, 0])) * turn[:, None]
+        height_after = np.take_along_axis(height, follow, axis=1)
+        inside = real & (height >= 0)
+        crossing = real & ((height >= 0) != (height_after >= 0))
+        part = height / np.where(crossing, height - height_after, 1.0)
+        cut = rings + (np.take_along_axis(rings, follow[:, :, None], axis=1) - rings) * part[:, :, None]
+        points = np.stack([rings, cut], axis=2).reshape(len(rings), -1, 2)
+        used = np.stack([inside, crossing], axis=2).reshape(len(rings), -1)
+        size = used.sum(axis=1)
+        order = np.argsort(~used, axis=1, kind="stable")[:, : max(1, int(size.max(initial=1)))]
+        rings = np.take_along_axis(points, order[:, :, None], axis=1)
+    area = np.abs(_shoelace(rings, size))
+    return np.where(np.isnan(turn), np.nan, area)
+
+
+def _areas(pdf, step):
+    """Overlap of each pair with the pixel's parallels drawn in pieces of at most ``step`` degrees."""
+    corners = pdf.corner_lat.map(len).to_numpy()
+    pad = lambda lists: np.array([np.r_[x, np.repeat(x[-1], corners.max() - len(x))] for x in lists])
+    lat, lon = pdf.lat.to_numpy(), pdf.lon.to_numpy()
+    cells = _on_plane(pad(pdf.corner_lat), pad(pdf.corner_lon), lat, lon)
+    pieces = np.maximum(1, np.ceil((pdf.lon_hi - pdf.lon_lo).to_numpy() / step)).astype(int)
+    area = np.full(len(pdf), np.nan)
+    for n in np.unique(pieces):
+        mine = np.flatnonzero(pieces == n)
+        share = np.arange(n + 1)[None, :] / n
+        box = pdf.iloc[mine]
+        west, east, south, north = (np.radians(box[c].to_numpy())[:, None] for c in ("lon_lo", "lon_hi", "lat_lo", "lat_hi"))
+        eastward = west + (east - west) * share
+        ring = _on_plane(np.hstack([south + 0 * share, north + 0 * share]), np.hstack([eastward, eastward[:, ::-1]]), lat[mine], lon[mine])
+        seen = np.isfinite(ring).all(axis=(1, 2)) & np.isfinite(cells[mine]).all(axis=(1, 2))
+        if seen.any():
+            area[mine[seen]] = clipped_areas(ring[seen], cells[mine[seen]])
+    return area
 
 
 def _overlap_batches(batches):
     for pdf in batches:
-        rows = list(pdf.itertuples(index=False))
-        coarse, fine = (np.array([_pair_area(r, s) for r in rows], dtype=float) for s in DENSIFY_STEPS)
-        yield pd.DataFrame({"cell_id": pdf.cell_id, "iy": pdf.iy, "ix": pdf.ix, "area_coarse": coarse, "area_fine": fine})
+        if len(pdf):
+            coarse, fine = (_areas(pdf, s) for s in DENSIFY_STEPS)
+            yield pd.DataFrame({"cell_id": pdf.cell_id, "iy": pdf.iy, "ix": pdf.ix, "area_coarse": coarse, "area_fine": fine})
 
 
 def overlap_pairs(cells: DataFrame, pixels: DataFrame, min_area: float = 1.0, tile_deg: float | None = None) -> tuple[DataFrame, DataFrame]:

@@ -141,7 +141,7 @@ def test_overlap_finds_every_pair(spark):
         near = pdp[(pdp.lat_hi > math.degrees(c.lat) - 1.2) & (pdp.lat_lo < math.degrees(c.lat) + 1.2)]
         for q in near.itertuples():
             row = pd.Series(dict(lat=c.lat, lon=c.lon, corner_lat=c.corner_lat, corner_lon=c.corner_lon, lat_lo=q.lat_lo, lat_hi=q.lat_hi, lon_lo=q.lon_lo, lon_hi=q.lon_hi))
-            if V._pair_area(row, 0.01) > 1.0:
+            if V._areas(pd.DataFrame([row]), 0.01)[0] > 1.0:
                 want.add((c.cell_id, q.iy, q.ix))
     for tile in (None, 3.0):
         hits, unsure = V.overlap_pairs(cells, grid, tile_deg=tile)
