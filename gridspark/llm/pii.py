@@ -86,12 +86,12 @@ def _name_words(mention: Column) -> Column:
     return F.split(F.regexp_replace(mention, rf"^(?:{_TITLE}) ", ""), " ")
 
 
-def entities_of(mention: Column) -> Column:
-    """Entities of a mention: array of (kind, value). All but the last word of a name are given names."""
+def entities_of(found: Column) -> Column:
+    """Entities of a mention (text, kind): array of (kind, value). All but the last word of a name are given names."""
+    mention, kind = found["text"], found["kind"]
     words = _name_words(mention)
     names = F.transform(words, lambda w, i: F.struct(
         F.when(i < F.size(words) - 1, F.concat(_text("given:"), _gender(mention), _text(":"), _script(w))).otherwise(F.concat(_text("family:"), _script(w))).alias("kind"), w.alias("value")))
-    kind = kind_of(mention)
     value = F.when(kind == "email", F.lower(mention)).when(kind == "phone", F.right(_digits(mention), F.lit(10))).when(kind.isin("card", "ssn"), _digits(mention)) \
         .when(kind == "secret", F.regexp_replace(mention, f"^{_SECRET}", "")).otherwise(mention)
     return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
@@ -170,12 +170,13 @@ def _laid_out(mention: Column, digits: Column) -> Column:
     return F.array_join(F.transform(chars, one), "")
 
 
-def rewritten(mention: Column, attempts: Column, key: str) -> Column:
+def rewritten(mentioned: Column, attempts: Column, key: str) -> Column:
     """The mention with its entities' surrogates; ``attempts`` is a map from "kind|value" to attempts above zero, or null."""
-    found = entities_of(mention)
+    mention, kind = mentioned["text"], mentioned["kind"]
+    found = entities_of(mentioned)
     tried = lambda e: F.coalesce(F.try_element_at(attempts, F.concat(e["kind"], _text("|"), e["value"])), F.lit(0))
     values = F.transform(found, lambda e: surrogate(e["kind"], e["value"], tried(e), key))
-    kind, first = kind_of(mention), F.element_at(values, 1)
+    first = F.element_at(values, 1)
     return F.when(kind == "name", F.concat(F.regexp_extract(mention, rf"^((?:{_TITLE}) )", 1), F.array_join(values, " "))) \
         .when(kind.isin("phone", "card", "ssn"), _laid_out(mention, first)) \
         .when(kind == "secret", F.concat(F.regexp_extract(mention, f"^({_SECRET})", 1), first)).otherwise(first)
@@ -191,8 +192,9 @@ def may_hold(text: Column) -> Column:
 
 
 def mentions_in(text: Column) -> Column:
-    """All mentions of a text in order; empty for null."""
-    return F.when(may_hold(text), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
+    """All mentions (text, kind) of a text in order; empty for null."""
+    found = F.when(may_hold(text), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
+    return F.transform(found, lambda m: F.struct(m.alias("text"), kind_of(m).alias("kind")))
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -229,12 +231,13 @@ def replace_pii(docs: DataFrame, secret_key: str, key: str = "doc_id", text: str
     if not later.isEmpty():
         entry = F.struct(F.concat("kind", F.lit("|"), "value"), "attempt")
         theirs = entities.join(later, ["kind", "value"]).groupBy(F.col("id").alias("__id")).agg(F.map_from_entries(F.collect_set(entry)).alias("__attempts"))
+        theirs = settle(theirs)  # written, so its size is known before texts would be shuffled to meet it
         rows = docs.join(theirs, docs[key].eqNullSafe(theirs["__id"]), "left")
         attempts = F.col("__attempts")
     marked = rows.withColumn("__m", mentions_in(F.col(text))).withColumn("__p", F.when(F.size("__m") > 0, F.split(F.col(text), ANY, -1)))
     new = F.transform("__m", lambda m: rewritten(m, attempts, secret_key))
     joined = F.array_join(F.flatten(F.zip_with("__p", new, lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
-    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("__m", kind_of))), ",")
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("__m", lambda m: m["kind"]))), ",")
     out = {text: F.when(F.size("__m") > 0, joined).otherwise(F.col(text))}
     plain = [c for c in docs.columns if c not in ("n_entities", "kinds")]
     return marked.select(*[out.get(c, F.col(c)).alias(c) for c in plain], F.size("__m").cast("long").alias("n_entities"), kinds.alias("kinds"))
