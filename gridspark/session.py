@@ -1,6 +1,8 @@
 """Session defaults and the shared working folder."""
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,7 +31,7 @@ def get_session(app: str = "gridspark", **conf: str) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master without that setting gets a temporary folder; a cluster
+    Only a local master without that setting gets a temporary folder, removed when the process ends; a cluster
     without it is an error, since a machine-local path would be lost with its host.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
@@ -40,6 +42,7 @@ def work_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="gridspark-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
