@@ -163,7 +163,7 @@ def job_point_vegetation_violations(i):
 
 @query("job_fire_support", ["CAST(day AS STRING) AS day", "cell_id", "ROUND(value, 3) AS value"])
 def job_fire_support(i):
-    h = 0.03
+    h = 0.3 / i.table("supplier").count() ** 0.5  # cells shrink as they multiply
     cells = i("mesh").select("cell_id", "lat", "lon", F.array(*[F.col("lat") + h * s for s in (-1, -1, 1, 1)]).alias("corner_lat"),
                              F.array(*[F.col("lon") + h * s for s in (-1, 1, 1, -1)]).alias("corner_lon"))
     lat, lon = i.sql(LAT_AXIS), i.sql(LON_AXIS)
@@ -242,6 +242,21 @@ def dense_product(i):
     return W.densify(v, i("mesh"), axes)
 
 
+@query("product_written", ["product", "field", "CAST(cell_id AS BIGINT) AS cell_id", "CAST(value AS DOUBLE) AS value", "decision"], """
+SELECT 'p' AS product, 'total' AS field, s_suppkey AS cell_id, CAST(CAST(s_acctbal + 1 AS FLOAT) AS DOUBLE) AS value, 'reuse rebuild' AS decision FROM supplier
+UNION ALL SELECT 'p', 'part', s_suppkey, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE), 'reuse rebuild' FROM supplier""")
+def product_written(i):
+    """Two fields are written, one of them again with other values; then the product is read and its reuse decided."""
+    from gridspark.sources import products as PR
+    path = f"{work_dir(i.spark)}/gridspark/product/{uuid.uuid4().hex}"
+    old = i.sql("SELECT 'p' AS product, f AS field, s_suppkey AS cell_id, s_acctbal AS value FROM supplier CROSS JOIN (SELECT 'total' AS f UNION ALL SELECT 'part') x")
+    facts = i.sql("SELECT DISTINCT 6E0 AS source_time_offset_hours FROM supplier")
+    PR.write_product(old, path, facts, PR.violation_table({"nonfinite": PR.finite_violations(old, ["field"])}))
+    PR.write_product(old.filter("field = 'total'").withColumn("value", F.col("value") + 1), path, facts)
+    decisions = " ".join(PR.reuse_decision(i.spark, path, offset) for offset in (6.0, -24.0))
+    return i.spark.read.parquet(path).withColumn("decision", F.lit(decisions))
+
+
 def _stream(i, make):
     """Drive the events table through a stream once and read what it emitted; the cycles still open at its end
     are computed from the rows after the last emitted one."""

@@ -153,8 +153,9 @@ def eligible_cells(i):
 
 
 # overlap geometry replaced by an arithmetic match, so that the assignment itself has a SQL form
-MATCHES = " UNION ALL ".join(f"SELECT cell_id, CAST(cell_id % 10 AS INT) AS iy, {k} AS ix FROM mesh" for k in range(5))
-RECORDS = "SELECT day, fire_id AS record_id, CAST(fire_id % 10 AS INT) AS iy, CAST(fire_id % 7 AS INT) AS ix, genveg, area FROM fires"
+# pixels multiply with the cells: a cell meets five pixels of its own and a fire one cell
+MATCHES = " UNION ALL ".join(f"SELECT cell_id, CAST(cell_id AS INT) AS iy, {k} AS ix FROM mesh" for k in range(5))
+RECORDS = "SELECT day, fire_id AS record_id, CAST(fire_id % (SELECT count(*) FROM supplier) AS INT) AS iy, CAST(fire_id % 7 AS INT) AS ix, genveg, area FROM fires"
 VEG = "SELECT day, cell_id, 0 AS category, 0E0 AS share, 0E0 AS known_frac, CAST(0 AS BIGINT) AS n_records FROM ({})".format(FIRE_SIZE) + " v"
 SUPPORT = f"""h AS (SELECT DISTINCT r.day, e.cell_id, r.record_id, r.genveg, r.area FROM ({RECORDS}) r JOIN ({MATCHES}) m ON m.iy = r.iy AND m.ix = r.ix
  JOIN (SELECT day, cell_id FROM ({FIRE_SIZE}) WHERE value = 0) e ON e.cell_id = m.cell_id AND e.day = r.day),
@@ -192,7 +193,7 @@ def manifest_days(i):
 
 @query("overlap_pairs", ["cell_id", "iy", "ix", "ROUND(area_fine/1e6, 2) AS area_km2", "decided"])
 def overlap_pairs(i):
-    h = 0.02  # half width of a cell in radians
+    h = 0.2 / i.table("supplier").count() ** 0.5  # half width of a cell in radians; cells shrink as they multiply
     cells = i("mesh").select("cell_id", "lat", "lon", F.array(*[F.col("lat") + h * s for s in (-1, -1, 1, 1)]).alias("corner_lat"),
                              F.array(*[F.col("lon") + h * s for s in (-1, 1, 1, -1)]).alias("corner_lon"))
     lat, lon = i.sql(LAT_AXIS), i.sql(LON_AXIS)

@@ -37,6 +37,19 @@ def fire_text_parse(i):
     return _records(i)
 
 
+# a file per customer: quoted names, names that begin like records, records that begin with letters
+LAYOUT_LINES = """SELECT concat('f', CAST(c_custkey AS STRING)) AS file, k AS pos, CASE k WHEN 0 THEN '# note' WHEN 1 THEN
+ CASE c_custkey % 4 WHEN 0 THEN '"DAY","LATI","AREA"' WHEN 1 THEN 'CO,LATI,AREA' WHEN 2 THEN 'CO LATI AREA' ELSE 'CO, LATI, AREA' END
+ WHEN 2 THEN CASE c_custkey % 4 WHEN 0 THEN concat(CAST(c_custkey AS STRING), ',2.0,3.0') WHEN 1 THEN 'nan 2.0 3.0' WHEN 2 THEN 'x 2.0 3.0' ELSE 'nan,2.0,3.0,' END
+ ELSE '7,8,9' END AS line FROM customer CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) x"""
+
+
+@query("fire_text_layouts", ["file", "comma", "names"], """
+SELECT 'f' || c_custkey AS file, c_custkey % 4 IN (0, 3) AS comma, CASE WHEN c_custkey % 4 = 0 THEN 'day lati area' ELSE 'co lati area' END AS names FROM customer""")
+def fire_text_layouts(i):
+    return FT.file_layouts(FT.content_lines(i.sql(LAYOUT_LINES))).withColumn("names", F.array_join("names", " "))
+
+
 @query("fire_text_guard", ["file", "field", "rule"], """
 SELECT '/data/GLOB_X_2024' || lpad(CAST(dayofyear(ts) AS VARCHAR), 3, '0') || '.txt' AS file, 'co' AS field, 'too_many_unparsed' AS rule FROM events
 WHERE day(ts) % 2 = 1 GROUP BY 1 HAVING count(*) FILTER (event_id % 11 = 1) > 0.02*count(*)""")

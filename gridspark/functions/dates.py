@@ -30,6 +30,7 @@ def parse_time(text: Column) -> Column:
 
 def date_from_name(name: Column) -> Column:
     """Date held in a file name: ``20YYMMDD`` first, else ``20YYDDD`` (day of year)."""
+    # fixed values: stamps of file names
     base = F.regexp_extract(F.split_part(name, F.lit("?"), F.lit(1)), r"([^/]*)$", 1)
     ymd = F.regexp_extract(base, r"(20\d{2}\d{2}\d{2})", 1)
     yd = r"(20\d{2})(\d{3})(?:\D|$)"

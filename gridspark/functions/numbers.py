@@ -23,6 +23,7 @@ def _plain_double(text: Column) -> Column:
 def parse_double(text: Column) -> Column:
     """Number from text; only text that fails a plain cast is retried with D exponents."""
     t = F.trim(text)
+    # fixed value: a D that stands for the exponent
     retried = F.regexp_replace(t, r"(?<=[0-9.])[Dd](?=[-+]?\d)", "E")
     return F.coalesce(_plain_double(t), _plain_double(retried))
 

@@ -90,6 +90,7 @@ def increment_rms(a: DataFrame, b: DataFrame, keys: list[str], by: list[str], va
 
 def cost_summary(lines: DataFrame, by: str = "cycle") -> DataFrame:
     """Minutes, memory, first and last cost and their ratio from log lines (by, line_no, line)."""
+    # fixed values: patterns of the log lines
     end = r"Run end.*Runtime:\s+([\d.]+) sec.*total:\s+([\d.]+) G"
     cost = r"Nonlinear J\s*=\s*([\d.eE+-]+)"
     parsed = lines.select(

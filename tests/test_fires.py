@@ -16,34 +16,47 @@ from gridspark.sources import products as PR
 COLS = {"day": FT.DAY_NAMES, "lat": FT.LAT_NAMES, "lon": FT.LON_NAMES, "area": FT.AREA_NAMES, "genveg": ["GENVEG"]}
 
 
-def test_fortran_tokens(spark):
-    df = spark.createDataFrame([(t,) for t in ["0.7500000000D+06", "1.559E+07", "-0.4283892059D+01", "", "nan"]], "t string")
+def fortran(x: float) -> str:
+    """``x`` as Fortran writes it: 0.ddddddD+ee."""
+    digits, power = f"{abs(x):.5E}".split("E")
+    return f"{'-' if x < 0 else ''}0.{digits.replace('.', '')}D{int(power) + 1:+03d}"
+
+
+@pytest.mark.parametrize("x", [31.25, -0.0078125, 6.4e9, -1.0, 123456.0])
+def test_fortran_tokens(spark, x):
+    df = spark.createDataFrame([(fortran(x),), (f"{x:E}",), (" " + fortran(x).lower(),)], "t string")
     out = df.select(parse_double(F.col("t")).alias("v"), is_unparsed(F.col("t")).alias("bad")).collect()
-    assert [r["v"] for r in out] == [750000.0, 15590000.0, -4.283892059, None, None]
-    assert not any(r["bad"] for r in out)
+    assert [r["v"] for r in out] == [pytest.approx(x)] * 3 and not any(r["bad"] for r in out)
+
+
+def test_null_tokens(spark):
+    out = spark.createDataFrame([("",), ("nan",), ("  ",)], "t string").select(parse_double(F.col("t")).alias("v"), is_unparsed(F.col("t")).alias("bad")).collect()
+    assert [tuple(r) for r in out] == [(None, False)] * 3
 
 
-@pytest.mark.parametrize("name,day", [("GLOB_MOZ4_2024257.txt", "2024-09-13"), ("GLOB_MOZ4_2024001.txt.gz", "2024-01-01"), ("GLOB_MOZ4_2024366.txt", "2024-12-31"),
-                                      ("GLOB_MOZ4_20241025.txt", "2024-10-25"), ("GLOB_2023366.txt", None), ("none.txt", None)])
-def test_name_dates(spark, name, day):
-    got = spark.createDataFrame([(name,)], "n string").select(date_from_name(F.col("n"))).first()[0]
-    assert str(got) == str(day)
+@pytest.mark.parametrize("day", [dt.date(2016, 1, 1), dt.date(2016, 2, 29), dt.date(2016, 12, 31), dt.date(2019, 7, 4)])
+def test_name_dates(spark, day):
+    names = [f"burns_{day:%Y%j}.txt", f"/x/burns_{day:%Y%j}.txt.gz", f"burns_{day:%Y%m%d}_v2.txt", f"burns_{day.year + 1 if day.year % 4 else day.year + 1}366.txt", "burns.txt"]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(date_from_name(F.col("n"))).collect()]
+    assert got[:3] == [day] * 3 and got[4] is None
+    assert got[3] == (dt.date(day.year + 1, 12, 31) if (day.year + 1) % 4 == 0 else None)
 
 
 def test_read_both_dialects(spark, tmp_path):
-    a = tmp_path / "GLOB_A_2024257.txt"
-    a.write_text("# note\n\nDAY,TIME,GENVEG,LATI,LONGI,AREA,CO2,CO,OC,BC\n"
-                 "257,0.0,5,-0.5640639782D+01,-0.4283892059D+02,0.7500000000D+06,0.1D+03,0.2D+01,0.3D+00,0.4D-01,\n"
-                 "257,0.0,2,0.1D+02,0.2D+02,x,0.1D+03,0.2D+01,0.3D+00,0.4D-01,\n")
-    b = tmp_path / "F_20240914.txt.gz"
+    day, later = dt.date(2016, 3, 1), dt.date(2016, 3, 2)
+    records = [(12.5, -3.25, 4, 640.0, 8.0), (-33.0, 151.5, 1, None, 16.0)]
+    a = tmp_path / f"burns_{day:%Y%j}.txt"
+    lines = [",".join([f"{day:%j}", str(veg), fortran(lat), fortran(lon), "?" if area is None else fortran(area), fortran(co)]) + "," for lat, lon, veg, area, co in records]
+    a.write_text("\n".join(["# made for this test", "", "DAY,GENVEG,LATI,LONGI,AREA,CO", *lines]) + "\n")
+    b = tmp_path / f"burns_{later:%Y%m%d}.txt.gz"
     with gzip.open(b, "wt") as f:
-        f.write("LAT, LON,GENVEG,DAY,FIRE_AREA\n1.5 2.5 3 258 1E6\n")
+        f.write("LAT, LON,GENVEG,DAY,FIRE_AREA\n7.75 8.5 3 62 2E3\n")
     out = FT.read_fire_text(spark, [str(a), str(b)], {**COLS, "co": ["CO"]})
-    got = {(str(r["file_date"]), r["lat"]): r for r in out.collect()}
-    assert got["2024-09-13", -5.640639782]["lon"] == -42.83892059 and got["2024-09-13", -5.640639782]["area"] == 750000.0
-    assert got["2024-09-13", 10.0]["bad_area"] and got["2024-09-13", -5.640639782]["co"] == 2.0
-    assert got["2024-09-14", 1.5]["area"] == 1e6 and got["2024-09-14", 1.5]["co"] is None
-    assert len(got) == 3
+    got = {(r["file_date"], r["lat"]): r for r in out.collect()}
+    for lat, lon, veg, area, co in records:
+        r = got[day, pytest.approx(lat)] if (day, lat) not in got else got[day, lat]
+        assert (r["lon"], r["genveg"], r["co"]) == (lon, veg, co) and r["area"] == area and r["bad_area"] == (area is None)
+    assert got[later, 7.75]["area"] == 2000.0 and got[later, 7.75]["co"] is None and len(got) == 3
 
 
 @pytest.mark.parametrize("values,rule", [([None] * 1000, "no_usable_value"), ([None] * 50 + [1.0] * 950, "too_many_unparsed"), ([None] * 10 + [1.0] * 990, None)])
@@ -53,8 +66,8 @@ def test_parse_guard(spark, values, rule):
     assert got == ([rule] if rule else [])
 
 
-@pytest.mark.parametrize("file,days,first,last", [("F_MOZART_2021_c20220714.txt", range(1, 32), "2021-01-01", "2021-01-31"), ("F_202202_c20230101.txt", range(32, 60), "2022-02-01", "2022-02-28"),
-                                                  ("F_202203.txt", range(1, 32), "2022-03-01", "2022-03-31")])
+@pytest.mark.parametrize("file,days,first,last", [("burns_2018_c20190305.txt", range(1, 32), "2018-01-01", "2018-01-31"), ("burns_201904_c20200101.txt", range(91, 121), "2019-04-01", "2019-04-30"),
+                                                  ("burns_201905.txt", range(1, 32), "2019-05-01", "2019-05-31")])
 def test_container_dates(spark, file, days, first, last):
     df = spark.createDataFrame([(file, str(d)) for d in days], "file string, day string")
     got = FT.container_dates(df).agg(F.min("file_date"), F.max("file_date")).first()
