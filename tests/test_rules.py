@@ -1,6 +1,7 @@
 """Rules that the jobs must enforce on bad input."""
 import math
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from gridspark.operators import days as DY
 from gridspark.operators import departures as D
 from gridspark.operators import ensemble as E
+from gridspark.operators import quantiles
 from gridspark.operators import scaling as S
 from gridspark.operators import weights as W
 from gridspark.operators.chem import species_weights
@@ -118,6 +120,19 @@ def test_products_are_all_or_nothing(spark, tmp_path):
     assert sorted(x.name for x in tmp_path.iterdir()) == ["p", "p_provenance"]
 
 
+@pytest.mark.parametrize("at_once", [3, 50, 10**6])
+def test_quantiles_in_steps(spark, monkeypatch, at_once):
+    monkeypatch.setattr(quantiles, "AT_ONCE", at_once)
+    x = np.random.default_rng(2).normal(size=300).round(2).tolist() + [0.25] * 60 + [1e6, -1e6]
+    probs = [0.0, 0.1, 0.37, 0.5, 0.99, 1.0]
+    df = spark.createDataFrame([(v,) for v in x] + [(None,)], "v double").repartition(3)
+    got = dict(rows(quantiles.exact_quantiles(df, "v", probs, bins=16)))
+    assert got == {p: pytest.approx(np.quantile(x, p)) for p in probs}
+    odd = spark.createDataFrame([(math.inf,), (-math.inf,), (1.0,), (math.nan,), (2.0,)], "v double")
+    assert dict(rows(quantiles.exact_quantiles(odd, "v", [0.0, 0.25, 0.5, 0.75], bins=4))) == {0.0: -math.inf, 0.25: 1.0, 0.5: 2.0, 0.75: math.inf}
+    assert quantiles.exact_quantiles(df.where("v > 1e7"), "v", probs).count() == 0
+
+
 def test_factor_table(spark):
     df = spark.createDataFrame([("BC_x", "bc", "awb")], "field string, sp string, sec string")
     block = {"default": 2.0, "species": {"Black_Carbon": 3.0, "BC": 5.0}, "sectors": {"awb": 0.0, "ene": 7.0}}
