@@ -56,3 +56,9 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{work_dir(spark)}/gridspark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove the tables that this application settled; for the owner of a run, when its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/gridspark/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from gridspark import session
 from gridspark.operators import days as DY
 from gridspark.operators import departures as D
 from gridspark.operators import ensemble as E
@@ -133,6 +134,13 @@ def test_quantiles_in_steps(spark, monkeypatch, at_once):
     assert quantiles.exact_quantiles(df.where("v > 1e7"), "v", probs).count() == 0
 
 
+def test_settled_tables_can_be_discarded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "work_dir", lambda spark: str(tmp_path))
+    assert session.settle(spark.range(5)).count() == 5 and any(tmp_path.rglob("*.parquet"))
+    session.discard(spark)
+    assert not any(tmp_path.rglob("*.parquet"))
+
+
 def test_factor_table(spark):
     df = spark.createDataFrame([("BC_x", "bc", "awb")], "field string, sp string, sec string")
     block = {"default": 2.0, "species": {"Black_Carbon": 3.0, "BC": 5.0}, "sectors": {"awb": 0.0, "ene": 7.0}}
