@@ -60,8 +60,9 @@ def _split(boxes: DataFrame, level: int) -> DataFrame:
 def cell_index(mesh: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """Box table (level, bx, by, bz, cands) of a mesh(cell_id, lat, lon in radians).
 
-    Boxes are split until each has at most ``max_candidates`` candidates, so the array gathered
-    per box is bounded; centres that coincide are represented by the lowest id. Each round is one
+    Boxes are split until each has at most ``max_candidates`` candidates. Where many cells are equally near
+    to one point (the ring around a pole), the box with that point keeps them all at the deepest level, a few metres
+    wide: as many as tie there. Centres that coincide are represented by the lowest id. Each round is one
     distributed pass over mesh-sized data, written before the next; a mesh of n cells needs about
     log16(n / max_candidates) rounds. Write the result beside the mesh and reuse it.
     """

@@ -5,9 +5,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.skew import lookup_join
+from gridspark.session import settle
 
 BUCKET_SECONDS = 86400
 _METHODS = ("linear", "nearest", "hold")
+STEPS_AT_ONCE = 1024
 
 
 def schedule(start, end, step_seconds: int) -> Column:
@@ -156,7 +158,10 @@ def interpolate(values: DataFrame, brackets: DataFrame, keys: list[str], value:
     """
     b = brackets.filter(F.col("before_id").isNotNull())
     pair = [series, "before_id", "after_id"]
-    steps = b.groupBy(*pair).agg(F.collect_list(F.struct("target", "alpha")).alias("steps"))
+    # the targets of a pair travel in lists of about STEPS_AT_ONCE, however long the schedule is
+    lists = settle(b.groupBy(*pair).agg(F.ceil(F.count(F.lit(1)) / STEPS_AT_ONCE).cast("int").alias("_k")))
+    steps = b.join(lists, pair).groupBy(*pair, F.pmod(F.xxhash64("target"), F.col("_k")).alias("_part")).agg(
+        F.collect_list(F.struct("target", "alpha")).alias("steps")).drop("_part")
     ends = F.when(F.col("before_id") == F.col("after_id"), F.array(F.struct(F.col("before_id").alias("record_id"), F.lit(True).alias("first"))))
     ends = ends.otherwise(F.array(F.struct(F.col("before_id").alias("record_id"), F.lit(True).alias("first")),
                                   F.struct(F.col("after_id").alias("record_id"), F.lit(False).alias("first"))))

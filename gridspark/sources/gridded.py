@@ -4,7 +4,6 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ LAT_NAMES, LON_NAMES = ["latitude", "lat"], ["longitude", "lon"]
 def first_available(spark: SparkSession, patterns: list[str], **tokens) -> list[str]:
     """Paths of the first pattern that matches anything; lists the patterns tried when none does.
 
-    A pattern with an undefined environment variable is skipped. Only file names are listed.
+    A pattern with an undefined environment variable is skipped. Names come from a listing of the store, no file is read.
     """
     tried = []
     for pattern in patterns:
@@ -26,12 +25,10 @@ def first_available(spark: SparkSession, patterns: list[str], **tokens) -> list[
             continue
         path = path.format(**tokens)
         tried.append(path)
-        try:
-            found = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-        except AnalysisException:
-            continue
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
         if found:
-            return sorted(found)
+            return sorted(f.getPath().toString() for f in found)
     raise FileNotFoundError(f"no input found; tried {tried}")
 
 
