@@ -32,6 +32,17 @@ def apply_weights(values: DataFrame, weights: DataFrame, keys: list[str], value:
     return pairs.groupBy(*keys, "dst_id").agg(F.sum(F.col("s") * F.col(value)).alias(value))
 
 
+def apply_weights_packed(values: DataFrame, weights: DataFrame, keys: list[str], fields: dict[str, str]) -> DataFrame:
+    """:func:`apply_weights` of several fields at once: values(keys, src_id, a column per field) to (keys, field, dst_id, value).
+
+    ``fields`` maps the columns to field names. Links meet a source cell once for all fields.
+    """
+    pairs = values.select(*keys, "src_id", *fields).join(settle(weights), "src_id")
+    sums = pairs.groupBy(*keys, "dst_id").agg(*[F.sum(F.col("s") * F.col(c)).alias(c) for c in fields])
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.col(c).alias("value")) for c, name in fields.items()]))
+    return sums.select(*keys, "dst_id", each.alias("f")).select(*keys, "f.field", "dst_id", "f.value")
+
+
 def densify(values: DataFrame, cells: DataFrame, axes: dict[str, Column], value: str = "value",
             cell: str = "cell_id") -> DataFrame:
     """Every cell x every entry of ``axes``, zero where there is no value; for use right before the sink.

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.numbers import missing_policy
@@ -51,8 +51,8 @@ class Result:
     extras: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def source_fields(wide: DataFrame, keys: list[str], specs: list[FieldSpec], blocks: list) -> DataFrame:
-    """Wide source columns to long (keys, field, value): terms, missing policy, units, scaling in one projection."""
+def source_columns(specs: list[FieldSpec], blocks: list) -> list[Column]:
+    """One struct (field, value, factor) per field: terms, missing policy, units and scaling of wide source columns."""
     fields = []
     for s in specs:
         total = None
@@ -66,7 +66,12 @@ def source_fields(wide: DataFrame, keys: list[str], specs: list[FieldSpec], bloc
         for b in blocks:
             factor = factor * scaling.scaling_factor(b, names, F.lit(s.name))
         fields.append(F.struct(F.lit(s.name).alias("field"), (value * factor).alias("value"), factor.alias("factor")))
-    return wide.select(*keys, F.explode(F.array(*fields)).alias("f")).select(*keys, "f.*")
+    return fields
+
+
+def source_fields(wide: DataFrame, keys: list[str], specs: list[FieldSpec], blocks: list) -> DataFrame:
+    """Wide source columns to long (keys, field, value, factor) in one projection."""
+    return wide.select(*keys, F.explode(F.array(*source_columns(specs, blocks))).alias("f")).select(*keys, "f.*")
 
 
 def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src_area: DataFrame | None,
@@ -88,9 +93,12 @@ def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src
     brackets = settle(brackets)
     used = timeaxis.needed_records(brackets, series)
     keys = [series, "record_id"]
-    src = source_fields(lookup_join(wide, used, keys, "left_semi"), [*keys, "src_id"], specs, list(blocks))
-    src = settle(src)  # read by the remapping and by every check
-    on_mesh = settle(weights.apply_weights(src, links, [*keys, "field"]))
+    packed = [f.alias(f"_{i}") for i, f in enumerate(source_columns(specs, list(blocks)))]
+    # read by the remapping and by every check; a link meets a source cell once, not once per field
+    packed = settle(lookup_join(wide, used, keys, "left_semi").select(*keys, "src_id", *packed))
+    src = packed.select(*keys, "src_id", F.explode(F.array(*[f"_{i}" for i in range(len(specs))])).alias("f")).select(*keys, "src_id", "f.*")
+    values = packed.select(*keys, "src_id", *[F.col(f"_{i}")["value"].alias(f"_{i}") for i in range(len(specs))])
+    on_mesh = settle(weights.apply_weights_packed(values, links, keys, {f"_{i}": s.name for i, s in enumerate(specs)}))
     out = timeaxis.interpolate(on_mesh, brackets, ["field", "dst_id"], series=series).withColumnRenamed("dst_id", "cell_id")
     checks = {
         "duplicate_time": timeaxis.duplicate_times(records, series, time.daily_mean),
