@@ -172,6 +172,23 @@ def bias_training_cycles(i):
     return B.train_sequential(B.normal_sums(i("obs"), PRED, [*CH, "cycle"]), PRED, CH, step_seconds=86400)
 
 
+# per observer every cycle has enough rows for both predictors, so the fold has a closed form
+CYCLE_SUMS = SUMS_SQL.replace("channel, ", "cycle, ")
+CYCLE_STEP = """SELECT observer, cycle, k, n_obs, CAST((h1*(i0*b0 + r_0) - h_0_1*(i1*b1 + r_1))/d AS FLOAT) AS c0, CAST((h0*(i1*b1 + r_1) - h_0_1*(i0*b0 + r_0))/d AS FLOAT) AS c1,
+ CAST(h1/d AS FLOAT) AS e0, CAST(h0/d AS FLOAT) AS e1 FROM (SELECT *, h0*h1 - h_0_1*h_0_1 AS d FROM (SELECT *, h_0_0 + i0 AS h0, h_1_1 + i1 AS h1 FROM ({})))"""
+CYCLE_FOLD = f"""WITH RECURSIVE s AS (SELECT *, row_number() OVER (PARTITION BY observer ORDER BY cycle) AS k FROM ({CYCLE_SUMS})),
+f AS ({CYCLE_STEP.format("SELECT *, 0e0 AS b0, 0e0 AS b1, 1e-20 AS i0, 1e-20 AS i1 FROM s WHERE k = 1")}
+UNION ALL {CYCLE_STEP.format("""SELECT s.*, CASE WHEN n THEN CAST(c0 AS DOUBLE) ELSE 0 END AS b0, CASE WHEN n THEN CAST(c1 AS DOUBLE) ELSE 0 END AS b1,
+ CASE WHEN n THEN 1/(1.1e0*CAST(e0 AS DOUBLE)) ELSE 1e-20 END AS i0, CASE WHEN n THEN 1/(1.1e0*CAST(e1 AS DOUBLE)) ELSE 1e-20 END AS i1
+ FROM (SELECT s.*, f.c0, f.c1, f.e0, f.e1, epoch(s.cycle) - epoch(f.cycle) = 86400 AS n FROM f JOIN s ON s.observer = f.observer AND s.k = f.k + 1) s""")})
+SELECT cycle, observer, 'p0' AS predictor, CAST(c0 AS DOUBLE) AS beta, n_obs FROM f UNION ALL SELECT cycle, observer, 'p1', CAST(c1 AS DOUBLE), n_obs FROM f"""
+
+
+@query("bias_training_observers", ["CAST(cycle AS STRING) AS cycle", "observer", "predictor", "ROUND(beta, 5) AS beta", "CAST(n_obs AS BIGINT) AS n_obs"], CYCLE_FOLD, ("obs",))
+def bias_training_observers(i):
+    return B.train_sequential(B.normal_sums(i("obs"), PRED, ["observer", "cycle"]), PRED, ["observer"], step_seconds=86400)
+
+
 OLD = "SELECT concat('inst', CAST(n_nationkey % 3 AS STRING)) AS observer, CAST(n_nationkey % 15 AS INT) AS channel, max(0.05E0*n_nationkey) AS mean FROM nation GROUP BY 1, 2"
 
 
