@@ -18,17 +18,25 @@ def components(edges: DataFrame) -> DataFrame:
     """
     u, v = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     now = settle(edges.where("a is not null and b is not null and a <> b").select(u, v).distinct())
-    seen = None
+    now, seen = _small_star(now), None  # first, as it leaves fewest edges
     while (mark := now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()) != seen:
         seen = mark
         if not mark[0]:
             break
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = settle(both.groupBy("u").agg(F.min("v").alias("m")))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = settle(large.distinct())
-        low = settle(large.groupBy("u").agg(F.min("v").alias("m")))
-        moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = settle(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
+        now = _small_star(_large_star(now))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return roots.unionAll(now.select(F.col("u").alias("node"), F.col("v").alias("component")))
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Ties every larger neighbour of a node to the smallest of its neighbours and itself."""
+    both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = settle(both.groupBy("u").agg(F.min("v").alias("m")))
+    return settle(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Ties a node and its smaller neighbours to the smallest of them; edges (u, v) have v below u."""
+    low = settle(edges.groupBy("u").agg(F.min("v").alias("m")))
+    moved = edges.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return settle(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
