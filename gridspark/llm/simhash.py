@@ -23,18 +23,23 @@ from gridspark.session import settle
 CROWD = 4096
 
 
-def _fingerprint(text: bytes, words: int) -> int:
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 values (seed 42) of the word shingles, repeats included; of an empty one for a text without words."""
     from xxhash import xxh64_intdigest
 
     tokens = text.lower().split()  # bytes: only A-Z change, only ASCII white space splits
-    if not tokens:
-        return 0
     line = b" ".join(tokens)
+    if len(tokens) <= words:
+        return np.array([xxh64_intdigest(line, 42)], "<u8")
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
     ends = np.cumsum(sizes + 1) - 1
-    last = ends[min(words, len(tokens)) - 1:].tolist()
+    last = ends[words - 1:].tolist()
     first = (ends - sizes)[: len(last)].tolist()
-    hashes = np.array([xxh64_intdigest(line[a:b], 42) for a, b in zip(first, last, strict=True)], "<u8")
+    return np.array([xxh64_intdigest(line[a:b], 42) for a, b in zip(first, last, strict=True)], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     slots = hashes.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(0, 2048, 256)
     counts = np.bincount(slots.ravel(), minlength=2048).reshape(8, 256)
     bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
@@ -42,6 +47,10 @@ def _fingerprint(text: bytes, words: int) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > len(hashes)).tolist())
 
 
+def _fingerprint(text: bytes, words: int) -> int:
+    return majority(shingle_hashes(text, words)) if text.strip() else 0
+
+
 def fingerprints(docs: DataFrame, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, fp): the 64-bit fingerprint of each whole text as a signed long.
 
