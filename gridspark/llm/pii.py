@@ -1,9 +1,9 @@
 """Surrogates for personal data, in DataFrame functions only.
 
-Detected mentions become entities (kind, value): numbers without their layout, addresses in lower case, names word by word with
+Detected mentions become entities (kind, value): numbers without their layout, e-mails in lower case as host and mailbox, names word by word with
 the gender of their title and their script. An entity's surrogate follows from a keyed digest of kind, value and attempt and
 keeps kind and format. A check over the distinct entities of the whole corpus moves entities whose surrogate
-is that of another, or is itself a value of the corpus, to the next attempt until all differ. Texts are rewritten
+is that of another, or is itself a value of the corpus, to the next attempt until all differ; after a few, surrogates grow longer. Texts are rewritten
 in place with attempt zero; only entities with a later attempt, if there are any, are joined to their documents. The same entity
 thus has one surrogate everywhere, and different entities have different ones.
 """
@@ -49,7 +49,9 @@ PATTERNS = {
     "name": rf"(?<![\p{{L}}])(?:{_TITLE}) {_NAME}(?: {_NAME}){{0,2}}",
 }
 ANY = r"(?<!\w)(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
-#: surrogates that still collide after so many attempts are an error
+#: attempts in the format of the value; later ones also grow, so that every set of entities has an assignment
+SAME_FORMAT = 4
+#: after so many attempts, one that settles no entity is an error (numbers of fixed length, of which nearly all are taken)
 ATTEMPTS = 40
 
 
@@ -87,14 +89,17 @@ def _name_words(mention: Column) -> Column:
 
 
 def entities_of(found: Column) -> Column:
-    """Entities of a mention (text, kind): array of (kind, value). All but the last word of a name are given names."""
+    """Entities of a mention (text, kind): array of (kind, value). All but the last word of a name are given names; an e-mail
+    is its host and a mailbox of that host."""
     mention, kind = found["text"], found["kind"]
     words = _name_words(mention)
     names = F.transform(words, lambda w, i: F.struct(
         F.when(i < F.size(words) - 1, F.concat(_text("given:"), _gender(mention), _text(":"), _script(w))).otherwise(F.concat(_text("family:"), _script(w))).alias("kind"), w.alias("value")))
     value = F.when(kind == "email", F.lower(mention)).when(kind == "phone", F.right(_digits(mention), F.lit(10))).when(kind.isin("card", "ssn"), _digits(mention)) \
         .when(kind == "secret", F.regexp_replace(mention, f"^{_SECRET}", "")).otherwise(mention)
-    return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
+    host = F.regexp_extract(value, "@(.*)$", 1)
+    parts = F.array(F.struct(F.concat(_text("mailbox:"), host).alias("kind"), F.regexp_extract(value, "^(.*)@", 1).alias("value")), F.struct(_text("host").alias("kind"), host.alias("value")))
+    return F.when(kind == "name", names).when(kind == "email", parts).otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
 
 
 def _number(digest: Column, i: Column) -> Column:
@@ -106,10 +111,11 @@ def _pick(options: list[str], n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), (F.pmod(n, F.lit(len(options))) + 1).cast("int"))
 
 
-def _shaped(value: Column, digest: Column) -> Column:
-    """Every digit, lower-case and upper-case letter replaced by one of its class, other characters kept; a value
-    of hex digits stays one."""
-    lower, upper, span = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 6).otherwise(26)
+def _shaped(value: Column, digest: Column, hexes: bool = True) -> Column:
+    """Every digit, lower-case and upper-case letter replaced by one of its class, other characters kept; with ``hexes``
+    a value of hex digits stays one."""
+    lower, upper = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    span = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 6).otherwise(26) if hexes else F.lit(26)
 
     def one(c: Column, i: Column) -> Column:
         n = _number(digest, i)
@@ -143,19 +149,21 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     digest_of = lambda what: F.sha2(F.concat_ws("\u0001", F.lit(key), kind, what, attempt.cast("string")), 512)
     digest = digest_of(value)
     shaped = _shaped(value, digest)
-    host = F.regexp_extract(value, r"@(.*)\.[a-z]+$", 1)
-    host_digest = F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit("host"), host), 512)  # one host stays one host
-    email = F.concat(_shaped(F.regexp_extract(value, "^(.*)@", 1), digest), _text("@"), _shaped(host, host_digest), F.regexp_extract(value, r"(\.[a-z]+)$", 1))
+    # from SAME_FORMAT on, hex characters are added, one more each attempt
+    more = F.substring(digest, F.lit(65), F.greatest(attempt - SAME_FORMAT + 1, F.lit(0)))
+    mailbox = F.concat(_shaped(value, digest, hexes=False), more)
+    host = F.concat(_shaped(F.regexp_extract(value, r"^(.*)\.[a-z]+$", 1), digest, hexes=False), more, F.regexp_extract(value, r"(\.[a-z]+)$", 1))
+    secret = F.concat(shaped, F.when(value.rlike("^[0-9A-F]+$"), F.upper(more)).otherwise(more))
     octet = lambda i, low, n: (F.pmod(_number(digest, F.lit(i)) * 256 + _number(digest, F.lit(i + 8)), F.lit(n)) + low).cast("string")
     ip = F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254))
     area = (F.pmod(_number(digest, F.lit(50)), F.lit(8)) + 2).cast("string")
-    phone = F.concat(area, F.substring(shaped, 2, 2), F.when(F.substring(value, 4, 3) == "555", _text("555")).otherwise(F.substring(shaped, 4, 3)), F.substring(shaped, 7, 4))
+    phone = F.concat(area, F.substring(shaped, 2, 2), F.when((F.substring(value, 4, 3) == "555") & (attempt < SAME_FORMAT), _text("555")).otherwise(F.substring(shaped, 4, 3)), F.substring(shaped, 7, 4))
     body = F.concat(F.substring(value, 1, 1), F.substring(shaped, F.lit(2), F.length(value) - 2))
     card = F.concat(body, F.pmod(_luhn(value) - _luhn(F.concat(body, _text("0"))), F.lit(10)).cast("string"))
     key_id = F.concat(F.substring(value, 1, 4), F.substring(shaped, 5, 16))
     iban = F.concat(F.substring(value, 1, 2), F.substring(shaped, F.lit(3), F.length(value)))
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "cloud key", key_id) \
-        .when(kind == "iban", iban).when(kind.isin("ssn", "secret"), shaped).otherwise(_name(kind, digest, attempt))
+    return F.when(kind.startswith("mailbox:"), mailbox).when(kind == "host", host).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "cloud key", key_id) \
+        .when(kind == "iban", iban).when(kind == "ssn", shaped).when(kind == "secret", secret).otherwise(_name(kind, digest, attempt))
 
 
 def _laid_out(mention: Column, digits: Column) -> Column:
@@ -178,6 +186,7 @@ def rewritten(mentioned: Column, attempts: Column, key: str) -> Column:
     values = F.transform(found, lambda e: surrogate(e["kind"], e["value"], tried(e), key))
     first = F.element_at(values, 1)
     return F.when(kind == "name", F.concat(F.regexp_extract(mention, rf"^((?:{_TITLE}) )", 1), F.array_join(values, " "))) \
+        .when(kind == "email", F.array_join(values, "@")) \
         .when(kind.isin("phone", "card", "ssn"), _laid_out(mention, first)) \
         .when(kind == "secret", F.concat(F.regexp_extract(mention, f"^({_SECRET})", 1), first)).otherwise(first)
 
@@ -201,8 +210,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     """Rows (kind, value, attempt, surrogate) of distinct entities (kind, value): surrogates of a kind all differ and
     none is a value of that kind."""
     real = settle(entities.select("kind", "value").distinct())
-    todo, done = real.withColumn("attempt", F.lit(0)), None
-    for _ in range(ATTEMPTS):
+    todo, done, attempt, left = real.withColumn("attempt", F.lit(0)), None, 0, real.count()
+    while left or done is None:
         tried = settle(todo.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)))
         # the smallest value of equal surrogates keeps it, unless it is taken or real
         first = tried.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
@@ -212,9 +221,10 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         won = tried.join(first, ["kind", "surrogate", "value"], "left_semi").select("kind", "value", "attempt", "surrogate")
         done = settle(won if done is None else done.unionAll(won))
         todo = settle(tried.join(done.select("kind", "value"), ["kind", "value"], "left_anti").select("kind", "value", (F.col("attempt") + 1).alias("attempt")))
-        if todo.isEmpty():
-            return done
-    raise RuntimeError(f"surrogates still collide after {ATTEMPTS} attempts")
+        before, left, attempt = left, todo.count(), attempt + 1
+        if attempt >= ATTEMPTS and left == before:
+            raise RuntimeError(f"attempt {attempt} settles none of {left} entities")
+    return done
 
 
 def replace_pii(docs: DataFrame, secret_key: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -69,3 +69,16 @@ def test_collisions_move_on(spark, monkeypatch, shift):
     docs = spark.createDataFrame([(i, f"call ({v[:3]}) {v[3:6]}-{v[6:]}") for i, v in enumerate(values)], "doc_id long, text string")
     out = {r.text for r in pii.replace_pii(docs, "k").collect()}
     assert len(out) == len(values) and not any(f"({v[:3]}) {v[3:6]}-{v[6:]}" in t for v in values for t in out)
+
+
+def test_saturated_hosts_and_secrets(spark):
+    """Every mailbox of one letter or digit is taken, so are the hosts of one digit, and some secrets have no letter at all."""
+    letters = [f"{c}@h.example.com" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    hosts = [f"_@{c}.com" for c in "0123456789"]
+    texts = [f"to {m} now" for m in letters + hosts] + ["password=--------", "password=________", "password=abcdefab"]
+    got = replaced(spark, texts)
+    assert len(set(got)) == len(texts) and not {g.split()[1] for g in got[:-3]} & {*letters, *hosts}
+    assert len({g.split("@")[1] for g in got[:36]}) == 1 and len({g.split("@")[1] for g in got[36:46]}) == 10
+    assert all(re.fullmatch(r"to [a-z0-9]+@[a-z][a-z0-9]*\.[a-z]{7}[0-9a-f]*\.com now", g) for g in got[:36])
+    assert all(re.fullmatch(r"password=[A-Za-z0-9_-]{8,}", g) for g in got[-3:]) and not set(got) & set(texts)
+    assert re.fullmatch("password=[0-9a-f]+", got[-1])
