@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, embeddings, licenses, lines, mixing, pii, quality, simhash, topk, warc
+from gridspark.llm import bpe, embeddings, licenses, lines, mixing, pii, quality, secrets, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,12 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with personal data and secrets replaced by surrogates."""
     got = pii.replace_pii(_table(spark, folder, "documents"), "a key that is kept with the corpus")
     return got.select("doc_id", "text", "n_entities", "kinds")
+
+
+@_query
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Named secrets and strings of high entropy in every document."""
+    return secrets.secret_scan(_table(spark, folder, "documents"))
+
+
+ORACLES["op11_secrets"] = secrets.sql()
