@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, embeddings, licenses, lines, mixing, pii, quality, secrets, simhash, topk, warc
+from gridspark.llm import bpe, embeddings, licenses, lines, mixing, pii, quality, ranked, secrets, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,12 @@ def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op11_secrets"] = secrets.sql()
+
+
+@_query
+def op13_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLES["op13_ranked"] = ranked.SQL
