@@ -65,14 +65,14 @@ def _counted(docs: DataFrame, vocabulary: dict[bytes, int], key: str, text: str)
     return source.mapInArrow(rows, f"doc_id {kind}, n long, terms array<int>, tfs array<int>")
 
 
-def nra(lists: list[tuple[np.ndarray, np.ndarray]], n: int, k: int, others: list[int], first: int = FIRST_READ) -> tuple[np.ndarray, np.ndarray, int]:
+def nra(lists: list[tuple[np.ndarray, np.ndarray]], n: int, k: int, others: list[int], first: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """Documents of a shard that may be among the k best, with their scores, and the postings read.
 
     ``lists`` are (documents, impacts) by falling impact; ``others`` are the scores of documents met elsewhere. All returned
     scores are above 0 and exact; no document that reaches the k-th best score is missing.
     """
     lower, seen = np.zeros(n, np.int64), np.zeros((len(lists), n), bool)
-    at, step, read = 0, first, 0
+    at, step, read = 0, first or FIRST_READ, 0
     while True:
         bounds = np.zeros(len(lists), np.int64)  # what a document not yet met in a list can still get from it
         for i, (docs, impacts) in enumerate(lists):
@@ -106,7 +106,8 @@ class Shard:
         order = np.lexsort((-impact, terms))
         self.docs, self.impact, sorted_terms = docs[order], impact[order], terms[order]
         present, starts = np.unique(sorted_terms, return_index=True)
-        self.spans = dict(zip(present.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True), strict=True))
+        ends = [*starts[1:].tolist(), len(order)][: len(starts)]
+        self.spans = dict(zip(present.tolist(), zip(starts.tolist(), ends, strict=True), strict=True))
 
     def lists(self, terms: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
         spans = [self.spans[t] for t in terms if t in self.spans]

@@ -50,9 +50,8 @@ def made(seed):
 def test_search_against_brute_force_and_sql(spark, monkeypatch, small):
     docs, items = made(int(small))
     if small:  # many shards, rounds and blocks
-        for name, value in (("SHARD_DOCS", 7), ("SHARD_POSTINGS", 60), ("BLOCK_TERMS", 30), ("_PIECE", 50)):
+        for name, value in (("SHARD_DOCS", 7), ("SHARD_POSTINGS", 60), ("BLOCK_TERMS", 30), ("_PIECE", 50), ("FIRST_READ", 1)):
             monkeypatch.setattr(ranked, name, value)
-        monkeypatch.setattr(ranked.nra, "__defaults__", (1,))
     d = spark.createDataFrame([(*x, 1, "z") for x in docs], "doc_id long, text string, score int, item_id string").repartition(5)
     i = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
     got = sorted((tuple(r) for r in ranked.search(d, i).collect()), key=order)
