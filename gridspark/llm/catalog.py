@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import bpe, embeddings, licenses, lines, mixing, pii, quality, ranked, secrets, simhash, topk, warc
+from gridspark.llm import bpe, embeddings, licenses, lines, mixing, pii, quality, ranked, secrets, simhash, topk, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,12 @@ def op13_ranked(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op13_ranked"] = ranked.SQL
+
+
+@_query
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix trie of all conversations, each rebuilt on the first turns of another."""
+    return trie.prefix_trie(*trie.rebuilt(trie.sequences(_table(spark, folder, "conversations"))))
+
+
+ORACLES["op12_trie"] = trie.SQL
