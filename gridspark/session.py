@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_settled: dict[str, list[str]] = {}
 
 
 def get_session(app: str = "gridspark", **conf: str) -> SparkSession:
@@ -55,10 +56,22 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/gridspark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
 
 
-def discard(spark: SparkSession) -> None:
-    """Remove the tables that this application settled; for the owner of a run, when its results are written."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/gridspark/{spark.sparkContext.applicationId}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def settled(spark: SparkSession) -> list[str]:
+    """Paths of the tables that this application settled and has not discarded, oldest first."""
+    return list(_settled.get(spark.sparkContext.applicationId, []))
+
+
+def discard(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove settled tables, by default all of this application; for the owner of a run or step, when what is made of them is written."""
+    app = spark.sparkContext.applicationId
+    for path in [f"{work_dir(spark)}/gridspark/{app}"] if paths is None else paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    gone = set(settled(spark) if paths is None else paths)
+    _settled[app] = [p for p in settled(spark) if p not in gone]

@@ -139,6 +139,10 @@ def test_settled_tables_can_be_discarded(spark, tmp_path, monkeypatch):
     assert session.settle(spark.range(5)).count() == 5 and any(tmp_path.rglob("*.parquet"))
     session.discard(spark)
     assert not any(tmp_path.rglob("*.parquet"))
+    first, second = session.settle(spark.range(5)), session.settle(spark.range(6))
+    assert [first.settled_at, second.settled_at] == session.settled(spark)[-2:]
+    session.discard(spark, [first.settled_at])
+    assert session.settled(spark)[-1] == second.settled_at and first.settled_at not in session.settled(spark) and second.count() == 6
 
 
 def test_factor_table(spark):
