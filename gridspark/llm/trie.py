@@ -368,11 +368,13 @@ def prefix_trie(steps: DataFrame, convs: DataFrame, segment: int | None = None)
         hanging = got.where("kind = 0 and parent_key is not null").drop("parent_low").unionByName(shared, allowMissingColumns=True)
         for part in (got.where("kind = 0 and parent_key is null"), lookup_join(hanging, named, ["parent_key"])):
             nodes.append(part.select(columns).withColumn("depth", F.col("depth") + seg * segment))
-    root = convs.agg(F.min("conv_id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 0")
-    if below is None:
-        top = root.select("*", zero.alias("children"), F.lit(1).cast("long").alias("leaves"), zero.alias("saved"))
-    else:
-        top = root.withColumn("till", F.lit("")).join(below, "till")
+    root = convs.agg(F.min("conv_id").alias("low"), F.count(F.lit(1)).alias("n"))
+    # the root is what all conversations and the first level of tries add up to
+    totals = root.select("low", "n", zero.alias("children"), zero.alias("leaves"), zero.alias("saved"))
+    if below is not None:
+        totals = totals.unionAll(below.select(F.lit(None).cast(kind).alias("low"), zero.alias("n"), "children", "leaves", "saved"))
+    top = totals.agg(F.min("low").alias("low"), *(F.sum(c).alias(c) for c in ("n", "children", "leaves", "saved"))).where("n > 0")
+    top = top.withColumn("leaves", F.greatest("leaves", F.lit(1)))
     nodes.append(top.select("low", zero.alias("depth"), F.lit(None).cast(kind).alias("parent_low"), "n", "children", "leaves", "saved", F.lit("").alias("till")))
     every = nodes[0]
     for part in nodes[1:]:
