@@ -148,6 +148,14 @@ def table_diff(i):
     return A.diff_tables(i.table("orders"), i.sql(ORDERS_B), ["o_orderkey"], ["o_totalprice", "o_custkey"])
 
 
+@query("table_diff_ranges", ["variable", "CAST(only_a AS BIGINT) AS only_a", "CAST(only_b AS BIGINT) AS only_b", "CAST(n_diff AS BIGINT) AS n_diff", "ROUND(max_abs, 6) AS max_abs", "ROUND(rms, 8) AS rms"], f"""
+WITH j AS (SELECT a.o_orderkey AS ka, b.o_orderkey AS kb, a.o_totalprice AS pa, b.o_totalprice AS pb, a.o_custkey AS ca, b.o_custkey AS cb FROM orders a FULL JOIN ({ORDERS_B}) b ON a.o_orderkey = b.o_orderkey)
+SELECT 'o_totalprice' AS variable, count(*) FILTER (kb IS NULL) AS only_a, count(*) FILTER (ka IS NULL) AS only_b, count(*) FILTER (pa <> pb) AS n_diff, max(abs(pa - pb)) AS max_abs, sqrt(avg(power(pa - pb, 2))) AS rms FROM j
+UNION ALL SELECT 'o_custkey', count(*) FILTER (kb IS NULL), count(*) FILTER (ka IS NULL), count(*) FILTER (ca <> cb), max(abs(ca - cb)), sqrt(avg(power(ca - cb, 2))) FROM j""")
+def table_diff_ranges(i):
+    return A.diff_large(i.table("orders"), i.sql(ORDERS_B), ["o_orderkey"], ["o_totalprice", "o_custkey"])
+
+
 CONFIG_A = "SELECT concat('set:', CAST(c_custkey AS STRING)) AS key, c_mktsegment AS value FROM customer WHERE c_custkey % 17 <> 3"
 CONFIG_B = "SELECT concat('set:', CAST(c_custkey AS STRING)) AS key, CASE WHEN c_custkey % 23 = 1 THEN 'changed' ELSE c_mktsegment END AS value FROM customer WHERE c_custkey % 19 <> 5"
 

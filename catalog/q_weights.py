@@ -10,6 +10,7 @@ from gridspark.operators import mesh as M
 from gridspark.operators import points as P
 from gridspark.operators import scaling as S
 from gridspark.operators import weights as W
+from gridspark.operators.identity import changed_ranges
 
 NONE_COLS = ["rule", "CAST(n AS BIGINT) AS n"]
 
@@ -201,10 +202,10 @@ GRIDS = """SELECT concat('file', CAST(k AS STRING)) AS grid_id, concat('product'
 FROM (SELECT CAST(floor(c_custkey/40) AS INT) AS k, CAST(c_custkey % 40 AS INT) AS idx, 'lat' AS axis FROM customer
  UNION ALL SELECT CAST(floor(c_custkey/40) AS INT) AS k, CAST(c_custkey % 40 AS INT) AS idx, 'lon' AS axis FROM customer) x"""
 
-IDENT_SQL = f"""SELECT grid_id, product, substr(sha256('lat:' || max(lat) || ';lon:' || max(lon)), 1, 16) AS fingerprint FROM (
- SELECT grid_id, product, CASE WHEN axis = 'lat' THEN t END AS lat, CASE WHEN axis = 'lon' THEN t END AS lon FROM (
- SELECT grid_id, product, axis, string_agg(CAST(CAST(round_even(centre/0.0001, 0) AS BIGINT) AS VARCHAR), ',' ORDER BY idx) AS t FROM ({GRIDS}) GROUP BY grid_id, product, axis))
-GROUP BY grid_id, product"""
+LANES_SQL = " || ':' || ".join(["CAST(count(*) AS VARCHAR)", *[f"CAST(sum(CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)) AS VARCHAR)" for k in range(8)]])
+
+IDENT_SQL = f"""SELECT grid_id, product, substr(sha256({LANES_SQL}), 1, 16) AS fingerprint FROM (
+ SELECT grid_id, product, sha256(axis || ':' || idx || ':' || CAST(round_even(centre/0.0001, 0) AS BIGINT)) AS h FROM ({GRIDS})) GROUP BY grid_id, product"""
 
 
 @query("grid_identity", ["grid_id", "fingerprint"], IDENT_SQL)
@@ -219,14 +220,31 @@ def grid_identity_conflicts(i):
     return M.identity_conflicts(M.grid_identity(g).join(g.select("grid_id", "product").distinct(), "grid_id"), ["product"])
 
 
-@query("mesh_identity", ["CAST(n_cells AS BIGINT) AS n_cells", "CAST(digest_sum AS BIGINT) AS digest_sum", "CAST(digest_xor AS BIGINT) AS digest_xor"], """
-SELECT count(*) AS n_cells, sum(d) AS digest_sum, bit_xor(d) AS digest_xor FROM (
- SELECT CAST('0x' || substr(md5(concat_ws('|', CAST(cell_id AS VARCHAR), CAST(CAST(round_even(lat*1e9, 0) AS BIGINT) AS VARCHAR),
- CAST(CAST(round_even(lon*1e9, 0) AS BIGINT) AS VARCHAR), CAST(CAST(round_even(area_m2*1e3, 0) AS BIGINT) AS VARCHAR))), 1, 10) AS BIGINT) AS d FROM mesh)""", ("mesh",))
+# trees of up to 256 ranges of 256 cells
+TREE_SQL = f"""h AS (SELECT cell_id, sha256(concat_ws('|', CAST(cell_id AS VARCHAR), CAST(CAST(round_even(lat*1e9, 0) AS BIGINT) AS VARCHAR),
+ CAST(CAST(round_even(lon*1e9, 0) AS BIGINT) AS VARCHAR), CAST(CAST(round_even(area_m2*1e3, 0) AS BIGINT) AS VARCHAR))) AS h FROM {{}}),
+leaf AS (SELECT cell_id >> 8 AS range_id, count(*) AS n, sha256({LANES_SQL}) AS d FROM h GROUP BY 1)"""
+TOP_SQL = """mid AS (SELECT 0 AS range_id, sha256(string_agg(range_id || '=' || d, ',' ORDER BY range_id)) AS d FROM leaf HAVING count(*) > 1)
+SELECT (SELECT sum(n) FROM leaf) AS n_cells, sha256(string_agg(range_id || '=' || d, ',')) AS digest FROM (SELECT range_id, d FROM mid UNION ALL SELECT range_id, d FROM leaf WHERE (SELECT count(*) FROM leaf) = 1)"""
+
+
+@query("mesh_identity", ["CAST(n_cells AS BIGINT) AS n_cells", "digest"], f"WITH {TREE_SQL.format('mesh')}, {TOP_SQL}", ("mesh",))
 def mesh_identity(i):
     return M.mesh_identity(i("mesh"))
 
 
+MOVED = "SELECT * REPLACE (CASE WHEN cell_id % 512 = 77 THEN lat + 0.01E0 ELSE lat END AS lat) FROM mesh WHERE cell_id % 768 <> 300"
+
+
+@query("mesh_changed_ranges", ["CAST(range_id AS BIGINT) AS range_id", "CAST(n_before AS BIGINT) AS n_before", "CAST(n_after AS BIGINT) AS n_after"], f"""
+WITH {TREE_SQL.format('mesh')}, {TREE_SQL.format(f'({MOVED})').replace('h AS (', 'h2 AS (', 1).replace('leaf AS', 'leaf2 AS').replace('FROM h GROUP', 'FROM h2 GROUP')}
+SELECT coalesce(a.range_id, b.range_id) AS range_id, a.n AS n_before, b.n AS n_after FROM leaf a FULL JOIN leaf2 b ON a.range_id = b.range_id WHERE a.d IS DISTINCT FROM b.d""", ("mesh",))
+def mesh_changed_ranges(i):
+    """The ranges of cells in which a mesh was changed: some cells moved, some left out."""
+    moved = i("mesh").where("cell_id % 768 <> 300").withColumn("lat", F.expr("CASE WHEN cell_id % 512 = 77 THEN lat + 0.01D ELSE lat END"))
+    return changed_ranges(M.mesh_tree(i("mesh")), M.mesh_tree(moved))
+
+
 @query("mesh_is_global", ["ROUND(surface_fraction, 9) AS surface_fraction", "is_global"], """
 SELECT f AS surface_fraction, abs(f - 1) <= 0.0005 AS is_global FROM (SELECT sum(area_m2)/(4*pi()*6371229.0*6371229.0) AS f FROM mesh)""", ("mesh",))
 def mesh_is_global(i):

@@ -4,6 +4,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.operators.identity import range_digests, row_text
+from gridspark.session import settle
+
+RANGES = 4096
+
 
 def diff_tables(a: DataFrame, b: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Per variable: rows on one side only, rows that differ, largest and RMS difference.
@@ -27,6 +32,49 @@ def diff_tables(a: DataFrame, b: DataFrame, keys: list[str], values: list[str])
         F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rms"))
 
 
+def diff_large(a: DataFrame, b: DataFrame, keys: list[str], values: list[str], ranges: int = RANGES) -> DataFrame:
+    """What :func:`diff_tables` returns, for tables that are mostly equal: rows are joined only in ranges that differ.
+
+    Each side is read once for one digest and a few counts per range of key hashes, which combine before the shuffle.
+    Ranges of one digest hold the same rows; only the rows of the others (at most ``ranges`` range numbers are broadcast) are
+    shuffled and joined. Equal tables shuffle no rows.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(ranges))
+    number = {v: F.col(v).cast("double") for v in values}
+    odd = {v: F.isnan(n) | (F.abs(n) == float("inf")) for v, n in number.items()}
+
+    def facts(side: DataFrame, name: str) -> DataFrame:
+        rows = side.select(place.alias("range"), *keys, *values)
+        digests = range_digests(rows, ["range"], row_text([*keys, *values]))
+        counts = rows.groupBy("range").agg(*[F.count(v).alias(f"n_{v}") for v in values], *[F.count(F.when(odd[v], 1)).alias(f"odd_{v}") for v in values])
+        return digests.join(counts, "range").select("range", F.col("digest").alias(f"digest_{name}"), *([f"n_{v}" for v in values] + [f"odd_{v}" for v in values] if name == "a" else []))
+
+    met = settle(facts(a, "a").join(facts(b, "b"), "range", "full_outer"))
+    same = F.col("digest_a").eqNullSafe(F.col("digest_b"))
+    differing = met.where(~same).select("range")
+
+    def rows_of(side: DataFrame) -> DataFrame:
+        return side.withColumn("range", place).join(F.broadcast(differing), "range", "left_semi").select(*keys, *values)
+
+    left = rows_of(a).select(*keys, *[F.col(v).alias(f"a_{v}") for v in values], F.lit(True).alias("_a"))
+    right = rows_of(b).select(*keys, *[F.col(v).alias(f"b_{v}") for v in values], F.lit(True).alias("_b"))
+    both = left.join(right, keys, "full_outer")
+    inside = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    found, equal = [], []
+    zero = F.lit(0).cast("bigint")
+    for v in values:
+        d = F.when(inside, F.col(f"a_{v}") - F.col(f"b_{v}")).cast("double")
+        unlike = inside & ~F.col(f"a_{v}").eqNullSafe(F.col(f"b_{v}"))
+        found.append(F.struct(F.lit(v).alias("variable"), F.col("_b").isNull().cast("bigint").alias("only_a"), F.col("_a").isNull().cast("bigint").alias("only_b"),
+                              unlike.cast("bigint").alias("n_diff"), F.abs(d).alias("top"), (d * d).alias("square"), d.isNotNull().cast("bigint").alias("n")))
+        # rows of equal ranges differ by 0, or by no number where they are not finite
+        top = F.when(F.col(f"odd_{v}") > 0, F.lit(float("nan"))).when(F.col(f"n_{v}") > 0, F.lit(0.0))
+        equal.append(F.struct(F.lit(v).alias("variable"), zero.alias("only_a"), zero.alias("only_b"), zero.alias("n_diff"), top.alias("top"), top.alias("square"), F.col(f"n_{v}").alias("n")))
+    every = both.select(F.explode(F.array(*found)).alias("e")).select("e.*").unionByName(met.where(same).select(F.explode(F.array(*equal)).alias("e")).select("e.*"))
+    return every.groupBy("variable").agg(
+        *[F.sum(c).alias(c) for c in ("only_a", "only_b", "n_diff")], F.max("top").alias("max_abs"), F.sqrt(F.sum("square") / F.sum("n")).alias("rms"))
+
+
 def diff_config(reference: DataFrame, candidate: DataFrame, ignore: str | None = None) -> DataFrame:
     """Settings (key, value) that DIFFER, are MISSING from or EXTRA in the candidate; ``ignore`` is a key pattern."""
     r = reference.select("key", F.col("value").alias("reference"), F.lit(True).alias("_r"))

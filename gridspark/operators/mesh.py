@@ -3,10 +3,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions import geometry as G
+from gridspark.operators.identity import digest_tree, range_digests, root
 from gridspark.operators.skew import lookup_join
 
 
@@ -72,13 +73,13 @@ def flat_index(values: DataFrame, lat_axis: DataFrame, lon_axis: DataFrame) -> D
 
 
 def grid_identity(axis: DataFrame) -> DataFrame:
-    """Fingerprint per grid from quantised axes; encoding noise below the quantum does not matter."""
+    """Fingerprint per grid from quantised axes; encoding noise below the quantum does not matter.
+
+    Places and values of an axis are added up as digests, so no array holds an axis.
+    """
     q = axis.select("grid_id", "axis", "idx", G.quantum_index(F.col("centre")).alias("q"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "q"))),
-                                    lambda e: e.q.cast("string")), ",")
-    per_axis = q.groupBy("grid_id", "axis").agg(text.alias("t"))
-    whole = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "axis", "t"))), ";")
-    return per_axis.groupBy("grid_id").agg(F.substring(F.sha2(whole, 256), 1, 16).alias("fingerprint"))
+    text = F.concat_ws(":", F.col("axis"), F.col("idx").cast("string"), F.col("q").cast("string"))
+    return range_digests(q, ["grid_id"], text).select("grid_id", F.substring("digest", 1, 16).alias("fingerprint"))
 
 
 def identity_conflicts(fingerprints: DataFrame, group: list[str]) -> DataFrame:
@@ -95,19 +96,23 @@ def check_identity(recorded: DataFrame, expected: DataFrame, keys: list[str], su
         recorded.withColumnRenamed("fingerprint", "recorded"), keys, "left").withColumn("verdict", verdict)
 
 
-def mesh_identity(mesh: DataFrame) -> DataFrame:
-    """Order-free fingerprint of a mesh: count, and sums of a per-cell digest of its geometry.
-
-    Coordinates are compared at 1e-9 rad and areas at 1e-3 m2.
-    """
-    parts = F.concat_ws(
+def mesh_text() -> Column:
+    """Text of a cell's geometry: coordinates at 1e-9 rad, areas at 1e-3 m2."""
+    return F.concat_ws(
         "|", F.col("cell_id").cast("string"),
         F.rint(F.col("lat") * 1e9).cast("bigint").cast("string"),
         F.rint(F.col("lon") * 1e9).cast("bigint").cast("string"),
         F.rint(F.col("area_m2") * 1e3).cast("bigint").cast("string"))
-    digest = F.conv(F.substring(F.md5(parts), 1, 10), 16, 10).cast("bigint")
-    return mesh.agg(F.count(F.lit(1)).alias("n_cells"), F.sum(digest).alias("digest_sum"),
-                    F.bit_xor(digest).alias("digest_xor"))
+
+
+def mesh_tree(mesh: DataFrame) -> DataFrame:
+    """Digest tree of a mesh over ranges of cells; two trees tell which ranges differ."""
+    return digest_tree(mesh, "cell_id", mesh_text())
+
+
+def mesh_identity(mesh: DataFrame) -> DataFrame:
+    """Order-free fingerprint of a mesh: number of cells and the digest at the top of its tree."""
+    return root(mesh_tree(mesh)).select(F.col("n_rows").alias("n_cells"), "digest")
 
 
 def is_global(mesh: DataFrame, radius_m: float = G.SPHERE_RADIUS_M) -> DataFrame:
