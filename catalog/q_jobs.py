@@ -255,7 +255,7 @@ def product_written(i):
     PR.write_product(old, path, facts, PR.violation_table({"nonfinite": PR.finite_violations(old, ["field"])}))
     PR.write_product(old.filter("field = 'total'").withColumn("value", F.col("value") + 1), path, facts)
     decisions = " ".join(PR.reuse_decision(i.spark, path, offset) for offset in (6.0, -24.0))
-    return i.spark.read.parquet(path).withColumn("decision", F.lit(decisions))
+    return PR.read_product(i.spark, path).withColumn("decision", F.lit(decisions))
 
 
 def _stream(i, make):

@@ -21,23 +21,29 @@ def zero_based(links: DataFrame) -> DataFrame:
     )
 
 
-def apply_weights(values: DataFrame, weights: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+def _laid_out(weights) -> DataFrame:
+    """Links as a table that needs no pass to know its size: stored weights as they lie, others written once."""
+    return weights.links if hasattr(weights, "links") else settle(weights)
+
+
+def apply_weights(values: DataFrame, weights, keys: list[str], value: str = "value") -> DataFrame:
     """``dst = sum(s * src)`` per ``keys``: values(keys, src_id, value) x weights(dst_id, src_id, s).
 
     One shuffle of both sides on the source cell, in which adaptive execution may split a hot cell of
     either side, and one on (keys, destination), which combines before it shuffles. Weights are written
-    once. Pass distinct source records only; blending in time happens after this.
+    once, or are :class:`gridspark.sources.weight_store.StoredWeights`: those lie in buckets of the source cell, so only
+    values are shuffled. Pass distinct source records only; blending in time happens after this.
     """
-    pairs = values.select(*keys, "src_id", value).join(settle(weights), "src_id")
+    pairs = values.select(*keys, "src_id", value).join(_laid_out(weights), "src_id")
     return pairs.groupBy(*keys, "dst_id").agg(F.sum(F.col("s") * F.col(value)).alias(value))
 
 
-def apply_weights_packed(values: DataFrame, weights: DataFrame, keys: list[str], fields: dict[str, str]) -> DataFrame:
+def apply_weights_packed(values: DataFrame, weights, keys: list[str], fields: dict[str, str]) -> DataFrame:
     """:func:`apply_weights` of several fields at once: values(keys, src_id, a column per field) to (keys, field, dst_id, value).
 
     ``fields`` maps the columns to field names. Links meet a source cell once for all fields.
     """
-    pairs = values.select(*keys, "src_id", *fields).join(settle(weights), "src_id")
+    pairs = values.select(*keys, "src_id", *fields).join(_laid_out(weights), "src_id")
     sums = pairs.groupBy(*keys, "dst_id").agg(*[F.sum(F.col("s") * F.col(c)).alias(c) for c in fields])
     each = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.col(c).alias("value")) for c, name in fields.items()]))
     return sums.select(*keys, "dst_id", each.alias("f")).select(*keys, "f.field", "dst_id", "f.value")

@@ -74,23 +74,78 @@ def source_fields(wide: DataFrame, keys: list[str], specs: list[FieldSpec], bloc
     return wide.select(*keys, F.explode(F.array(*source_columns(specs, blocks))).alias("f")).select(*keys, "f.*")
 
 
-def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src_area: DataFrame | None,
+@dataclass(frozen=True)
+class Guard:
+    """What weights, grids and mesh must agree on before anything is remapped.
+
+    ``grids``(grid_id, fingerprint) names the source grid of every file or product, ``src_identity`` the one the weights were made
+    for and ``dst_identity`` the mesh at hand; stored weights bring their own sizes and identities. For a global mesh every source
+    cell must have a link and areas must be given.
+    """
+
+    n_src: int | None = None
+    n_dst: int | None = None
+    grids: DataFrame | None = None
+    src_identity: str | None = None
+    dst_identity: str | None = None
+    is_global: bool = False
+
+    def checks(self, links, areas: bool) -> dict[str, DataFrame]:
+        out = {}
+        stored = hasattr(links, "links")
+        n_src, n_dst = (links.n_src, links.n_dst) if stored else (self.n_src, self.n_dst)
+        table = links.links if stored else links
+        spark = table.sparkSession
+        if n_src is not None and n_dst is not None and (not stored or self.is_global):
+            out["weights"] = weights.validate_weights(table, n_dst, n_src, True, self.is_global)
+        expected = links.src_identity if stored and links.src_identity else self.src_identity
+        if self.grids is not None:
+            # the grid of the weights, or else the first one, must be that of every file
+            if expected is None:
+                first = self.grids.agg(F.min_by("fingerprint", "grid_id")).first()
+                expected = first[0] if first else None
+            wrong = self.grids.select("grid_id", "fingerprint", F.lit(expected).cast("string").alias("expected")).distinct()
+            out["source_grid"] = wrong.where("fingerprint <> expected")
+        facts = []
+        if stored and links.dst_identity and self.dst_identity and links.dst_identity != self.dst_identity:
+            facts.append(("mesh", links.dst_identity, self.dst_identity))
+        if stored and links.src_identity and self.src_identity and links.src_identity != self.src_identity:
+            facts.append(("source_grid", links.src_identity, self.src_identity))
+        if stored and self.n_src not in (None, n_src):
+            facts.append(("n_src", str(n_src), str(self.n_src)))
+        if facts:
+            out["weights_identity"] = spark.createDataFrame(facts, "what string, recorded string, given string")
+        if self.is_global and not areas:
+            out["conservation_unchecked"] = spark.createDataFrame([("a global mesh needs the areas of both sides",)], "reason string")
+        return out
+
+
+def target_brackets(records: DataFrame, time: TimeSpec, series: str = "series_id") -> DataFrame:
+    """The records that every target of the schedule lies between."""
+    targets = timeaxis.target_schedule(records, time.start, time.end, time.frequency, time.step, series)
+    if time.daily_mean:
+        return timeaxis.day_brackets(records, targets, series, time.method, time.max_gap, time.extrapolate)
+    gap = None if not time.max_gap else time.max_gap * 3600.0
+    return timeaxis.time_brackets(records, targets, series, time.method, gap, time.extrapolate)
+
+
+def regular_inventory(wide: DataFrame, records: DataFrame, links, src_area: DataFrame | None,
                       dst_area: DataFrame | None, specs: list[FieldSpec], time: TimeSpec, blocks: list = (),
-                      series: str = "series_id", n_src: int | None = None) -> Result:
+                      series: str = "series_id", n_src: int | None = None, guard: Guard = Guard(),
+                      only: DataFrame | None = None) -> Result:
     """Source slabs to mesh fields at the target times.
 
     wide(series, record_id, src_id, columns...), records(series, record_id, valid_time). Only records the
     brackets use are read and remapped, each once; the remapped table is written, then checked for
     conservation when both areas are given, and blended to every target. A missing value under the policy
-    ``error``, a record that does not hold ``n_src`` source cells (if given) and a cell without area are violations.
+    ``error``, a record that does not hold ``n_src`` source cells (by default as many as the guard or stored weights declare) and a
+    cell without area are violations, and so is all that ``guard`` finds. ``only``(series, target) restricts the run to these targets
+    and the records they need.
     """
-    targets = timeaxis.target_schedule(records, time.start, time.end, time.frequency, time.step, series)
-    if time.daily_mean:
-        brackets = timeaxis.day_brackets(records, targets, series, time.method, time.max_gap, time.extrapolate)
-    else:
-        gap = None if not time.max_gap else time.max_gap * 3600.0
-        brackets = timeaxis.time_brackets(records, targets, series, time.method, gap, time.extrapolate)
-    brackets = settle(brackets)
+    stored = hasattr(links, "links")
+    n_src = n_src if n_src is not None else links.n_src if stored else guard.n_src
+    brackets = target_brackets(records, time, series)
+    brackets = settle(brackets if only is None else brackets.join(only, [series, "target"], "left_semi"))
     used = timeaxis.needed_records(brackets, series)
     keys = [series, "record_id"]
     packed = [f.alias(f"_{i}") for i, f in enumerate(source_columns(specs, list(blocks)))]
@@ -100,7 +155,7 @@ def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src
     values = packed.select(*keys, "src_id", *[F.col(f"_{i}")["value"].alias(f"_{i}") for i in range(len(specs))])
     on_mesh = settle(weights.apply_weights_packed(values, links, keys, {f"_{i}": s.name for i, s in enumerate(specs)}))
     out = timeaxis.interpolate(on_mesh, brackets, ["field", "dst_id"], series=series).withColumnRenamed("dst_id", "cell_id")
-    checks = {
+    checks = guard.checks(links, src_area is not None and dst_area is not None) | {
         "duplicate_time": timeaxis.duplicate_times(records, series, time.daily_mean),
         "bracket": brackets.filter(F.col("kind").isin("outside", "gap", "no_records")),
         "negative_factor": scaling.negative_factors(src).select("field", "factor").distinct(),
@@ -119,20 +174,20 @@ def regular_inventory(wide: DataFrame, records: DataFrame, links: DataFrame, src
     return Result(out.withColumnRenamed("target", "valid_time"), violation_table(checks), extras)
 
 
-def sectoral_inventory(long: DataFrame, links: DataFrame, exclude: list[str], sectors: dict[str, float], block: dict | None,
+def sectoral_inventory(long: DataFrame, links, exclude: list[str], sectors: dict[str, float], block: dict | None,
                        species: str, prefix: str, months: int = 12, src_area: DataFrame | None = None,
-                       dst_area: DataFrame | None = None) -> Result:
+                       dst_area: DataFrame | None = None, guard: Guard = Guard()) -> Result:
     """Monthly sectors (month, src_id, sector, value) to mesh fields ``<prefix>_<sector>``.
 
     The supplied total is corrected for excluded and scaled sectors before remapping. There must be exactly
-    ``months`` records and every value must be finite.
+    ``months`` records, every value must be finite and ``guard`` must find nothing.
     """
     adjusted, negative = scaling.adjust_sector_sum(
         long, ["month", "src_id"], exclude, sectors, block, [F.lit(species)], f"{prefix}_")
     adjusted = adjusted.withColumn("field", F.concat(F.lit(f"{prefix}_"), F.col("sector"))).drop("sector")
     on_mesh = weights.apply_weights(adjusted, links, ["month", "field"])
     n = long.agg(F.countDistinct("month").alias("n_months")).filter(F.col("n_months") != months)
-    checks = {"months": n, "negative_sum": negative, "nonfinite": finite_violations(long, ["month", "sector"])}
+    checks = guard.checks(links, src_area is not None and dst_area is not None) | {"months": n, "negative_sum": negative, "nonfinite": finite_violations(long, ["month", "sector"])}
     extras = {}
     if src_area is not None and dst_area is not None:
         balance = weights.check_conservation(adjusted, on_mesh, src_area, dst_area, ["month", "field"])

@@ -2,13 +2,16 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _local_dirs: dict[str, str] = {}
 _settled: dict[str, list[str]] = {}
 
@@ -47,6 +50,18 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Steps run inside hand ``rows`` rows at a time to Python: for rows of kilobytes, of which the usual batch would fill
+    tens of megabytes in the executor and again in each worker."""
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 

@@ -167,7 +167,7 @@ def test_product_round_trip(spark, tmp_path):
     assert PR.reuse_decision(spark, path, 0.0) == "build"
     PR.write_product(df, path, facts, PR.violation_table({"nonfinite": PR.finite_violations(df, ["field"])}))
     PR.write_product(df.filter("field = 'a'").withColumn("value", F.lit(9.0)), path)
-    back = spark.read.parquet(path)
+    back = PR.read_product(spark, path)
     assert dict(back.dtypes)["value"] == "float"
     assert {r["field"]: round(r["value"], 3) for r in back.collect()} == {"a": 9.0, "b": 2.2}
     assert PR.reuse_decision(spark, path, -24.0) == "reuse" and PR.reuse_decision(spark, path, 0.0) == "rebuild"

@@ -17,7 +17,7 @@ from gridspark.operators.chem import species_weights
 from gridspark.plans import fires as FP
 from gridspark.plans import inventories as IP
 from gridspark.sources import fire_text as FT
-from gridspark.sources import products
+from gridspark.sources import files, products
 
 
 def rules(result):
@@ -102,13 +102,14 @@ def test_records_without_a_date_are_reported(spark):
     assert rows(FT.undated(FT.container_dates(df, mode="auto"))) == []
 
 
-def test_products_are_all_or_nothing(spark, tmp_path):
+def test_products_are_all_or_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "p")
     make = lambda x, f="a": spark.createDataFrame([("q", f, 0, x), ("q", f, 1, 2.0)], "product string, field string, cell_id int, value double")
     facts = spark.createDataFrame([(1.0,)], "source_time_offset_hours double")
-    products.write_product(make(1.0), path, facts)
-    products.write_product(make(5.0, "b"), path, facts)
-    assert [r[-1] for r in rows(spark.read.parquet(path).select("field", "cell_id", "value"))] == [1.0, 2.0, 5.0, 2.0]
+    assert products.write_product(make(1.0), path, facts) == 1
+    assert products.write_product(make(5.0, "b"), path, facts) == 2
+    values = lambda v=None: [r[-1] for r in rows(products.read_product(spark, path, v).select("field", "cell_id", "value"))]
+    assert values() == [1.0, 2.0, 5.0, 2.0] and values(1) == [1.0, 2.0]
     with pytest.raises(products.ProductRejected, match="not finite"):
         products.write_product(make(1e39), path, facts.selectExpr("9.0 AS source_time_offset_hours"))
     with pytest.raises(products.ProductRejected, match="rule"):
@@ -116,9 +117,38 @@ def test_products_are_all_or_nothing(spark, tmp_path):
     broken = make(3.0).withColumn("value", F.raise_error(F.lit("lost")).cast("double"))
     with pytest.raises(Exception, match="lost"):
         products.write_product(broken, path, facts)
-    assert rows(spark.read.parquet(path).filter("field = 'a' AND cell_id = 0").select("value")) == [(1.0,)]
+    # a writer that is stopped at any step of publishing: the older product stays whole
+    for step in ("publish", "_rename", "file_system"):
+        calls = [0]
+
+        def stop(*a, own=getattr(files, step), **k):
+            calls[0] += 1
+            if step != "file_system" or calls[0] == 7:
+                raise KeyboardInterrupt
+            return own(*a, **k)
+
+        monkeypatch.setattr(files, step, stop)
+        with pytest.raises(KeyboardInterrupt):
+            products.write_product(make(7.0), path, facts)
+        monkeypatch.undo()
+        assert values() == [1.0, 2.0, 5.0, 2.0]
     assert products.reuse_decision(spark, path, 1.0) == "reuse" and products.reuse_decision(spark, path, 2.0) == "rebuild"
-    assert sorted(x.name for x in tmp_path.iterdir()) == ["p", "p_provenance"]
+    # of two writers that began at one version the later one fails, and its values are seen by nobody
+    own = products._partitions
+
+    def meanwhile(*a):
+        monkeypatch.setattr(products, "_partitions", own)
+        products.write_product(make(8.0, "c"), path)
+        return own(*a)
+
+    monkeypatch.setattr(products, "_partitions", meanwhile)
+    with pytest.raises(files.Conflict):
+        products.write_product(make(9.0), path)
+    assert values() == [1.0, 2.0, 5.0, 2.0, 8.0, 2.0]
+    assert products.write_product(make(4.0), path, drop=["/product=q/field=b"]) == 4 and values() == [4.0, 2.0, 8.0, 2.0]
+    assert len(products.vacuum(spark, path, 1)) >= 4 and values() == [4.0, 2.0, 8.0, 2.0]
+    with pytest.raises(products.ProductRejected, match="partitioned"):
+        products.write_product(make(4.0), path, partition_by=("field",))
 
 
 @pytest.mark.parametrize("at_once", [3, 50, 10**6])
