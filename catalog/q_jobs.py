@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalog.q_obs import CH, CHANNELS, DA_SQL, ERR, KM, PRED, QC_SQL, RULES, SUMS_SQL, _solve_sql  # noqa: F401
-from catalog.q_points import AXIS, CAT, LAT_AXIS, LON_AXIS, TURNED, boxes
+from catalog.q_points import AXIS, CAT, LAT_AXIS, LON_AXIS, TURNED, boxes, overlap_sql
 from catalog.q_state import COLD, WARM
 from catalog.q_weights import PROFILE, SECTORS
 from catalog.registry import query
@@ -162,7 +162,14 @@ def job_point_vegetation_violations(i):
     return found.withColumn("d", d).select("rule", F.coalesce("d.file_date", "d.day").alias("day"), F.coalesce("d.reason", "d.rule").alias("reason"), "d.n")
 
 
-@query("job_fire_support", ["CAST(day AS STRING) AS day", "cell_id", "ROUND(value, 3) AS value"])
+@query("job_fire_support", ["CAST(day AS STRING) AS day", "cell_id", "ROUND(value, 3) AS value"], f"""
+WITH {overlap_sql("0.3e0/sqrt((SELECT count(*) FROM supplier))", "(SELECT * FROM mesh WHERE cell_id % 2 = 0)")},
+met AS (SELECT cell_id, iy, ix FROM met_areas WHERE fine > 1 AND coarse > 1),
+placed AS (SELECT f.*, y.idx AS iy, x.idx AS ix FROM fires f JOIN ax_lat y ON y.lo <= f.lat AND f.lat < y.hi JOIN ax_lon x ON x.lo <= f.lon AND f.lon < x.hi),
+hits AS (SELECT DISTINCT p.day, m.cell_id, p.fire_id, p.genveg, p.area FROM placed p JOIN met m ON m.iy = p.iy AND m.ix = p.ix WHERE p.area > 0),
+found AS (SELECT day, cell_id, sum(area)/count(*) AS mean_area FROM hits GROUP BY 1, 2 HAVING sum(CASE WHEN {CAT} > 0 THEN area ELSE 0 END) > 0)
+SELECT d.day, c.cell_id, coalesce(mean_area, CASE WHEN c.cell_id % 2 = 0 THEN 0e0 ELSE 25e0 END) AS value
+FROM mesh c CROSS JOIN (SELECT DISTINCT day FROM fires) d LEFT JOIN found f ON f.day = d.day AND f.cell_id = c.cell_id""", ("fires", "mesh"))
 def job_fire_support(i):
     h = 0.3 / i.table("supplier").count() ** 0.5  # cells shrink as they multiply
     cells = i("mesh").select("cell_id", "lat", "lon", F.array(*[F.col("lat") + h * s for s in (-1, -1, 1, 1)]).alias("corner_lat"),
@@ -171,7 +178,8 @@ def job_fire_support(i):
     from gridspark.operators.vegetation import assign_pixel
     flux = assign_pixel(i("fires"), lat, lon).select("day", "iy", "ix").distinct().withColumn("flux", F.lit(1.0) + F.col("ix"))
     days = i("fires").select("day").distinct()
-    size = i("mesh").select("cell_id", F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date"))).alias("day"))
+    start, end = i.span("SELECT day FROM fires", "day", "fires")
+    size = i("mesh").select("cell_id", F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
     size = size.join(days, "day", "left_semi").withColumn("value", F.when(F.col("cell_id") % 2 == 0, 0.0).otherwise(25.0))
     veg = size.select("day", "cell_id", F.lit(0).alias("category"), F.lit(0.0).alias("share"), F.lit(0.0).alias("known_frac"), F.lit(0).cast("bigint").alias("n_records"))
     fires = i.sql("SELECT day, fire_id AS record_id, lat, lon, genveg, area FROM fires", "fires")

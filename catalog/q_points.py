@@ -191,7 +191,54 @@ def manifest_days(i):
     return V.reference_days(m, m)
 
 
-@query("overlap_pairs", ["cell_id", "iy", "ix", "ROUND(area_fine/1e6, 2) AS area_km2", "decided"])
+def _clip_sql(k):
+    """One step of clipping: the ring r against edge k of the cell c, from CTE c{k} to c{k + 1}."""
+    nxt = (k + 1) % 4 + 1
+    at = f"c[{k + 1}]"
+    return f"""h{k} AS (SELECT *, list_transform(r, lambda p: ((c[{nxt}].x - {at}.x)*(p.y - {at}.y) - (c[{nxt}].y - {at}.y)*(p.x - {at}.x))*turn) AS h FROM c{k}),
+c{k + 1} AS (SELECT * EXCLUDE (r, h), flatten(list_transform(range(1, len(r) + 1), lambda i: list_concat(
+ CASE WHEN h[i] >= 0 THEN [r[i]] ELSE [] END,
+ CASE WHEN (h[i] >= 0) <> (h[i % len(r) + 1] >= 0) THEN [{{'x': r[i].x + (r[i % len(r) + 1].x - r[i].x)*(h[i]/(h[i] - h[i % len(r) + 1])),
+  'y': r[i].y + (r[i % len(r) + 1].y - r[i].y)*(h[i]/(h[i] - h[i % len(r) + 1]))}}] ELSE [] END))) AS r FROM h{k})"""
+
+
+def _plane_sql(lat, lon):
+    """A point (radians) on the plane that touches the sphere at clat, clon."""
+    depth = f"(sin(clat)*sin({lat}) + cos(clat)*cos({lat})*cos({lon} - clon))"
+    return f"""{{'x': cos({lat})*sin({lon} - clon)*(6371220e0/{depth}), 'y': (cos(clat)*sin({lat}) - sin(clat)*cos({lat})*cos({lon} - clon))*(6371220e0/{depth})}}"""
+
+
+def _shoelace_sql(ring):
+    return f"list_sum(list_transform(range(1, len({ring}) + 1), lambda i: {ring}[i].x*{ring}[i % len({ring}) + 1].y - {ring}[i % len({ring}) + 1].x*{ring}[i].y))/2"
+
+
+def overlap_sql(h, cells="mesh"):
+    """CTEs that end in met_areas(cell_id, iy, ix, coarse, fine): every close pair of a square cell of half width ``h`` and a pixel with
+    fires, clipped edge by edge."""
+    angle = "2*asin(least(sqrt(power(cos({0})*cos({1}) - cos({2})*cos({3}), 2) + power(cos({0})*sin({1}) - cos({2})*sin({3}), 2) + power(sin({0}) - sin({2}), 2))/2, 1))"
+    corners = [(-1, -1), (-1, 1), (1, 1), (1, -1)]
+    reach = ", ".join(angle.format(f"lat + h*{a}", f"lon + h*{b}", "lat", "lon") for a, b in corners)
+    share = "(CASE WHEN k <= pieces THEN k ELSE 2*pieces + 1 - k END)::DOUBLE/pieces"
+    ring = _plane_sql("CASE WHEN k <= pieces THEN radians(lat_lo) ELSE radians(lat_hi) END", f"(radians(lon_lo) + (radians(lon_hi) - radians(lon_lo))*({share}))")
+    return f"""ax_lat AS ({LAT_AXIS}), ax_lon AS ({LON_AXIS}),
+lit AS (SELECT DISTINCT y.idx AS iy, x.idx AS ix, y.lo AS lat_lo, y.hi AS lat_hi, x.lo AS lon_lo, x.hi AS lon_hi FROM fires f
+ JOIN ax_lat y ON y.lo <= f.lat AND f.lat < y.hi JOIN ax_lon x ON x.lo <= f.lon AND f.lon < x.hi),
+cc AS (SELECT cell_id, lat, lon, {h} AS h FROM {cells}),
+cr AS (SELECT *, greatest({reach}) + 1e-8 AS reach FROM cc),
+near_ AS (SELECT cell_id, iy, ix, lat AS clat, lon AS clon, h, lat_lo, lat_hi, lon_lo, lon_hi FROM cr, lit
+ WHERE {angle.format("radians((lat_lo + lat_hi)/2)", "radians((lon_lo + lon_hi)/2)", "lat", "lon")} <= reach + radians((lon_hi - lon_lo + lat_hi - lat_lo)/2)),
+steps_ AS (SELECT *, CAST(greatest(1, ceil((lon_hi - lon_lo)/step)) AS BIGINT) AS pieces FROM near_, (SELECT unnest([0.02e0, 0.01e0]) AS step)),
+rings AS (SELECT cell_id, iy, ix, step, list_transform(range(0, 2*pieces + 2), lambda k: {ring}) AS r,
+ [{", ".join(_plane_sql(f"(clat + h*{a})", f"(clon + h*{b})") for a, b in corners)}] AS c FROM steps_),
+c0 AS (SELECT *, sign({_shoelace_sql("c")}) AS turn FROM rings),
+{", ".join(_clip_sql(k) for k in range(4))},
+areas AS (SELECT cell_id, iy, ix, step, CASE WHEN len(r) = 0 THEN 0e0 ELSE abs({_shoelace_sql("r")}) END AS area FROM c4),
+met_areas AS (SELECT cell_id, iy, ix, max(area) FILTER (step > 0.015) AS coarse, max(area) FILTER (step < 0.015) AS fine FROM areas GROUP BY 1, 2, 3)"""
+
+
+@query("overlap_pairs", ["CAST(cell_id AS BIGINT) AS cell_id", "CAST(iy AS INT) AS iy", "CAST(ix AS INT) AS ix", "ROUND(area_fine/1e6, 2) AS area_km2", "decided"], f"""
+WITH {overlap_sql("0.2e0/sqrt((SELECT count(*) FROM supplier))")}
+SELECT cell_id, iy, ix, fine AS area_fine, (coarse > 1) = (fine > 1) AS decided FROM met_areas WHERE fine > 1 OR coarse > 1""", ("fires", "mesh"))
 def overlap_pairs(i):
     h = 0.2 / i.table("supplier").count() ** 0.5  # half width of a cell in radians; cells shrink as they multiply
     cells = i("mesh").select("cell_id", "lat", "lon", F.array(*[F.col("lat") + h * s for s in (-1, -1, 1, 1)]).alias("corner_lat"),

@@ -1,7 +1,6 @@
 """Dominant vegetation category of fires and footprint fire support."""
 from __future__ import annotations
 
-import math
 from itertools import chain
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from gridspark.functions.geometry import chord2, unit_xyz, wrap_from
 from gridspark.functions.numbers import is_finite
 from gridspark.operators.skew import lookup_join, salted_join
+from gridspark.session import settle
 
 # Vegetation code of a fire record to category. 0 unknown, 1 tropical forest,
 # 2 extratropical forest, 3 woody savanna or shrub, 4 grass or crop.
@@ -20,6 +20,8 @@ CROSSWALK = {0: 0, 1: 4, 2: 3, 3: 1, 4: 2, 5: 2, 6: 2, 9: 4}
 MEAN_RTOL, MEAN_ATOL = 2e-5, 0.5
 DENSIFY_STEPS = (0.02, 0.01)
 OVERLAP_RADIUS_M = 6371220.0
+#: finest level of the boxes in which shapes meet: about 24 m wide
+FINEST_BOX = 18
 
 
 def crosswalk(code: Column, table: dict[int, int] | None = None) -> Column:
@@ -193,52 +195,96 @@ def _overlap_batches(batches):
             yield pd.DataFrame({"cell_id": pdf.cell_id, "iy": pdf.iy, "ix": pdf.ix, "area_coarse": coarse, "area_fine": fine})
 
 
-def overlap_pairs(cells: DataFrame, pixels: DataFrame, min_area: float = 1.0, tile_deg: float | None = None) -> tuple[DataFrame, DataFrame]:
+def _box_level(radius: Column) -> Column:
+    """The finest level whose boxes, 2 / 2**level wide, are no narrower than ``radius`` (of the unit sphere)."""
+    return F.greatest(F.least(F.floor(F.log2(F.lit(2.0) / F.greatest(radius, F.lit(1e-9)))), F.lit(FINEST_BOX)), F.lit(0)).cast("int")
+
+
+def _width(level: Column) -> Column:
+    return F.lit(2.0) / F.pow(F.lit(2.0), level)
+
+
+def _box(at: Column, level: Column) -> Column:
+    return F.struct(level.alias("level"), *[F.floor(at[a] / _width(level)).alias(a) for a in "xyz"])
+
+
+def _boxes_within(at: Column, radius: Column, level: Column) -> Column:
+    """All boxes of a level that come within ``radius`` of a point."""
+    w = _width(level)
+    span = {a: F.sequence(F.floor((at[a] - radius) / w), F.floor((at[a] + radius) / w)) for a in "xyz"}
+
+    def apart(i, a):
+        return F.greatest(i * w - at[a], at[a] - (i + 1) * w, F.lit(0.0))
+
+    every = F.flatten(F.transform(span["x"], lambda i: F.flatten(F.transform(span["y"], lambda j: F.transform(
+        span["z"], lambda k: F.struct(level.alias("level"), i.alias("x"), j.alias("y"), k.alias("z")))))))
+    gap = lambda b: sum((F.pow(apart(b[a], a), 2) for a in "xyz"), F.lit(0.0))
+    return F.filter(every, lambda b: gap(b) <= F.pow(radius + 1e-12, 2))
+
+
+def _widest(df: DataFrame, radius: str) -> dict[int, float]:
+    """Largest radius per level; at most ``FINEST_BOX`` + 1 rows."""
+    return {r["level"]: r["r"] for r in df.groupBy("level").agg(F.max(radius).alias("r")).collect()}
+
+
+def _met(big: DataFrame, small: DataFrame, radius: str, widths: dict[int, float], levels: dict[int, float], equal: bool) -> tuple[DataFrame, DataFrame]:
+    """(boxes that each of ``big`` covers at its own level, boxes in which each of ``small`` lies at every coarser level of ``big``).
+
+    ``widths`` are the largest radii of ``small`` by level, ``levels`` those of ``big``; with ``equal`` a level meets itself.
+    """
+    other = {k: max((r for m, r in widths.items() if m > k or equal and m == k), default=None) for k in levels}
+    reach = F.create_map(*[F.lit(x) for k, r in other.items() if r is not None for x in (k, float(r))]) if any(r is not None for r in other.values()) else None
+    if reach is None:
+        covers = big.where("false").withColumn("box", _box(F.col("at"), F.col("level")))
+    else:
+        covers = big.withColumn("_r", F.col(radius) + reach[F.col("level")]).where("_r IS NOT NULL")
+        covers = covers.withColumn("box", F.explode(_boxes_within(F.col("at"), F.col("_r"), F.col("level")))).drop("_r")
+    above = F.filter(F.array(*[F.lit(k) for k in sorted(levels)]).cast("array<int>"), lambda k: (k <= F.col("level")) if equal else (k < F.col("level")))
+    inside = small.withColumn("box", F.explode(F.transform(above, lambda k: _box(F.col("at"), k))))
+    return covers, inside
+
+
+def _keyed(boxed: DataFrame) -> DataFrame:
+    return boxed.select("*", *[F.col(f"box.{k}").alias(f"b_{k}") for k in ("level", "x", "y", "z")]).drop("box", "at", "level")
+
+
+def overlap_boxes(cells: DataFrame, pixels: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Two pairs of tables that meet by ``box``: cells that are as coarse as the pixels or coarser, covering boxes, with the pixels
+    in them; and pixels that are coarser, covering, with the cells in them.
+
+    A box belongs to a hierarchy of cubes around the sphere. Each shape has the level of its own radius, covers the few boxes of that level
+    it can meet a finer shape in, and lies in one box of every coarser level in use. So a pair meets once, and one
+    coarse cell adds a few boxes of its own level and leaves the loads of all others as they are.
+    """
+    cells, pixels = (df.withColumn("level", _box_level(F.col(r))) for df, r in ((cells, "reach"), (pixels, "half")))
+    of_cells, of_pixels = _widest(cells, "reach"), _widest(pixels, "half")
+    return [_met(cells, pixels, "reach", of_pixels, of_cells, True), _met(pixels, cells, "half", of_cells, of_pixels, False)]
+
+
+def overlap_pairs(cells: DataFrame, pixels: DataFrame, min_area: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """(pairs of cell and pixel whose overlap exceeds ``min_area`` m2, pairs that need inspection).
 
     cells(cell_id, lat, lon, corner_lat, corner_lon; radians), pixels(iy, ix, lat_lo, lat_hi, lon_lo,
-    lon_hi; degrees). A cell reaches as far as its own furthest corner, a pixel half its widths;
-    both are put into the latitude/longitude tiles their reach touches and meet by tile. Pairs are
-    settled by the clipped area in a projection about the cell where great circles are straight; the
+    lon_hi; degrees). A cell reaches as far as its own furthest corner, a pixel half its widths; candidates meet in
+    :func:`overlap_boxes`. They are settled by the clipped area in a projection about the cell where great circles are straight; the
     threshold must give one answer at both densifications, else the pair goes to the second output.
     """
     reach = F.array_max(F.zip_with("corner_lat", "corner_lon", lambda a, b: _angle_to(a, b, F.col("lat"), F.col("lon"))))
-    c = cells.withColumn("reach", reach + 1e-8)
+    c = cells.withColumn("reach", reach + 1e-8).withColumn("at", unit_xyz(F.col("lat"), F.col("lon")))
     half = F.radians((F.col("lon_hi") - F.col("lon_lo") + F.col("lat_hi") - F.col("lat_lo")) / 2.0)
     p = pixels.withColumn("plat", F.radians((F.col("lat_lo") + F.col("lat_hi")) / 2.0)).withColumn(
         "plon", F.radians((F.col("lon_lo") + F.col("lon_hi")) / 2.0)).withColumn("half", half)
-    if tile_deg is None:
-        widest = c.agg(F.max("reach").alias("r")).first()["r"]
-        coarse = p.agg(F.max("half").alias("h")).first()["h"]
-        tile_deg = min(90.0, max(0.05, math.degrees((widest or 0.0) + (coarse or 0.0))))
-    n_lon = max(1, int(360.0 // tile_deg))
-
-    def tiles(lat, lon, radius):
-        """Tiles touched by a cap; all columns of a row near the poles."""
-        lo = F.floor((F.degrees(lat - radius) + 90.0) / tile_deg)
-        hi = F.floor((F.degrees(lat + radius) + 90.0) / tile_deg)
-        wide = F.abs(lat) + radius >= F.lit(math.pi / 2 - 1e-9)
-        dlon = F.when(wide, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(F.sin(radius) / F.cos(lat), F.lit(1.0)))))
-        width = 360.0 / n_lon
-        west, east = F.floor((F.degrees(lon) - dlon) / width), F.floor((F.degrees(lon) + dlon) / width)
-        cols = F.array_distinct(F.transform(F.sequence(west, F.least(east, west + n_lon - 1)),
-                                            lambda i: F.pmod(i, F.lit(n_lon))))
-        return F.explode(F.flatten(F.transform(F.sequence(lo, hi), lambda r: F.transform(
-            cols, lambda k: (r * n_lon + k).cast("bigint")))))
-
-    # a pixel sits in the single tile of its centre; the cell reaches out by its radius plus the pixel's
-    wide_half = p.agg(F.max("half").alias("h")).first()["h"] or 0.0
-    ct = c.withColumn("tile", tiles(F.col("lat"), F.col("lon"), F.col("reach") + F.lit(wide_half)))
-    row = F.floor((F.degrees("plat") + 90.0) / tile_deg)
-    col = F.pmod(F.floor(F.degrees("plon") / (360.0 / n_lon)), F.lit(n_lon))
-    pt = p.withColumn("tile", (row * n_lon + col).cast("bigint"))
-    pairs = salted_join(pt, ct, ["tile"])
+    p = p.withColumn("at", unit_xyz(F.col("plat"), F.col("plon")))
     close = _angle_to(F.col("plat"), F.col("plon"), F.col("lat"), F.col("lon")) <= F.col("reach") + F.col("half")
-    cand = pairs.filter(close).select("cell_id", "iy", "ix", "lat", "lon", "corner_lat", "corner_lon",
-                                      "lat_lo", "lat_hi", "lon_lo", "lon_hi")
+    cand = None
+    for covers, inside in overlap_boxes(settle(c), settle(p)):
+        met = salted_join(settle(_keyed(inside)), _keyed(covers), ["b_level", "b_x", "b_y", "b_z"])
+        met = met.filter(close).select("cell_id", "iy", "ix", "lat", "lon", "corner_lat", "corner_lon", "lat_lo", "lat_hi", "lon_lo", "lon_hi")
+        cand = met if cand is None else cand.unionByName(met)
     area = cand.mapInPandas(_overlap_batches, "cell_id bigint, iy int, ix int, area_coarse double, area_fine double")
     above = [F.coalesce(F.col(n) > min_area, F.lit(False)) for n in ("area_coarse", "area_fine")]
     unsure = (above[0] != above[1]) | F.isnan("area_fine")
+    area = settle(area)  # read by both outputs
     return area.filter(~unsure & above[1]).select("cell_id", "iy", "ix", "area_fine"), area.filter(unsure)
 
 
