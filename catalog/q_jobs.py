@@ -18,6 +18,7 @@ from gridspark.plans import model_state as MP
 from gridspark.plans import observations as OP
 from gridspark.session import work_dir
 from gridspark.streaming import departures as SD
+from gridspark.streaming import ledger as SL
 
 # one record per ship date; the 11th of a month is left out so that there are gaps to fill
 SLABS = """SELECT 's' AS series_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS record_id, l_partkey AS src_id, sum(l_quantity) AS a, CAST(sum(CAST(round(l_discount*100) AS BIGINT)) AS DOUBLE) AS b FROM lineitem
@@ -266,26 +267,39 @@ def product_written(i):
     return PR.read_product(i.spark, path).withColumn("decision", F.lit(decisions))
 
 
+OBS_COLUMNS = [
+    "CAST(ts AS TIMESTAMP) AS obs_time", "CAST(event_id % 15 AS INT) AS channel", "concat('inst', CAST(user_id % 3 AS STRING)) AS observer",
+    "value AS obs", "value*0.9E0 + 1.5E0 AS hofx", "1.0E0 + CAST(event_id % 7 AS DOUBLE)/10 AS err0", "CAST(event_id % 4 AS INT) AS qc0",
+    "CAST(user_id % 11 - 5 AS DOUBLE)/10 AS bias", "1.0E0 AS p0", "CAST(event_id % 101 AS DOUBLE)/50 - 1.0E0 AS p1",
+    "value - (value*0.9E0 + 1.5E0) AS ombg", "event_id"]
+ARRIVALS = 4
+
+
+def _arrivals(i, delayed: str):
+    """Events as observations with the number of the delivery they come in: a quarter of the period each; rows where ``delayed`` holds come one later."""
+    rows = i.table("events").selectExpr("*", "unix_micros(CAST(ts AS TIMESTAMP)) AS us")
+    lo, hi = rows.agg(F.min("us"), F.max("us")).first()
+    k = F.floor(F.lit(ARRIVALS) * (F.col("us") - lo) / (hi - lo + 1)) + F.when(F.expr(delayed), 1).otherwise(0)
+    return rows.select(F.least(k, F.lit(ARRIVALS - 1)).alias("k"), *[F.expr(c) for c in OBS_COLUMNS])
+
+
 def _stream(i, make):
-    """Drive the events table through a stream once and read what it emitted; the cycles still open at its end
-    are computed from the rows after the last emitted one."""
+    """Deliver the events in four parts, resuming from the checkpoint each time, and read what the stream emitted.
+
+    A last row two days later closes the cycles that are open at the end; its own cycle stays open.
+    """
     spark = i.spark
     base = f"{work_dir(spark)}/gridspark/stream/{uuid.uuid4().hex}"
-    schema = spark.read.parquet(f"{i.folder}/events.parquet").schema
-    columns = [
-        "CAST(ts AS TIMESTAMP) AS obs_time", "CAST(event_id % 15 AS INT) AS channel", "concat('inst', CAST(user_id % 3 AS STRING)) AS observer",
-        "value AS obs", "value*0.9E0 + 1.5E0 AS hofx", "1.0E0 + CAST(event_id % 7 AS DOUBLE)/10 AS err0", "CAST(event_id % 4 AS INT) AS qc0",
-        "CAST(user_id % 11 - 5 AS DOUBLE)/10 AS bias", "1.0E0 AS p0", "CAST(event_id % 101 AS DOUBLE)/50 - 1.0E0 AS p1",
-        "value - (value*0.9E0 + 1.5E0) AS ombg"]
-    out = make(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(i.folder).selectExpr(*columns))
-    q = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state").option(
-        "path", f"{base}/out").trigger(availableNow=True).start()
-    q.awaitTermination()
-    emitted = spark.read.schema(out.schema).parquet(f"{base}/out")
-    last = emitted.agg(F.max("cycle").alias("c")).first()["c"]
-    rest = spark.read.parquet(f"{i.folder}/events.parquet").selectExpr(*columns)
-    rest = rest if last is None else rest.filter(F.col("obs_time") >= F.lit(last) + F.expr("interval 3 hours"))
-    return emitted.unionByName(make(rest))
+    rows = _arrivals(i, "false")
+    closing = rows.orderBy(F.col("obs_time").desc()).limit(1).withColumn("obs_time", F.col("obs_time") + F.expr("INTERVAL 2 DAYS")).withColumn("k", F.lit(ARRIVALS))
+    rows.where("false").drop("k").write.parquet(f"{base}/in")
+    source = spark.readStream.schema(rows.drop("k").schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{base}/in")
+    out = make(source)
+    for k in range(ARRIVALS + 1):
+        (closing if k == ARRIVALS else rows.where(F.col("k") == k)).drop("k").write.mode("append").parquet(f"{base}/in")
+        out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state").option(
+            "path", f"{base}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
 
 
 CYCLED = """closed AS (SELECT *, time_bucket(INTERVAL 6 HOUR, obs_time + INTERVAL 3 HOUR, TIMESTAMP '2024-01-01') AS c FROM obs)"""
@@ -301,3 +315,48 @@ def stream_departures(i):
 WITH {CYCLED} SELECT c AS cycle, observer, channel, sum(p1*p1/err0) FILTER (qc0 = 0) AS h_1_1, sum(p1*(obs - hofx + bias)/err0) FILTER (qc0 = 0) AS r_1, count(*) FILTER (qc0 = 0) AS n_obs FROM closed GROUP BY 1, 2, 3""", ("obs",))
 def stream_normal_sums(i):
     return _stream(i, lambda o: SD.stream_normal_sums(o, PRED, CH))
+
+
+def _ledger(i, make):
+    """A ledger over four deliveries; a row in 23 comes one delivery late, and the second delivery is added twice."""
+    base = f"{work_dir(i.spark)}/gridspark/ledger/{uuid.uuid4().hex}"
+    rows = _arrivals(i, "event_id % 23 = 5")
+    ledger = make(f"{base}/ledger", rows)
+    rows.where("false").drop("k").write.parquet(f"{base}/in")
+    source = i.spark.readStream.schema(rows.drop("k").schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{base}/in")
+    for k in range(ARRIVALS):
+        rows.where(F.col("k") == k).drop("k").write.mode("append").parquet(f"{base}/in")
+        ledger.run(source, f"{base}/state")
+        if k == 1:
+            ledger.add(rows.where("k = 1").drop("k"), 1)  # as after a failure between the sink and the checkpoint
+    return ledger
+
+
+DELIVERED = f"""u AS (SELECT *, epoch_us(obs_time) AS us FROM obs), span_ AS (SELECT min(us) AS lo, max(us) AS hi FROM u),
+d AS (SELECT u.*, least({ARRIVALS - 1}, floor({ARRIVALS}*(us - lo)/(hi - lo + 1)) + CASE WHEN loc_id % 23 = 5 THEN 1 ELSE 0 END) AS k,
+ time_bucket(INTERVAL 6 HOUR, obs_time + INTERVAL 3 HOUR, TIMESTAMP '2024-01-01') AS c FROM u, span_),
+marks AS (SELECT k + 1 AS k, max(max(obs_time)) OVER (ORDER BY k) - INTERVAL 3 HOUR AS mark FROM d GROUP BY k),
+judged AS (SELECT d.*, mark IS NOT NULL AND c + INTERVAL 3 HOUR <= mark AS late FROM d LEFT JOIN marks ON marks.k = d.k),
+closed AS (SELECT * FROM judged WHERE NOT late AND c + INTERVAL 3 HOUR <= (SELECT max(obs_time) - INTERVAL 3 HOUR FROM d))"""
+
+
+@query("stream_ledger_departures", ["CAST(cycle AS STRING) AS cycle", "observer", "channel", "CAST(n_file AS BIGINT) AS n_file", "CAST(n AS BIGINT) AS n", "ROUND(omb_rms, 7) AS omb_rms", "ROUND(omb_mean, 7) AS omb_mean", "ROUND(jo_b, 7) AS jo_b"], f"""
+WITH {DELIVERED} SELECT c AS cycle, observer, channel, count(*) AS n_file, count(*) FILTER (qc0 <= 1) AS n, sqrt(avg(ombg*ombg) FILTER (qc0 <= 1)) AS omb_rms, avg(ombg) FILTER (qc0 <= 1) AS omb_mean,
+ avg(power(ombg/err0, 2)) FILTER (qc0 <= 1) AS jo_b FROM closed GROUP BY 1, 2, 3""", ("obs",))
+def stream_ledger_departures(i):
+    return SL.departures(_ledger(i, lambda path, rows: SL.Ledger(i.spark, path, CH, SL.departure_sums())).sums(), CH)
+
+
+@query("stream_late_rows", ["CAST(cycle AS STRING) AS cycle", "CAST(batch AS INT) AS batch", "CAST(event_id AS BIGINT) AS event_id"], f"""
+WITH {DELIVERED} SELECT c AS cycle, CAST(k AS INT) AS batch, loc_id AS event_id FROM judged WHERE late""", ("obs",))
+def stream_late_rows(i):
+    return _ledger(i, lambda path, rows: SL.Ledger(i.spark, path, CH, SL.departure_sums())).late()
+
+
+@query("stream_coefficients", ["CAST(cycle AS STRING) AS cycle", "observer", "predictor", "ROUND(beta, 6) AS beta", "CAST(n_obs AS BIGINT) AS n_obs"], f"""
+WITH {DELIVERED}, s AS ({SUMS_SQL.replace("channel, ", "cycle, ").replace("FROM obs", "FROM (SELECT *, c AS cycle_ FROM closed)").replace("observer, cycle,", "observer, cycle_,")})
+SELECT cycle_ AS cycle, * EXCLUDE (cycle_) FROM ({_solve_sql().replace("channel", "cycle_")}) WHERE n_obs >= 5""", ("obs",))
+def stream_coefficients(i):
+    """Bias coefficients per cycle and observer from sums kept over batches, where there are enough rows for two coefficients."""
+    ledger = _ledger(i, lambda path, rows: SL.normal_ledger(i.spark, path, PRED, ["observer"], rows))
+    return SL.coefficients(ledger.sums().where("n_obs >= 5"), PRED, ["observer"])

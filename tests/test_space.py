@@ -125,11 +125,11 @@ def test_overlap_area_at_the_equator(spark):
 
 
 def test_overlap_finds_every_pair(spark):
-    """All pairs that share area are found, whatever the tile width, with cells up to the poles."""
-    lat = [-89.0, -60.3, 0.1, 45.2, 88.7]
+    """All pairs that share area are found, with cells up to the poles, coarser and finer than the pixels."""
+    lat = [-89.0, -60.3, 0.1, 45.2, 88.7, 20.0, -33.3, 60.1]
     cells = None
     for k, la in enumerate(lat):
-        c = cell(spark, la, 35.0 * k - 80, .6).withColumn("cell_id", F.lit(k).cast("bigint"))
+        c = cell(spark, la, 35.0 * k - 80, [.6, .6, .6, .6, .6, 7.0, .01, 2.5][k]).withColumn("cell_id", F.lit(k).cast("bigint"))
         cells = c if cells is None else cells.union(c)
     grid = spark.range(180).select(F.explode(F.sequence(F.lit(0), F.lit(359))).alias("ix"), F.col("id").cast("int").alias("iy")).select(
         "iy", "ix", (F.col("ix") - 180.0).alias("lon_lo"), (F.col("ix") - 179.0).alias("lon_hi"), (F.col("iy") - 90.0).alias("lat_lo"), (F.col("iy") - 89.0).alias("lat_hi"))
@@ -138,15 +138,36 @@ def test_overlap_finds_every_pair(spark):
     pdc, pdp = cells.toPandas(), grid.toPandas()
     want = set()
     for c in pdc.itertuples():
-        near = pdp[(pdp.lat_hi > math.degrees(c.lat) - 1.2) & (pdp.lat_lo < math.degrees(c.lat) + 1.2)]
+        reach = 1.2 + math.degrees(max(c.corner_lat) - c.lat)
+        near = pdp[(pdp.lat_hi > math.degrees(c.lat) - reach) & (pdp.lat_lo < math.degrees(c.lat) + reach)]
+        if abs(math.degrees(c.lat)) < 60:
+            near = near[abs((near.lon_lo - math.degrees(c.lon) + 180) % 360 - 180) < 3 * reach]
         for q in near.itertuples():
             row = pd.Series(dict(lat=c.lat, lon=c.lon, corner_lat=c.corner_lat, corner_lon=c.corner_lon, lat_lo=q.lat_lo, lat_hi=q.lat_hi, lon_lo=q.lon_lo, lon_hi=q.lon_hi))
             if V._areas(pd.DataFrame([row]), 0.01)[0] > 1.0:
                 want.add((c.cell_id, q.iy, q.ix))
-    for tile in (None, 3.0):
-        hits, unsure = V.overlap_pairs(cells, grid, tile_deg=tile)
-        got = {(r["cell_id"], r["iy"], r["ix"]) for r in hits.collect()}
-        assert got == want and len(want) >= 20
+    hits, unsure = V.overlap_pairs(cells, grid)
+    got = [(r["cell_id"], r["iy"], r["ix"]) for r in hits.collect()]
+    assert sorted(got) == sorted(want) and len(want) >= 150  # each pair once
+
+
+def test_a_coarse_cell_adds_a_few_boxes(spark):
+    fine = spark.range(2000).select(F.col("id").alias("cell_id"), (F.rand(4) * 1.2).alias("lat"), (F.rand(5) * 1.5).alias("lon"), F.lit(0.004).alias("reach"))
+    pixels = spark.range(3000).select(F.col("id").cast("int").alias("ix"), (F.rand(6) * 1.2).alias("lat"), (F.rand(7) * 1.5).alias("lon"), F.lit(0.003).alias("half"))
+    at = lambda df: df.withColumn("at", G.unit_xyz(F.col("lat"), F.col("lon")))
+    coarse = spark.createDataFrame([(9999, 0.5, 0.5, 0.4)], fine.schema)
+
+    def loads(cells):
+        (covers, inside), (above, below) = V.overlap_boxes(at(cells), at(pixels))
+        assert above.count() == 0 == below.count()
+        count = lambda df: {r["box"]: r["count"] for r in df.groupBy("box").count().collect()}
+        return count(covers), count(inside)
+
+    few, many = loads(fine), loads(fine.unionByName(coarse))
+    level = {b.level for b in few[0]}
+    assert {b: n for b, n in many[0].items() if b.level in level} == few[0]
+    assert {b: n for b, n in many[1].items() if b.level in level} == few[1]
+    assert sum(many[0].values()) - sum(few[0].values()) <= 125
 
 
 def test_pixels_half_open(spark):
