@@ -8,6 +8,7 @@ from gridspark.functions.errors import BANDS_3, BANDS_7, error_ramp, error_stepw
 from gridspark.functions.numbers import is_valid
 from gridspark.operators import bias as B
 from gridspark.operators import departures as D
+from gridspark.operators import error_tables as T
 from gridspark.operators import qc as Q
 
 STAT_COLS = ["CAST(cycle AS STRING) AS cycle", "observer", "channel", "CAST(n_file AS BIGINT) AS n_file", "CAST(n AS BIGINT) AS n",
@@ -243,6 +244,34 @@ def error_stepwise_query(i):
         "down", error_stepwise(F.col("obs"), X[::-1], E[::-1]))
 
 
+# a ramp per channel: as many channels as nations
+RAMPS = "SELECT n_nationkey AS channel, 5E0 + n_nationkey AS x0, 40E0 + n_nationkey*2E0 AS x1, 0.05E0 + n_nationkey*0.01E0 AS e0, 0.3E0 + n_nationkey*0.02E0 AS e1 FROM nation WHERE n_nationkey % 4 <> 3"
+
+
+@query("error_ramp_channels", ["loc_id", "ROUND(e, 9) AS e"], f"""
+SELECT loc_id, CASE WHEN obs <= x0 THEN e0 WHEN obs >= x1 THEN e1 ELSE e0 + (obs - x0)/(x1 - x0)*(e1 - e0) END AS e FROM obs o LEFT JOIN ({RAMPS}) r ON r.channel = o.channel""", ("obs",))
+def error_ramp_channels(i):
+    return T.assign_errors(i("obs"), T.ramp_rules(i.sql(RAMPS).withColumnsRenamed({"e0": "err0", "e1": "err1"})), "obs", channel="channel", error="e")
+
+
+# four bands of latitude with a curve of heights each, times the observed value; on a common bound the later band counts
+CURVES = [(-90.0, -30.0, [0.0, 300.0, 600.0], [0.02, 0.05, 0.03]), (-30.0, 0.0, [900.0, 100.0], [0.4, 0.1]), (0.0, 45.5, [0.0, 50.0, 50.5, 700.0], [1.0, 2.0, 4.0, 5.0]), (45.5, 90.0, [10.0, 20.0], [0.5, 0.25])]
+
+
+def _curve_sql(xs, es):
+    pairs = sorted(zip(xs, es))
+    steps = " ".join(f"WHEN station_height <= {b!r} THEN {ea!r} + (station_height - {a!r})*{eb - ea!r}/{b - a!r}" for (a, ea), (b, eb) in zip(pairs, pairs[1:]))
+    return f"CASE WHEN station_height <= {pairs[0][0]!r} THEN {pairs[0][1]!r} {steps} ELSE {pairs[-1][1]!r} END"
+
+
+@query("error_stepwise_bands", ["loc_id", "ROUND(e, 8) AS e"], "SELECT loc_id, obs*(CASE " + " ".join(
+    f"WHEN lat >= {lo!r} AND lat <= {hi!r} THEN {_curve_sql(xs, es)}" for lo, hi, xs, es in CURVES[::-1]) + " END) AS e FROM obs", ("obs",))
+def error_stepwise_bands(i):
+    params = i.spark.createDataFrame([(lo, hi, xs, es, "obs", k) for k, (lo, hi, xs, es) in enumerate(CURVES)],
+                                     "lat_min double, lat_max double, xvals array<double>, errors array<double>, scale string, priority int")
+    return T.assign_errors(i("obs"), T.stepwise_rules(params), "station_height", "lat", scales=("obs",), error="e")
+
+
 @query("valid_mask", ["loc_id", "ok"], "SELECT event_id AS loc_id, NOT (event_id % 13 IN (0, 5, 7)) AS ok FROM events")
 def valid_mask(i):
     x = i.sql("SELECT event_id AS loc_id, CASE event_id % 13 WHEN 0 THEN -3.3687953E38 WHEN 5 THEN double('NaN') WHEN 7 THEN NULL ELSE value END AS v FROM events")
