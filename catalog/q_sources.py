@@ -192,3 +192,15 @@ def product_checks(i):
 SELECT src_id, max(CASE WHEN field = 'f0' THEN value END) AS f0, max(CASE WHEN field = 'f3' THEN value END) AS f3 FROM grid_values GROUP BY src_id""", ("grid_values",))
 def product_wide(i):
     return PR.widen_fields(i("grid_values"), ["f0", "f1", "f2", "f3", "f4"], ["src_id"])
+
+
+@query("first_pattern", ["name", "CAST(n AS BIGINT) AS n"], """
+SELECT 'labels.parquet' AS name, count(*) AS n FROM labels UNION ALL SELECT 'lineitem.parquet', count(*) FROM lineitem""")
+def first_pattern(i):
+    """The files of the first pattern that matches any, with their rows; patterns before it name no file or an unset variable."""
+    patterns = ["{folder}/none-*.parquet", "$GRIDSPARK_UNSET_FOLDER/*.parquet", "{folder}/l*.parquet", "{folder}/*.parquet"]
+    out = None
+    for path in GR.first_available(i.spark, patterns, folder=i.folder):
+        part = i.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(path.rstrip("/").rsplit("/", 1)[1]))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -1,6 +1,8 @@
 """Weights, units, scaling, grids and meshes."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -11,6 +13,8 @@ from gridspark.operators import points as P
 from gridspark.operators import scaling as S
 from gridspark.operators import weights as W
 from gridspark.operators.identity import changed_ranges
+from gridspark.session import work_dir
+from gridspark.sources import weight_store as WS
 
 NONE_COLS = ["rule", "CAST(n AS BIGINT) AS n"]
 
@@ -23,6 +27,21 @@ def weight_apply(i):
     return W.apply_weights(i("grid_values"), i("weights"), ["field"])
 
 
+@query("weight_apply_stored", ["field", "CAST(dst_id AS BIGINT) AS dst_id", "ROUND(value, 4) AS value"], APPLY_SQL, ("weights", "grid_values"))
+def weight_apply_stored(i):
+    """Weights validated and laid out in buckets once, opened again and applied: only the values are shuffled."""
+    path = f"{work_dir(i.spark)}/gridspark/weights/{uuid.uuid4().hex}"
+    links = i("weights")
+    n_dst, n_src = (links.agg(F.max(c) + 1).first()[0] for c in ("dst_id", "src_id"))
+    # ids that the given tables leave out hold themselves, so that the table is complete
+    gaps = i.spark.range(n_dst).select(F.col("id").alias("dst_id")).join(links.select("dst_id").distinct(), "dst_id", "left_anti")
+    links = links.select("dst_id", "src_id", "s").unionByName(gaps.select("dst_id", F.lit(0).cast("bigint").alias("src_id"), F.lit(1.0).alias("s")))
+    WS.store_weights(links, path, n_dst, n_src, "grid", "mesh")
+    stored = WS.open_weights(i.spark, path)
+    done = W.apply_weights(i("grid_values"), stored, ["field"])
+    return done.join(gaps, "dst_id", "left_anti")
+
+
 @query("conservation", ["field", "ROUND(src_total, 2) AS src_total", "ROUND(dst_total, 2) AS dst_total", "ROUND(rel_diff, 6) AS rel_diff", "ok"], f"""
 SELECT s.field, src_total, dst_total, abs(dst_total - src_total)/abs(src_total) AS rel_diff,
        abs(dst_total - src_total)/abs(src_total) <= 0.00005 AS ok

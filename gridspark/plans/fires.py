@@ -3,13 +3,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.operators import days, points, vegetation, weights
 from gridspark.operators.nearest import nearest_cell
 from gridspark.operators.skew import lookup_join
 from gridspark.plans.inventories import Result
+from gridspark.plans.refresh import publish_dense
 from gridspark.session import settle
 from gridspark.sources.products import finite_violations, violation_table
 
@@ -90,11 +91,21 @@ def fire_emissions(fires: DataFrame, mesh: DataFrame, plan: FirePlan, index: Dat
             "daily": Result(size, violation_table(size_checks), {"days": size_resolved})}
 
 
+def hourly_axes(fields: list[str], start: str, end: str) -> dict[str, Column]:
+    """Every hour of the period and every field, as the axes of a dense product."""
+    a, b = F.lit(start).cast("timestamp"), F.lit(end).cast("date").cast("timestamp") + F.expr("interval 23 hours")
+    return {"valid_time": F.sequence(a, b, F.expr("interval 1 hour")), "field": F.array(*[F.lit(f) for f in fields])}
+
+
 def dense_hourly(hourly: DataFrame, mesh: DataFrame, fields: list[str], start: str, end: str) -> DataFrame:
     """Every cell, hour and field of the period, zero where nothing burned."""
-    a, b = F.lit(start).cast("timestamp"), F.lit(end).cast("date").cast("timestamp") + F.expr("interval 23 hours")
-    axes = {"valid_time": F.sequence(a, b, F.expr("interval 1 hour")), "field": F.array(*[F.lit(f) for f in fields])}
-    return weights.densify(hourly, mesh, axes)
+    return weights.densify(hourly, mesh, hourly_axes(fields, start, end))
+
+
+def publish_hourly(hourly: Result, mesh: DataFrame, plan: FirePlan, path: str) -> int:
+    """The hourly result as a dense product per field, refused as a whole while a violation is left; its version."""
+    fields = [f for f in plan.species.values() if plan.kinds[f] != "scalar"]
+    return publish_dense(hourly, mesh, hourly_axes(sorted(fields), plan.start, plan.end), path, ("field",))
 
 
 def point_vegetation(fires: DataFrame, mesh: DataFrame, fire_size: DataFrame, index: DataFrame | None = None,
