@@ -8,18 +8,20 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions import geometry as G
-from gridspark.operators.skew import lookup_join, salted_join
+from gridspark.operators.skew import lookup_join
 from gridspark.session import settle
 
 MAX_CANDIDATES = 32
+#: an octree node with more cells is split
+NODE_CELLS = 8
 STEP = 2
-DEEPEST = 22
-BROADCAST_BOXES = 100_000
+DEEPEST = 20
 _MARGIN = 1e-12
+_SPREAD = ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249))
 
 
 def _box_of(axis: Column, level: Column) -> Column:
@@ -28,80 +30,165 @@ def _box_of(axis: Column, level: Column) -> Column:
     return F.least(F.floor((axis + 1.0) / 2.0 * n), n - 1).cast("int")
 
 
-def _split(boxes: DataFrame, level: int) -> DataFrame:
-    """Children (two levels down) of every box with the candidates that may win somewhere inside.
+def morton(x: Column, y: Column, z: Column) -> Column:
+    """One number whose bits are those of three box indices in turn (21 bits each); the boxes of a larger box are a run of numbers."""
+    def spread(v):
+        v = v.cast("bigint")
+        for shift, mask in _SPREAD:
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(x), 2).bitwiseOR(F.shiftleft(spread(y), 1)).bitwiseOR(spread(z))
+
+
+def box_indices(code: Column) -> dict[str, Column]:
+    """The three indices of a Morton number."""
+    def gather(v):
+        v = v.bitwiseAND(F.lit(_SPREAD[-1][1]))
+        for (shift, _), mask in zip(_SPREAD[::-1], [m for _, m in _SPREAD[-2::-1]] + [0x1FFFFF]):
+            v = v.bitwiseOR(F.shiftright(v, shift)).bitwiseAND(F.lit(mask))
+        return v.cast("int")
+
+    return {"bx": gather(F.shiftright(code, 2)), "by": gather(F.shiftright(code, 1)), "bz": gather(code)}
+
+
+def _geometry(level: Column) -> tuple[dict[str, Column], Column]:
+    """Centre by axis and half width of the boxes (bx, by, bz) of a level."""
+    half = F.lit(1.0) / F.pow(F.lit(2.0), level)
+    return {a: (F.col(f"b{a}") * 2.0 + 1.0) * half - 1.0 for a in "xyz"}, half
+
+
+def _on_sphere(centre: dict[str, Column], half: Column) -> Column:
+    near = sum((F.pow(F.greatest(F.abs(centre[a]) - half, F.lit(0.0)), 2) for a in "xyz"), F.lit(0.0))
+    far = sum((F.pow(F.abs(centre[a]) + half, 2) for a in "xyz"), F.lit(0.0))
+    return (near <= 1.0 + 1e-9) & (far >= 1.0 - 1e-9)
+
+
+BOX = ["level", "bx", "by", "bz"]
+
+
+def _winners(pairs: DataFrame) -> DataFrame:
+    """Pairs of box and cell without the cells that win nowhere in the box.
 
     Cell c can beat cell w at a point p of the sphere only if p.(c - w) >= 0; the largest value
     over a box is the value at its centre plus half its width times |c - w| summed by axis.
     """
-    n = 2**level
-    half = 1.0 / n
-    side = range(2**STEP)
-    kids_of = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k"))
-                        for i in side for j in side for k in side])
-    shift = 2**STEP
-    kids = boxes.withColumn("o", F.explode(kids_of)).select(
-        (F.col("bx") * shift + F.col("o.i")).alias("bx"), (F.col("by") * shift + F.col("o.j")).alias("by"),
-        (F.col("bz") * shift + F.col("o.k")).alias("bz"), "cell_id", "x", "y", "z")
-    centre = {a: (F.col(f"b{a}") + 0.5) * (2.0 / n) - 1.0 for a in "xyz"}
-    near = sum((F.pow(F.greatest(F.abs(centre[a]) - half, F.lit(0.0)), 2) for a in "xyz"), F.lit(0.0))
-    far = sum((F.pow(F.abs(centre[a]) + half, 2) for a in "xyz"), F.lit(0.0))
-    kids = kids.filter((near <= 1.0 + 1e-9) & (far >= 1.0 - 1e-9))
+    centre, half = _geometry(F.col("level"))
     d2 = G.chord2(centre["x"], centre["y"], centre["z"], F.col("x"), F.col("y"), F.col("z"))
-    best = kids.groupBy("bx", "by", "bz").agg(
-        F.min_by(F.struct("x", "y", "z"), F.struct(d2.alias("d"), F.col("cell_id"))).alias("w"))
-    pairs = kids.join(best, ["bx", "by", "bz"])
+    best = pairs.groupBy(*BOX).agg(F.min_by(F.struct("x", "y", "z"), F.struct(d2.alias("d"), F.col("cell_id"))).alias("w"))
+    both = pairs.join(best, BOX)
     diff = {a: F.col(a) - F.col(f"w.{a}") for a in "xyz"}
     at_centre = sum((centre[a] * diff[a] for a in "xyz"), F.lit(0.0))
     reach = sum((F.abs(diff[a]) for a in "xyz"), F.lit(0.0)) * half
-    return pairs.filter(at_centre + reach >= -_MARGIN).drop("w")
+    return both.filter(at_centre + reach >= -_MARGIN).select(*BOX, "cell_id", "x", "y", "z")
+
+
+def _split(boxes: DataFrame) -> DataFrame:
+    """Children (``STEP`` levels down) of every box with the candidates that may win somewhere inside."""
+    side = range(2**STEP)
+    kids_of = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k"))
+                        for i in side for j in side for k in side])
+    kids = boxes.withColumn("o", F.explode(kids_of)).select(
+        (F.col("level") + STEP).alias("level"), *[(F.col(f"b{a}") * 2**STEP + F.col(f"o.{o}")).alias(f"b{a}") for a, o in zip("xyz", "ijk")], "cell_id", "x", "y", "z")
+    return _winners(kids.filter(_on_sphere(*_geometry(F.col("level")))))
+
+
+def _leaves(cells: DataFrame) -> DataFrame:
+    """Leaves (level, node, x, y, z) of an octree over the cells: surface boxes with at most ``NODE_CELLS`` cells, each with the
+    position of one cell in it, or else in the node above.
+
+    Cells are sorted by Morton number, so the nodes of every level are runs of numbers, counted where they lie.
+    """
+    levels = F.explode(F.array(*[F.lit(k) for k in range(0, DEEPEST + 1, STEP)])).alias("level")
+    at = cells.select("code", "cell_id", "x", "y", "z", levels)
+    node = F.expr(f"shiftright(code, 3 * ({DEEPEST} - level))")
+    nodes = settle(at.groupBy("level", node.alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("x", "y", "z"), "cell_id").alias("at")))
+    inner = nodes.filter((F.col("n") > NODE_CELLS) & (F.col("level") < DEEPEST) | (F.col("level") == 0))
+    kids = inner.select((F.col("level") + STEP).alias("level"), F.explode(F.sequence(F.lit(0), F.lit(8**STEP - 1))).alias("k"), "node", F.col("at").alias("above"))
+    kids = kids.select("level", (F.shiftleft("node", 3 * STEP) + F.col("k")).alias("node"), "above")
+    kids = kids.select("level", "node", "above", *[c.alias(n) for n, c in box_indices(F.col("node")).items()])
+    kids = kids.filter(_on_sphere(*_geometry(F.col("level"))))
+    kids = kids.join(inner.select("level", "node"), ["level", "node"], "left_anti").join(nodes.select("level", "node", "at"), ["level", "node"], "left")
+    return kids.select(*BOX, F.coalesce("at", "above").alias("at"))
+
+
+def _seeds(cells: DataFrame) -> DataFrame:
+    """Candidate pairs (level, bx, by, bz, cell_id, x, y, z) of every leaf.
+
+    No point of a box is farther from its nearest cell than from the known one, so candidates lie within the distance of that cell from the
+    centre and the diagonal. They are looked up in the at most 27 boxes, no narrower than this, around the centre.
+    """
+    leaves = _leaves(cells)
+    centre, half = _geometry(F.col("level"))
+    leaves = leaves.select(*BOX, F.struct(*[centre[a].alias(a) for a in "xyz"]).alias("c"), half.alias("half"), "at")
+    away = F.sqrt(G.chord2(F.col("c.x"), F.col("c.y"), F.col("c.z"), F.col("at.x"), F.col("at.y"), F.col("at.z")))
+    radius = away + F.col("half") * (2 * 3**0.5) + 1e-9
+    leaves = leaves.withColumn("radius", radius)
+    fit = F.floor(F.log2(F.lit(2.0) / F.col("radius")) / STEP) * STEP
+    leaves = settle(leaves.withColumn("g", F.least(F.greatest(fit, F.lit(0)), F.lit(DEEPEST)).cast("int")))
+    used = sorted(r["g"] for r in leaves.select("g").distinct().collect())  # at most one per level
+    n = F.pow(F.lit(2.0), F.col("g"))
+
+    def span(a):
+        lo, hi = (F.floor((F.col(f"c.{a}") + s * F.col("radius") + 1.0) / 2.0 * n) for s in (-1, 1))
+        return F.sequence(F.greatest(lo, F.lit(0)).cast("int"), F.least(hi, n - 1).cast("int"))
+
+    around = leaves
+    for a in "xyz":
+        around = around.withColumn(f"g{a}", F.explode(span(a)))
+    around = around.withColumn("node", morton(F.col("gx"), F.col("gy"), F.col("gz"))).drop("gx", "gy", "gz")
+    keyed = cells.withColumn("g", F.explode(F.array(*[F.lit(k) for k in used]))).withColumn("node", F.expr(f"shiftright(code, 3 * ({DEEPEST} - g))"))
+    met = around.join(keyed.drop("code"), ["g", "node"])
+    close = G.chord2(F.col("c.x"), F.col("c.y"), F.col("c.z"), F.col("x"), F.col("y"), F.col("z")) <= F.pow("radius", 2)
+    return met.filter(close).select(*BOX, "cell_id", "x", "y", "z")
 
 
 def cell_index(mesh: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
-    """Box table (level, bx, by, bz, cands) of a mesh(cell_id, lat, lon in radians).
+    """Box table (level, bx, by, bz, chunk, cands) of a mesh(cell_id, lat, lon in radians).
 
-    Boxes are split until each has at most ``max_candidates`` candidates. Where many cells are equally near
-    to one point (the ring around a pole), the box with that point keeps them all at the deepest level, a few metres
-    wide: as many as tie there. Centres that coincide are represented by the lowest id. Each round is one
-    distributed pass over mesh-sized data, written before the next; a mesh of n cells needs about
-    log16(n / max_candidates) rounds. Write the result beside the mesh and reuse it.
+    The boxes begin as leaves of an octree that is as fine as the mesh is, so their number follows the number of cells from the first
+    round on; boxes with more than ``max_candidates`` candidates are split until none is left. Where many cells are equally near
+    to one point (the ring around a pole), the box with that point keeps them all at the deepest level, in as many rows of
+    at most ``max_candidates`` as it takes (``chunk`` numbers them). Centres that coincide are represented by the lowest id. Each round is
+    one distributed pass, written before the next. Write the result beside the mesh and reuse it.
     """
     at = mesh.select("cell_id", G.unit_xyz(F.col("lat"), F.col("lon")).alias("p")).select("cell_id", "p.*")
-    cells = at.groupBy("x", "y", "z").agg(F.min("cell_id").alias("cell_id"))
-    origin = F.lit(0).cast("int")
-    box = ["bx", "by", "bz"]
-    open_boxes = cells.select(origin.alias("bx"), origin.alias("by"), origin.alias("bz"), "cell_id", "x", "y", "z")
-    done = []
-    for level in range(STEP, DEEPEST + 1, STEP):
-        tried = settle(_split(open_boxes, level))
-        counts = tried.groupBy(*box).agg(F.count(F.lit(1)).alias("n"))
-        limit = max_candidates if level + STEP <= DEEPEST else 2**31 - 1
-        over = counts.filter(F.col("n") > limit)
+    code = morton(*[_box_of(F.col(a), F.lit(DEEPEST)) for a in "xyz"])
+    cells = settle(at.groupBy("x", "y", "z").agg(F.min("cell_id").alias("cell_id")).withColumn("code", code).repartitionByRange("code").sortWithinPartitions("code"))
+    tried, done = settle(_winners(settle(_seeds(cells)))), []
+    while True:
+        counts = tried.groupBy(*BOX).agg(F.count(F.lit(1)).alias("n"))
+        over = settle(counts.filter((F.col("n") > max_candidates) & (F.col("level") + STEP <= DEEPEST)).drop("n"))
         last = over.isEmpty()
-        ready = tried if last else tried.join(counts.filter(F.col("n") <= limit), box, "left_semi")
-        done.append(ready.groupBy(*box).agg(
-            F.collect_list(F.struct("cell_id", "x", "y", "z")).alias("cands")).withColumn("level", F.lit(level)))
+        done.append(tried if last else tried.join(over, BOX, "left_anti"))
         if last:
             break
-        open_boxes = tried.join(over, box, "left_semi")
-    return settle(functools.reduce(DataFrame.unionByName, done).select("level", *box, "cands"))
+        tried = settle(_split(tried.join(over, BOX, "left_semi")))
+    # candidates in chunks: a hash deals them, so no row holds more than a few more than the limit
+    pairs = functools.reduce(DataFrame.unionByName, done)
+    nth = F.row_number().over(Window.partitionBy(*BOX).orderBy("cell_id")) - 1
+    pairs = pairs.withColumn("chunk", F.floor(nth / max_candidates).cast("int"))
+    return settle(pairs.groupBy(*BOX, "chunk").agg(F.collect_list(F.struct("cell_id", "x", "y", "z")).alias("cands")))
 
 
 def nearest_cell(points: DataFrame, mesh: DataFrame, interior_only: bool = False, reject_outside: bool = False,
                  factor: float = 2.5, radius_m: float = G.SPHERE_RADIUS_M, lat: str = "lat", lon: str = "lon",
-                 index: DataFrame | None = None, broadcast_boxes: int = BROADCAST_BOXES) -> DataFrame:
+                 index: DataFrame | None = None) -> DataFrame:
     """points(lat, lon in degrees, ...) gain cell_id, distance_km and accepted.
 
     Ties go to the lowest cell_id. Points that are not finite or beyond the poles get -1. With
     ``reject_outside`` a point farther than ``factor * sqrt(area / pi)`` from its cell, or outside
     its polygon when the mesh has ``corner_lat``/``corner_lon``, gets -1 as well.
-    ``index`` is a table written by :func:`cell_index` for the same cells.
+    ``index`` is a table written by :func:`cell_index` for the same cells; by its bytes Spark decides whether it is broadcast.
     """
     if reject_outside and factor <= 0:
         raise ValueError("factor must be positive")
     used = mesh.filter(F.col("bdy_mask") == 0) if interior_only else mesh
     boxes = cell_index(used) if index is None else index
-    facts = boxes.agg(F.collect_set("level").alias("levels"), F.count(F.lit(1)).alias("n")).first()
+    chunk = F.max("chunk") if "chunk" in boxes.columns else F.lit(0)
+    facts = boxes.agg(F.collect_set("level").alias("levels"), chunk.alias("chunk")).first()
+    if not facts["levels"]:
+        raise ValueError("the mesh has no cells")
     inf = float("inf")
     fine = (F.abs(F.col(lat)) <= 90.0) & ~F.isnan(lon) & (F.abs(F.col(lon)) < inf)
     # a point without a usable position is looked up at (1, 0, 0) and given -1 afterwards
@@ -111,16 +198,23 @@ def nearest_cell(points: DataFrame, mesh: DataFrame, interior_only: bool = False
     keyed = p.withColumn("level", F.explode(F.array(*[F.lit(v) for v in sorted(facts["levels"])])))
     for a in "xyz":
         keyed = keyed.withColumn(f"b{a}", _box_of(F.col(f"_p.{a}"), F.col("level")))
-    box = ["level", "bx", "by", "bz"]
     # every position lies in exactly one box over all levels, so the inner join restores one row per point
-    if facts["n"] <= broadcast_boxes:
-        joined = keyed.join(F.broadcast(boxes), box)
-    else:
-        joined = salted_join(keyed, boxes, box)
     px, py, pz = (F.col(f"_p.{a}") for a in "xyz")
     scored = F.transform("cands", lambda c: F.struct(
         G.chord2(px, py, pz, c["x"], c["y"], c["z"]).alias("d"), c["cell_id"].alias("cell_id")))
-    hit = joined.withColumn("_n", F.array_min(scored))
+    best = F.array_min(scored)
+    if not facts["chunk"]:
+        hit = keyed.join(boxes.drop("chunk"), BOX).withColumn("_n", best).drop("cands", *BOX)
+    else:
+        # a box of many equally near cells has several rows: its few points keep the best of them
+        numbered = keyed.withColumn("_row", F.monotonically_increasing_id())
+        crowded = boxes.filter("chunk > 0").select(*BOX).distinct().withColumn("_crowded", F.lit(True))
+        sorted_ = settle(lookup_join(numbered, crowded, BOX))
+        plain = sorted_.filter("_crowded IS NULL").join(boxes.drop("chunk"), BOX).withColumn("_n", best)
+        several = sorted_.filter("_crowded").join(boxes.drop("chunk"), BOX).withColumn("_n", best)
+        point = [c for c in numbered.columns if c not in (*BOX, "_row")]
+        several = several.groupBy("_row").agg(*[F.first(c).alias(c) for c in point], F.min("_n").alias("_n"))
+        hit = plain.select(*point, "_n").unionByName(several.select(*point, "_n"))
     angle = G.chord_to_angle(F.sqrt("_n.d"))
     hit = hit.withColumn("cell_id", F.when(F.col("_ok"), F.col("_n.cell_id")).otherwise(F.lit(-1)).cast("bigint"))
     hit = hit.withColumn("distance_km", F.when(F.col("_ok"), angle * (radius_m / 1000.0)))
@@ -136,4 +230,4 @@ def nearest_cell(points: DataFrame, mesh: DataFrame, interior_only: bool = False
         hit = hit.withColumn("_ok", F.col("_ok") & F.coalesce(near, F.lit(False)))
         hit = hit.withColumn("cell_id", F.when(F.col("_ok"), F.col("cell_id")).otherwise(F.lit(-1).cast("bigint")))
         hit = hit.drop("_area", "_clat", "_clon", *shape)
-    return hit.withColumnRenamed("_ok", "accepted").drop("_p", "_n", "cands", *box)
+    return hit.withColumnRenamed("_ok", "accepted").drop("_p", "_n")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import geometry as G
 from gridspark.operators import mesh as M
 from gridspark.operators import vegetation as V
-from gridspark.operators.nearest import cell_index, nearest_cell
+from gridspark.operators.nearest import box_indices, cell_index, morton, nearest_cell
 
 R = G.SPHERE_RADIUS_M
 
@@ -35,15 +35,62 @@ def scattered(spark):
     return mesh, points, d
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_nearest_equals_brute_force(scattered, limit):
+@pytest.mark.parametrize(("limit", "threshold"), [(16, "10m"), (2, "-1")])
+def test_nearest_equals_brute_force(spark, scattered, limit, threshold):
     mesh, points, d = scattered
-    out = nearest_cell(points, mesh, index=cell_index(mesh, 16), broadcast_boxes=limit).toPandas().sort_values("pid")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = nearest_cell(points, mesh, index=cell_index(mesh, limit)).toPandas().sort_values("pid")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(out) == 900
     assert (out.cell_id.to_numpy() == d.argmin(1)).all()
     assert np.allclose(out.distance_km, 2 * np.arcsin(np.sqrt(d.min(1)) / 2) * R / 1000)
 
 
+def test_morton_numbers_are_runs_of_boxes(spark):
+    rng = np.random.default_rng(3)
+    xs = rng.integers(0, 2**20, (200, 3))
+    df = spark.createDataFrame([tuple(map(int, r)) for r in xs], "x int, y int, z int")
+    code = morton(F.col("x"), F.col("y"), F.col("z"))
+    back = df.withColumn("code", code).select("x", "y", "z", "code", *[c.alias(n) for n, c in box_indices(F.col("code")).items()])
+    for r in back.collect():
+        assert (r.x, r.y, r.z) == (r.bx, r.by, r.bz)
+        assert r.code == sum((v >> k & 1) << 3 * k + 2 - i for i, v in enumerate((r.x, r.y, r.z)) for k in range(20))
+    up = df.select(F.shiftright(code, 6).alias("a"), morton(*[F.shiftright(c, 2) for c in "xyz"]).alias("b"))
+    assert up.where("a <> b").count() == 0
+
+
+def test_ring_around_a_pole_is_rows(spark):
+    ring = [(i, math.radians(80), 2 * math.pi * i / 150) for i in range(150)] + [(150 + i, 0.0, 0.7 * i) for i in range(9)]
+    mesh = spark.createDataFrame(ring, "cell_id bigint, lat double, lon double")
+    index = cell_index(mesh, 16)
+    assert index.agg(F.max(F.size("cands"))).first()[0] <= 16 and index.agg(F.max("chunk")).first()[0] >= 9
+    pts = [(0, 90.0, 0.0), (1, 90.0, 33.0), (2, 89.9999999, 10.0), (3, 80.0, 2.4), (4, -5.0, 0.0), (5, None, 1.0), (0, 90.0, 0.0)]
+    out = sorted(map(tuple, nearest_cell(spark.createDataFrame(pts, "pid int, lat double, lon double"), mesh, index=index).select("pid", "cell_id").collect()))
+    assert [o[0] for o in out] == [0, 0, 1, 2, 3, 4, 5]
+    at = xyz(np.array([r[1] for r in ring]), np.array([r[2] for r in ring]))
+    for pid, cell in out[:-1]:
+        _, la, lo = next(p for p in pts if p[0] == pid)
+        d = ((xyz(np.radians([la]), np.radians([lo])) - at) ** 2).sum(1)
+        assert d[cell] <= d.min() + 1e-15
+    assert out[-1] == (5, -1)
+
+
+def test_index_of_a_regional_mesh_and_of_one_cell(spark):
+    rng = np.random.default_rng(8)
+    lat, lon = rng.uniform(0.5, 0.52, 400), rng.uniform(1.0, 1.02, 400)
+    mesh = spark.createDataFrame(pd.DataFrame(dict(cell_id=np.arange(400), lat=lat, lon=lon)))
+    pla, plo = np.degrees(np.arcsin(rng.uniform(-1, 1, 500))), rng.uniform(-180, 180, 500)
+    pla[:200], plo[:200] = np.degrees(rng.uniform(0.49, 0.53, 200)), np.degrees(rng.uniform(0.99, 1.03, 200))
+    points = spark.createDataFrame(pd.DataFrame(dict(pid=np.arange(500), lat=pla, lon=plo)))
+    d = ((xyz(np.radians(pla), np.radians(plo))[:, None, :] - xyz(lat, lon)[None]) ** 2).sum(2)
+    out = nearest_cell(points, mesh).toPandas().sort_values("pid")
+    assert (out.cell_id.to_numpy() == d.argmin(1)).all()
+    one = nearest_cell(points, mesh.where("cell_id = 7")).select("cell_id").distinct().collect()
+    assert [r[0] for r in one] == [7]
+
+
 def test_nearest_interior_only(scattered):
     mesh, points, d = scattered
     out = nearest_cell(points, mesh, interior_only=True).toPandas().sort_values("pid")
