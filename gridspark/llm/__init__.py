@@ -1,7 +1 @@
 """Operators for preparing language-model training data, one module per operator."""
-import sys
-
-from pyspark import cloudpickle
-
-# functions of this package travel to executors by value, so a cluster needs no installed copy of it
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
