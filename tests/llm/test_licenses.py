@@ -25,14 +25,17 @@ def brute(t, templates, phrases, threshold):
         if got:
             base.add(label)
             score = 1.0
-    for line in (t or "").split("\n"):
-        mine = set(words(line))
-        for x, label in templates:
-            s = set(words(x))
-            share = len(mine & s) / len(s)
-            if share >= threshold - 1e-9:
+    for x, label, *rules in templates:
+        listed, (required, excluded) = words(x), (set(words(r)) for r in (*rules, "", "")[:2])
+        wanted, width, last = set(listed), len(listed) + len(listed) // 4, None
+        for i in range(len(w)):
+            block = set(w[i:i + width])
+            share = len(block & wanted) / len(wanted)
+            if w[i] in wanted and share >= threshold - 1e-9 and required <= block and not excluded & block:
                 labels.add(label)
-                score, n = max(score, share), n + 1
+                score = max(score, share)
+                n += last is None or i >= last + width
+                last = i
     return (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score, n)
 
 
@@ -40,7 +43,7 @@ def brute(t, templates, phrases, threshold):
 def test_join_against_all_pairs(spark, threshold):
     rnd = random.Random(int(threshold * 10))
     vocab = ["a", "b", "c", "d", "e", "f", "g", "é", "日本", "x1"]
-    templates = [(" ".join(rnd.sample(vocab, rnd.randint(1, 7))), f"t{i}") for i in range(9)]
+    templates = [(" ".join(rnd.sample(vocab, rnd.randint(1, 7))), f"t{i}", *rnd.choice([(), (), (rnd.choice(vocab), ""), ("", rnd.choice(vocab)), ("a b", "g")])) for i in range(9)]
     phrases = [("a b", "ab"), ("c d e", "cde"), ("a a", "aa"), ("x1", "x")]
     data = [(i, "".join(rnd.choice(vocab) + rnd.choice([" ", " ", "\n", "-", "\x7f"]) for _ in range(rnd.choice([0, 2, 8, 25])))) for i in range(150)] + [(500, None), (501, "\n\n"), (None, "A B\nC d E")]
     data += [data[5], data[5]]
@@ -53,11 +56,13 @@ def test_join_against_all_pairs(spark, threshold):
 
 def test_notices_and_sql(spark):
     texts = ["Text.\nLicensed under the Apache License, Version 2.0.", "ALL RIGHTS\nreserved and all rights reserved", "this work is licenced under GNU general public license version 3",
-             "CC-BY or cc  by; cc/by", "the license", None, "", "Released, under the M.I.T. license", "\xc9all rights reserved", "word " * 30_000 + "cc by"]
+             "CC-BY or cc  by; cc/by", "the license", None, "", "Released, under the M.I.T. license", "\xc9all rights reserved", "word " * 30_000 + "cc by",
+             "Released under the BSD License", "Licensed under the Mozilla Public License, Version 2.0", "x\nPermission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files (the",
+             "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "This work is licensed under a Creative Commons\n# Attribution 4.0 International License.", "GNU Lesser General Public License, this work is licensed under the version 3"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = rows(licenses.license_scan(df))
-    assert [r[6] for r in got] == ["apache-2.0", "reserved", "gpl,gpl-3.0", "cc-by", "", "", "", "mit", "", "cc-by"]  # "m.i.t." leaves four of five words
-    assert [r[2] for r in got] == [0, 2, 1, 3, 0, 0, 0, 0, 0, 1] and got[9][3] == 30_000
+    assert [r[6] for r in got] == ["apache-2.0", "reserved", "gpl,gpl-3.0", "cc-by", "", "", "", "", "", "cc-by", "bsd", "mpl-2.0", "mit", "", "cc-by-4.0", "gpl"]
+    assert [r[2] for r in got[:10]] == [0, 2, 1, 3, 0, 0, 0, 0, 0, 1] and got[9][3] == 30_000
     documents = pd.DataFrame(list(enumerate(texts)), columns=["doc_id", "text"])  # noqa: F841
     want = duckdb.connect().execute(licenses.sql()).fetchall()
     assert [(*r[:7], round(r[7], 9), r[8]) for r in got] == sorted((*r[:7], round(r[7], 9), r[8]) for r in want)
