@@ -184,8 +184,7 @@ SELECT 'nonfinite' AS rule, count(DISTINCT p_brand) AS n FROM part WHERE p_partk
 def product_checks(i):
     bad = PR.finite_violations(i.sql(GAPPY), ["p_brand"])
     inc = PR.incomplete_steps(i.sql("SELECT p_brand, p_size, concat('f', CAST(p_partkey % 3 AS STRING)) AS field FROM part"), ["f0", "f1", "f2"], ["p_brand", "p_size"])
-    v = PR.violation_table({"nonfinite": bad, "incomplete": inc})
-    return v.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    return PR.violation_counts({"nonfinite": bad, "incomplete": inc})
 
 
 @query("product_wide", ["src_id", "ROUND(f0, 3) AS f0", "ROUND(f3, 3) AS f3"], """

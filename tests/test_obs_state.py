@@ -160,6 +160,12 @@ def test_stream_batches_add_up(spark, tmp_path):
     assert all(last[r["cycle"], r["channel"], r["predictor"]] == pytest.approx(r["beta"]) for r in want.collect()) and len(last) == want.count()
 
 
+def test_rules_without_a_violation_are_counted(spark):
+    df = spark.createDataFrame([("a", "f0", 1.0), ("a", "f1", float("nan"))], "step string, field string, value double")
+    checks = {"nonfinite": PR.finite_violations(df, ["step"]), "incomplete": PR.incomplete_steps(df, ["f0", "f1"], ["step"])}
+    assert rows(PR.violation_counts(checks)) == [("incomplete", 0), ("nonfinite", 1)]
+
+
 def test_product_round_trip(spark, tmp_path):
     path = str(tmp_path / "product")
     df = spark.createDataFrame([("p", "a", 0, 1.1), ("p", "b", 0, 2.2)], "product string, field string, cell_id int, value double")
