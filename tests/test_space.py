@@ -222,3 +222,15 @@ def test_pixels_half_open(spark):
     lat = spark.createDataFrame([(0, -90., 0.), (1, 0., 90.)], "idx int, lo double, hi double")
     lon = spark.createDataFrame([(0, -180., 0.), (1, 0., 180.)], "idx int, lo double, hi double")
     assert rows(V.assign_pixel(pts, lat, lon).select("k", "iy", "ix")) == [(0, 1, 0), (1, 1, 0), (2, 1, 1)]
+
+
+def test_points_on_an_edge_are_not_moved_by_a_turn(spark):
+    # 6000 columns of 0.06 degrees: these longitudes are a rounding below an edge, and turned by 360 degrees on it or above
+    edge = [-180 + k * 360.0 / 6000 for k in range(6001)]
+    near = {k: round(edge[k] * 1000) / 1000 for k in range(1, 6000)}
+    at = [k for k, x in near.items() if x < edge[k] <= ((x + 180.0) % 360.0) - 180.0][:20]
+    assert at
+    lat = spark.createDataFrame([(0, -90., 0.), (1, 0., 90.)], "idx int, lo double, hi double")
+    lon = spark.createDataFrame([(k, edge[k], edge[k + 1]) for k in range(6000)], "idx int, lo double, hi double")
+    pts = spark.createDataFrame([(k, 1., near[k]) for k in at] + [(-1, 1., 540.0)], "k int, lat double, lon double")
+    assert rows(V.assign_pixel(pts, lat, lon, wrap=False).select("k", "ix")) == [(-1, 0)] + [(k, k - 1) for k in at]
