@@ -152,7 +152,8 @@ def thinning_bin(lat: Column, lon: Column, mesh_km: float) -> tuple[Column, Colu
     row = F.least(F.floor((lat + 90.0) / height), F.lit(n_rows - 1))
     mid = (row + 0.5) * height - 90.0
     n_cols = F.greatest(F.floor(F.cos(F.radians(mid)) * (360.0 / height)), F.lit(1))
-    turn = F.pmod(lon, F.lit(360.0)) / 360.0
+    # every longitude takes the same two steps: a positive one is rounded by the turn as well
+    turn = (lon % 360.0 + 360.0) % 360.0 / 360.0
     col = F.least(F.floor(turn * n_cols), n_cols - 1)
     centre = unit_xyz(F.radians(mid), F.radians((col + 0.5) * 360.0 / n_cols))
     here = unit_xyz(F.radians(lat), F.radians(lon))

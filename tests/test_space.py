@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions import geometry as G
 from gridspark.operators import mesh as M
+from gridspark.operators import qc as Q
 from gridspark.operators import vegetation as V
 from gridspark.operators.nearest import box_indices, cell_index, morton, nearest_cell
 
@@ -234,3 +235,14 @@ def test_points_on_an_edge_are_not_moved_by_a_turn(spark):
     lon = spark.createDataFrame([(k, edge[k], edge[k + 1]) for k in range(6000)], "idx int, lo double, hi double")
     pts = spark.createDataFrame([(k, 1., near[k]) for k in at] + [(-1, 1., 540.0)], "k int, lat double, lon double")
     assert rows(V.assign_pixel(pts, lat, lon, wrap=False).select("k", "ix")) == [(-1, 0)] + [(k, k - 1) for k in at]
+
+
+def test_superob_bins_on_an_edge(spark):
+    # row 5 of 13 has 25 columns, so edges lie at 14.4 degrees; these longitudes are in one column as given and in another turned by 360
+    col = lambda x: math.floor(x / 360.0 * 25)
+    near = [v / 1000 + s * 360 for v in range(0, 360000, 14400) for s in (0, 1, 2)] + [math.nextafter(v / 1000, 0) for v in range(14400, 360000, 14400)]
+    lons = [x for x in near if col(math.fmod(x, 360.0)) != col((math.fmod(x, 360.0) + 360.0) % 360.0)]
+    assert lons
+    obs = spark.createDataFrame([(k, -13.0, x, 1.0) for k, x in enumerate(lons)], "k int, lat double, lon double, obs double")
+    want = sorted((k, 5, col((math.fmod(x, 360.0) + 360.0) % 360.0), 1.0, 1) for k, x in enumerate(lons))
+    assert rows(Q.superob(obs, 1500.0, ["k"], ["obs"])) == want
