@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from gridspark.operators import scaling as S
 from gridspark.operators import weights as W
 from gridspark.operators.quantiles import exact_quantiles
 from gridspark.operators.skew import hot_keys, lookup_join, salted_join
+from gridspark.session import PARTITION_KEY, keep_partitions, settle
 
 
 @pytest.fixture
@@ -134,3 +136,37 @@ def test_member_table(spark):
     for broken in ([(1, "cams", "gfas", "cams", float("nan"), 1.0)], [(1, "cams", "gfas", "cams", -1.0, 1.0)], [(1, "cams", "gfas", "cams", float("inf"), 1.0)]):
         assert S.member_factors(spark.createDataFrame(broken + good[1:], schema), {"dust": 2.0, "seasalt": 1.0}, 12)[1].count() == 1
     assert S.member_factors(spark.createDataFrame(good, schema), {"dust": 2.0, "seasalt": 1.0}, 13)[1].count() == 1
+
+
+def test_blocks_of_the_product(spark):
+    rng = np.random.default_rng(3)
+    v = pd.DataFrame({"r": rng.integers(0, 40, 3000).astype(str), "src_id": rng.integers(0, 50, 3000)}).drop_duplicates()
+    v["a"], v["b"] = rng.random(len(v)), rng.random(len(v))
+    w = pd.DataFrame({"dst_id": rng.integers(0, 300, 4000), "src_id": rng.integers(0, 50, 4000)}).drop_duplicates()
+    w["s"] = rng.random(len(w))
+    values, links = settle(spark.createDataFrame(v)), settle(spark.createDataFrame(w))
+    m = v.merge(w, on="src_id")
+    for c in "ab":
+        m[c] *= m.s
+    want = m.groupby(["r", "dst_id"])[["a", "b"]].sum()
+    before = spark.conf.get(PARTITION_KEY)
+    spark.conf.set(PARTITION_KEY, "true")  # a plain session
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with keep_partitions(spark):
+            out = W.apply_weights_packed(values, links, ["r"], {"a": "x", "b": "y"}, blocks=3)
+            got = {(r.r, r.dst_id, r.field): r.value for r in out.collect()}
+            # both sides are dealt once; neither the join nor the sums move a row again
+            assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
+        assert spark.conf.get(PARTITION_KEY) == "true"
+    finally:
+        spark.conf.set(PARTITION_KEY, before)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(got) == 2 * len(want)
+    assert all(abs(got[(r, d, f)] - row[c]) < 1e-9 for (r, d), row in want.iterrows() for c, f in (("a", "x"), ("b", "y")))
+    # sparse records do not combine on their way, a few dense ones do
+    fan = spark.range(6000).selectExpr("id % 1999 as dst_id", "id % 300 as src_id")
+    many, few = (spark.range(60000).selectExpr(f"cast(id % {n} as string) as r", "id % 301 as src_id") for n in (1000, 2))
+    assert W.use_blocks(many, fan, ["r"], pairs_from=1) and not W.use_blocks(few, fan, ["r"], pairs_from=1)
+    assert not W.use_blocks(many, fan, ["r"])
