@@ -92,6 +92,26 @@ def test_index_of_a_regional_mesh_and_of_one_cell(spark):
     assert [r[0] for r in one] == [7]
 
 
+def test_points_are_not_repeated_by_level(spark, scattered):
+    """A point is shuffled about once, however many levels the boxes have."""
+    mesh, points, _ = scattered
+    index = cell_index(mesh, 16)
+    levels = index.select("level").distinct().count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = nearest_cell(points, mesh, index=index).select("pid", "cell_id")
+        assert len(out.collect()) == 900
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    stack, repeated = [out._jdf.queryExecution().executedPlan()], []
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "Generate":
+            repeated.append(node.metrics().apply("numOutputRows").value())
+        stack += [node.children().apply(k) for k in range(node.children().size())]
+    assert levels >= 5 and repeated and max(repeated) <= 900 * (levels - 2)
+
+
 def test_nearest_interior_only(scattered):
     mesh, points, d = scattered
     out = nearest_cell(points, mesh, interior_only=True).toPandas().sort_values("pid")
