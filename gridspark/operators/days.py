@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.skew import lookup_join
+from gridspark.session import settle
 
 
 def day_calendar(start, end, series: DataFrame) -> DataFrame:
@@ -164,7 +165,8 @@ def fallback_factors(primary: DataFrame, fallback: DataFrame, mesh: DataFrame, f
         return df.filter(~F.col("field").isin(list(skip)) if skip else F.lit(True)).join(area, "cell_id").groupBy(
             "day", "field").agg(F.sum(F.col("value") * F.col("area_m2")).alias(name))
 
-    num, den = totals(primary, "num"), totals(fallback, "den")
+    # a row per day and field, each read twice below
+    num, den = settle(totals(primary, "num")), settle(totals(fallback, "den"))
     overlap = num.select("day").intersect(den.select("day")).withColumn("series_id", F.lit("overlap"))
     days = even_days(overlap, max_days).select("day") if max_days > 0 else overlap.select("day")
     ratios = num.join(den, ["day", "field"]).join(days, "day", "left_semi").filter(

@@ -161,3 +161,16 @@ def test_missing_day_and_lost_fires_stop_the_write(spark, tmp_path):
     with pytest.raises(PR.ProductRejected):
         PR.write_product(out.values, str(tmp_path / "p"), violations=out.violations)
     assert not (tmp_path / "p").exists()
+
+
+def test_plans_share_located_records(spark):
+    d = dt.date(2024, 1, 1)
+    days = [d + dt.timedelta(k) for k in range(3)]
+    located = spark.createDataFrame([(s, day, 0, v, 1.0) for day in days for s, v in (("primary", 6.0), ("fallback", 2.0))], "source string, day date, cell_id bigint, co double, area double")
+    mesh = spark.createDataFrame([(0, 0., 0., 1e8)], "cell_id bigint, lat double, lon double, area_m2 double")
+    for method, factor in (("robust_median_ratio", 3.0), ("fixed", 1.25)):
+        plan = FP.FirePlan("2024-01-01", "2024-01-03", {"co": "e_co"}, {"e_co": "gas"}, scale_method=method, fixed_factors={"e_co": 1.25})
+        factors = FP.fire_emissions(located, mesh, plan, located=located)["hourly"].extras["factors"]
+        assert rows(factors) == [("e_co", factor)]
+        # the factors are a written table, so what uses them does not aggregate the fires again
+        assert "Aggregate" not in factors._jdf.queryExecution().executedPlan().toString()
