@@ -10,10 +10,10 @@ from gridspark.functions.numbers import is_finite, is_unparsed, parse_double
 from gridspark.operators.skew import lookup_join
 from gridspark.session import settle
 
-# Share of unparsed tokens that is still accepted, date formats tried in order,
+# Share of unparsed tokens that is still accepted, texts of dates,
 # and the creation stamp of a container name.
 UNPARSED_TOLERANCE = 0.02
-DATE_FORMATS = ["yyyyMMdd", "yyyy-MM-dd", "yyyy/MM/dd"]
+CIVIL_DATE = r"^(?:\d{8}|\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2})$"
 ORDINAL_DATE = r"^(\d{4})(\d{3})$"
 CREATION_STAMP = r"_c\d{6,8}(?=\D|$)"
 LAT_NAMES, LON_NAMES = ["LATI", "LAT", "latitude"], ["LONGI", "LON", "longitude"]
@@ -131,25 +131,27 @@ def container_dates(df: DataFrame, day: str = "day", mode: str = "auto", by: str
     if mode not in ("auto", "doy", "dom"):
         raise ValueError("mode must be auto, doy, or dom")
     raw = F.trim(F.col(day))
-    civil = [F.try_to_timestamp(F.when(F.length(raw) == len(f), raw), F.lit(f)).cast("date") for f in DATE_FORMATS]
+    # a cast of one form: a parser that fails builds an exception per row
+    civil = _civil(F.when(raw.rlike(CIVIL_DATE), F.regexp_replace(raw, "[-/]", "")))
     y, d = F.regexp_extract(raw, ORDINAL_DATE, 1).try_cast("int"), F.regexp_extract(raw, ORDINAL_DATE, 2).try_cast("int")
-    parsed = F.coalesce(*civil, _ordinal(y, d))
+    parsed = F.coalesce(civil, _ordinal(y, d))
     number = F.when(parsed.isNull(), parse_double(raw).cast("int"))
     x = df.withColumn("_p", parsed).withColumn("_n", number)
-    highest = x.groupBy(by).agg(F.max("_n").alias("_top"))
-    x = lookup_join(x, highest, [by])
+    # what the name of a file says is found once per file
     base = F.regexp_replace(F.regexp_extract(F.col(by), r"([^/]*)$", 1), CREATION_STAMP, "")
     ym = F.regexp_extract(base, r"((?:19|20)\d{2}(?:0[1-9]|1[0-2]))", 1)
     yy = F.regexp_extract(base, r"((?:19|20)\d{2})", 1).try_cast("int")
-    year = F.lit(reference_year) if reference_year is not None else yy
+    highest = x.groupBy(by).agg(F.max("_n").alias("_top")).withColumn("_ym", ym).withColumn("_yy", yy)
+    x, ym = lookup_join(x, highest, [by]), F.col("_ym")
+    year = F.lit(reference_year) if reference_year is not None else F.col("_yy")
     doy = _ordinal(year, F.col("_n"))
-    dom = F.try_to_timestamp(F.when(ym != "", F.concat(ym, F.lpad(F.col("_n").cast("string"), 2, "0"))), F.lit("yyyyMMdd")).cast("date")
+    dom = _civil(F.when(ym != "", F.concat(ym, F.lpad(F.col("_n").cast("string"), 2, "0"))))
     if mode == "auto":
         day_of_year = (F.col("_top") > 31) | (ym == "")
         numbered = F.when(day_of_year, doy).otherwise(dom)
     else:
         numbered = doy if mode == "doy" else dom
-    return x.withColumn("file_date", F.coalesce("_p", numbered)).drop("_p", "_n", "_top")
+    return x.withColumn("file_date", F.coalesce("_p", numbered)).drop("_p", "_n", "_top", "_ym", "_yy")
 
 
 def undated(df: DataFrame, by: str = "file") -> DataFrame:
@@ -157,6 +159,11 @@ def undated(df: DataFrame, by: str = "file") -> DataFrame:
     return df.filter(F.col("file_date").isNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n_undated"))
 
 
+def _civil(text: Column) -> Column:
+    """The date of yyyyMMdd, null if there is none."""
+    return F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date")
+
+
 def _ordinal(year: Column, day: Column) -> Column:
     date = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), day - 1)
     return F.when((day >= 1) & (F.year(date) == year), date)
@@ -165,9 +172,10 @@ def _ordinal(year: Column, day: Column) -> Column:
 def stage_days(df: DataFrame, start, end, by: str = "file") -> tuple[DataFrame, DataFrame]:
     """(records within the period, days that come from more than one container).
 
-    Write the first with ``partitionBy('file_date')`` so later reads prune by day.
+    Write the first with ``partitionBy('file_date')`` so later reads prune by day. The records of the period are written once here,
+    so that dates are not found again by every reader.
     """
-    kept = df.filter(F.col("file_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    kept = settle(df.filter(F.col("file_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
     repeated = kept.groupBy("file_date").agg(F.countDistinct(by).alias("n_files")).filter("n_files > 1")
     return kept, repeated
 

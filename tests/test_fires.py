@@ -197,3 +197,17 @@ def test_published_hours_are_not_joined(spark, tmp_path, monkeypatch):
     columns = ["valid_time", "field", "cell_id", "value"]
     got = rows(PR.read_product(spark, str(tmp_path / "p")).select(*columns).orderBy(*columns))
     assert got == rows(dense.select(*columns).orderBy(*columns)) and len(got) == 96
+
+
+def test_container_dates_without_a_parser(spark):
+    texts = {"20240229": "2024-02-29", "2023-02-29": None, "1997/03/04": "1997-03-04", "1997-03/04": None, "2024-3-4": None, "20241301": None, " 2024-01-31 ": "2024-01-31",
+             "2024061": "2024-03-01", "٢٠٢٤٠١٠١": None, "202401011": None, None: None}
+    df = spark.createDataFrame([("dated.txt", t) for t in texts], "file string, day string")
+    found = FT.container_dates(df)
+    assert {r["day"]: r["d"] for r in found.select("day", F.col("file_date").cast("string").alias("d")).collect()} == texts
+    month = spark.createDataFrame([("F_199702.txt", t) for t in ("28", "29", "0", "-5", "7.9")], "file string, day string")
+    assert [r["d"] for r in FT.container_dates(month).select(F.col("file_date").cast("string").alias("d")).collect()] == ["1997-02-28", None, None, None, "1997-02-07"]
+    # a parser builds an exception for every text it does not match, and every reader of the period would run it again
+    assert "gettimestamp" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    kept, _ = FT.stage_days(found, "2024-01-01", "2024-12-31")
+    assert "Join" not in kept._jdf.queryExecution().optimizedPlan().toString() and kept.count() == 3
