@@ -61,6 +61,8 @@ def refresh_inventory(path: str, wide: DataFrame, records: DataFrame, links, src
     """
     spark = wide.sparkSession
     columns = sorted({c for s in specs for c, _ in s.terms})
+    if not hasattr(links, "links"):
+        links = weights.laid_out(links)  # read by the digest and by the remapping
     identity = [links.src_identity, links.dst_identity, links.n_links] if hasattr(links, "links") else weights_digest(links)
     config = hashlib.sha256(json.dumps([[dataclasses.asdict(s) for s in specs], list(blocks), identity], sort_keys=True).encode()).hexdigest()
     brackets = settle(IP.target_brackets(records, time, series))
@@ -83,9 +85,13 @@ def refresh_inventory(path: str, wide: DataFrame, records: DataFrame, links, src
 
 
 def weights_digest(links: DataFrame) -> str:
-    """One digest of a weight table that brings no identity of its own."""
-    found = range_digests(links, [], row_text(["dst_id", "src_id", "s"])).first()
-    return found["digest"] if found else ""
+    """One digest of a weight table that brings no identity of its own; of a written table it is made once."""
+    if (known := getattr(links, "known_digest", None)) is None:
+        found = range_digests(links, [], row_text(["dst_id", "src_id", "s"])).first()
+        known = found["digest"] if found else ""
+        if hasattr(links, "settled_at"):
+            links.known_digest = known
+    return known
 
 
 def publish_dense(result: IP.Result, cells: DataFrame, axes: dict[str, Column], path: str, partition_by: tuple[str, ...],

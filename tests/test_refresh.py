@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from gridspark.operators import weights as W
 from gridspark.plans import inventories as IP
 from gridspark.plans import refresh as R
 from gridspark.sources import products
@@ -124,3 +125,28 @@ def test_dense_product_of_a_job(spark, tmp_path):
     with pytest.raises(products.ProductRejected):
         R.publish_dense(done, cells, axes, str(tmp_path / "q"), ("field",))
     assert not (tmp_path / "q").exists()
+
+
+def test_links_are_laid_out_and_digested_once(spark, tmp_path, monkeypatch):
+    wide, records = source(spark)
+    digests, inner = [], R.range_digests
+
+    def watched(rows_, by, text):
+        digests.append((by, rows_._jdf.queryExecution().optimizedPlan().toString()))
+        return inner(rows_, by, text)
+
+    monkeypatch.setattr(R, "range_digests", watched)
+    heavy = links(spark).groupBy("dst_id", "src_id").agg(F.sum("s").alias("s"))
+    R.refresh_inventory(str(tmp_path / "p"), wide, records, heavy, None, None, SPECS, TIME)
+    # the digest reads the written table, it does not derive the links again
+    assert "Aggregate" not in next(p for by, p in digests if not by)
+    have, digests[:] = W.laid_out(links(spark)), []
+    for k in range(2):
+        R.refresh_inventory(str(tmp_path / f"q{k}"), wide, records, have, None, None, SPECS, TIME)
+    assert len([by for by, _ in digests if not by]) == 1
+    assert published(spark, str(tmp_path / "p")) == published(spark, str(tmp_path / "q1"))
+    # checks of the guard read it as well
+    seen = []
+    monkeypatch.setattr(W, "validate_weights", lambda table, *a, **k: seen.append(hasattr(table, "settled_at")) or spark.createDataFrame([], "rule string, n bigint"))
+    IP.regular_inventory(wide, records, heavy, None, None, SPECS, TIME, guard=IP.Guard(n_src=4, n_dst=3))
+    assert seen == [True]
