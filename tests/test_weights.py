@@ -170,3 +170,14 @@ def test_blocks_of_the_product(spark):
     many, few = (spark.range(60000).selectExpr(f"cast(id % {n} as string) as r", "id % 301 as src_id") for n in (1000, 2))
     assert W.use_blocks(many, fan, ["r"], pairs_from=1) and not W.use_blocks(few, fan, ["r"], pairs_from=1)
     assert not W.use_blocks(many, fan, ["r"])
+
+
+def test_passes_of_the_product_make_it_whole(spark):
+    values = spark.createDataFrame([(r, c, float(r * c % 7), float(c)) for r in range(30) for c in range(40) if (r + c) % 3], "r long, src_id long, a double, b double")
+    links = spark.createDataFrame([(d, c, 0.5) for c in range(40) for d in range(c % 5, 12, 3)], "dst_id long, src_id long, s double")
+    for blocks in (1, 5, 6):
+        whole = rows(W.apply_weights_packed(values, links, ["r"], {"a": "x", "b": "y"}, blocks))
+        parts = [rows(W.apply_weights_packed(values, links, ["r"], {"a": "x", "b": "y"}, blocks, p)) for p in W.passes(blocks)]
+        assert [g for p in W.passes(blocks) for g in p] == list(range(blocks))
+        assert all(len(p) <= W.AT_ONCE for p in W.passes(blocks)) and len(whole) == sum(map(len, parts))
+        assert sorted(x for p in parts for x in p) == whole
